@@ -7,7 +7,6 @@ import tempfile
 import uuid
 
 import numpy as np
-import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -104,9 +103,3 @@ def rolling(h: np.ndarray, k: int, base: int) -> np.ndarray:
         power = power * power % (1 << 64)
     return mix64(out[:n].copy())
 
-
-def binary_array(data: np.ndarray, ends: np.ndarray) -> pa.Array:
-    """An Arrow binary column over a buffer; ends: byte offsets where rows end."""
-    offsets = np.zeros(len(ends) + 1, np.int32)
-    offsets[1:] = ends
-    return pa.BinaryArray.from_buffers(pa.binary(), len(ends), [None, pa.py_buffer(offsets), pa.py_buffer(np.ascontiguousarray(data))])
