@@ -37,7 +37,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from eventide.llm.common import binary_array, load, mix64, partitions, rolling, text_or_empty
+from eventide.llm.common import load, mix64, partitions, rolling, text_or_empty
 
 #: Words of a passage that counts as repeated.
 WINDOW = 35
@@ -47,7 +47,7 @@ BLOCK_BASE, WINDOW_BASE = 0x9E3779B97F4A7C15, 0xD1342543DE82EF95
 PACK = 1 << 20
 
 _WORD = re.compile(rb"[^\x20\x09-\x0D]+")
-_PACKED = "bucket int, doc_id binary, rid binary, counts binary, hashes binary"
+_PACKED = "bucket int, source int, doc_id binary, rid binary, counts binary, hashes binary"
 
 
 def _word_hashes(text: str) -> np.ndarray:
@@ -81,6 +81,44 @@ def _repeated(values: np.ndarray) -> np.ndarray:
     return out
 
 
+def _bucket_of(flagged: np.ndarray, buckets: int) -> np.ndarray:
+    return ((mix64(flagged >> np.uint64(1)) >> np.uint64(20)) % np.uint64(buckets)).astype(np.int32)
+
+
+def _packed(to: np.ndarray, owner: np.ndarray, ids: np.ndarray, null: np.ndarray, rids: np.ndarray, values: np.ndarray, source: int = -1) -> Iterator[pa.RecordBatch]:
+    """A row for each place that values go to, with all of them by owning document; owner is sorted."""
+    if not len(values):
+        return
+    order = np.argsort(to, kind="stable")
+    values, owner, to = values[order], owner[order], to[order]
+    starts = np.flatnonzero(np.append(True, to[1:] != to[:-1]))
+    out: list[tuple] = []
+    for a, z in zip(starts, np.append(starts[1:], len(values)), strict=True):
+        first = np.flatnonzero(np.append(True, owner[a + 1 : z] != owner[a : z - 1]))
+        who = owner[a:z][first]
+        counts = np.diff(np.append(first, z - a)).astype(np.int32)
+        # A null doc_id is told from others by the sign of its count.
+        counts[null[who]] *= -1
+        out.append((int(to[a]), source, ids[who].tobytes(), rids[who].tobytes(), counts.tobytes(), values[a:z].tobytes()))
+    kinds = [pa.int32(), pa.int32(), *[pa.binary()] * 4]
+    yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in out], k) for i, k in enumerate(kinds)], names=["bucket", "source", "doc_id", "rid", "counts", "hashes"])
+
+
+def _unpacked(rows: list[tuple], kind) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """doc_id, row key and signed count of each document, and all values, of rows as packed."""
+    return tuple(np.concatenate([np.frombuffer(r[i], k) for r in rows]) for i, k in enumerate((np.int64, np.int64, np.int32, kind)))
+
+
+def _held(batches) -> dict[int, list[tuple]]:
+    """Packed rows by bucket, each with its source last."""
+    held: dict[int, list[tuple]] = {}
+    for batch in batches:
+        buckets, sources, *parts = (batch.column(i) for i in range(6))
+        for i in range(batch.num_rows):
+            held.setdefault(buckets[i].as_py(), []).append((*(p[i].as_py() for p in parts), sources[i].as_py()))
+    return held
+
+
 class _Packer:
     """Gathers the hashes of documents and packs them into a row for each bucket."""
 
@@ -103,27 +141,10 @@ class _Packer:
         if self.n:
             v = np.concatenate(self.parts)
             owner = np.repeat(np.arange(len(self.parts), dtype=np.int32), [len(p) for p in self.parts])
-            ids = np.array([-1 if d is None else d for d, _ in self.docs], np.int64)
+            ids = np.array([0 if d is None else d for d, _ in self.docs], np.int64)
             null = np.array([d is None for d, _ in self.docs])
             rids = np.array([r for _, r in self.docs], np.int64)
-            bucket = ((mix64(v >> np.uint64(1)) >> np.uint64(20)) % np.uint64(self.buckets)).astype(np.int32)
-            order = np.argsort(bucket, kind="stable")
-            v, owner, bucket = v[order], owner[order], bucket[order]
-            if self.narrow:
-                v = v.astype(np.uint32)
-            starts = np.flatnonzero(np.append(True, bucket[1:] != bucket[:-1]))
-            out: list[tuple] = []
-            for a, z in zip(starts, np.append(starts[1:], len(v)), strict=True):
-                own, first = owner[a:z], np.flatnonzero(np.append(True, owner[a + 1 : z] != owner[a : z - 1]))
-                who = own[first]
-                counts = np.diff(np.append(first, z - a)).astype(np.int32)
-                # A null doc_id is told from others by the sign of its count.
-                counts[null[who]] *= -1
-                out.append((int(bucket[a]), ids[who].tobytes(), rids[who].tobytes(), counts.tobytes(), v[a:z].tobytes()))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([r[0] for r in out], pa.int32())] + [pa.array([r[i] for r in out], pa.binary()) for i in range(1, 5)],
-                ["bucket", "doc_id", "rid", "counts", "hashes"],
-            )
+            yield from _packed(_bucket_of(v, self.buckets), owner, ids, null, rids, v.astype(np.uint32) if self.narrow else v)
         self.clear()
 
 
@@ -147,91 +168,105 @@ def _send_blocks(window: int, buckets: int):
     return run
 
 
-def _meet(anchors: bool):
-    """Of a bucket's hashes, those that another document shares; with anchors, shares as a reference block."""
+def _meet(anchors: bool, buckets: int):
+    """Of a bucket's hashes, those that another document has too; of anchors, has as a reference block.
+
+    Anchors go back as hashes without their flag, windows as ordinals among the
+    hashes that the document sent to this bucket; both in a row for each place
+    that documents are gathered at.
+    """
+    kind = np.uint32 if anchors else np.uint64
 
     def run(batches):
-        held: dict[int, list[tuple]] = {}
-        for batch in batches:
-            buckets, *parts = (batch.column(i) for i in range(5))
-            for i in range(batch.num_rows):
-                held.setdefault(buckets[i].as_py(), []).append(tuple(p[i].as_py() for p in parts))
-        kind = np.uint32 if anchors else np.uint64
+        held = _held(batches)
         for bucket in list(held):
-            rows = held.pop(bucket)
-            ids = np.concatenate([np.frombuffer(r[0], np.int64) for r in rows])
-            rids = np.concatenate([np.frombuffer(r[1], np.int64) for r in rows])
-            counts = np.concatenate([np.frombuffer(r[2], np.int32) for r in rows])
-            v = np.concatenate([np.frombuffer(r[3], kind) for r in rows])
-            del rows
+            ids, rids, counts, v = _unpacked(held.pop(bucket), kind)
             # Rows that repeat a document count once.
             _, doc = np.unique(np.stack([ids, rids, (counts < 0).astype(np.int64)]), axis=1, return_inverse=True)
-            owner = np.repeat(np.arange(len(counts), dtype=np.int32), np.abs(counts))
+            sizes = np.abs(counts).astype(np.int64)
+            owner = np.repeat(np.arange(len(counts), dtype=np.int32), sizes)
             order = np.argsort(v >> kind(1), kind="stable")
             top = (v >> kind(1))[order]
-            new = np.append(True, top[1:] != top[:-1]) if len(top) else np.zeros(0, bool)
-            group = np.cumsum(new) - 1
+            group = np.cumsum(np.append(True, top[1:] != top[:-1])) - 1
             who = doc.ravel()[owner[order]].astype(np.int64)
             counted = (v[order] & kind(1)).astype(bool) if anchors else np.ones(len(v), bool)
-            n = int(group[-1]) + 1 if len(group) else 0
             # Lowest and highest of the documents that count, for each hash: another one is there if either differs.
-            low, high = np.full(n, np.iinfo(np.int64).max), np.full(n, -1, np.int64)
+            low, high = np.full(int(group[-1]) + 1, np.iinfo(np.int64).max), np.full(int(group[-1]) + 1, -1, np.int64)
             np.minimum.at(low, group[counted], who[counted])
             np.maximum.at(high, group[counted], who[counted])
-            met = (high[group] >= 0) & ((low[group] != who) | (high[group] != who))
-            at = np.sort(order[met])
-            if not len(at):
-                continue
+            at = np.sort(order[(high[group] >= 0) & ((low[group] != who) | (high[group] != who))])
             own = owner[at]
-            first = np.flatnonzero(np.append(True, own[1:] != own[:-1]))
-            docs = own[first]
-            ends = np.append(first[1:], len(at)).astype(np.int64) * v.itemsize
-            # Flags go; hashes are looked up without them.
-            hashes = binary_array(v[at] >> kind(1), ends)
-            yield pa.RecordBatch.from_arrays([pa.array(ids[docs], pa.int64(), mask=counts[docs] < 0), pa.array(rids[docs], pa.int64()), hashes], ["doc_id", "rid", "hashes"])
+            values = v[at] >> kind(1) if anchors else (at - (np.cumsum(sizes) - sizes)[own]).astype(np.uint32)
+            to = (mix64(rids.view(np.uint64)) % np.uint64(buckets)).astype(np.int32)
+            yield from _packed(to[own], own, ids, counts < 0, rids, values, bucket)
 
     return run
 
 
-def _found(blobs: list[bytes] | None, kind) -> np.ndarray:
-    return np.frombuffer(b"".join(blobs), kind) if blobs else np.empty(0, kind)
+def _gather(batches):
+    """A row for each document: source bucket, number and values, one bucket after the other."""
+    for rows in _held(batches).values():
+        parts: dict[tuple, list[bytes]] = {}
+        for row in rows:
+            ids, rids, counts, _ = _unpacked([row], np.uint32)
+            at, values = 0, row[3]
+            for key, rid, n in zip(ids.tolist(), rids.tolist(), counts.tolist(), strict=True):
+                m = abs(n)
+                parts.setdefault((None if n < 0 else key, rid), []).append(np.array([row[4], m], np.uint32).tobytes() + values[at : at + 4 * m])
+                at += 4 * m
+        yield pa.RecordBatch.from_arrays(
+            [pa.array([k[0] for k in parts], pa.int64()), pa.array([k[1] for k in parts], pa.int64()), pa.array([b"".join(p) for p in parts.values()], pa.binary())], names=["doc_id", "rid", "hashes"]
+        )
+
+
+def _by_bucket(blob: bytes | None) -> list[tuple[int, np.ndarray]]:
+    found, v, at = [], np.frombuffer(blob or b"", np.uint32), 0
+    while at < len(v):
+        n = int(v[at + 1])
+        found.append((int(v[at]), v[at + 2 : at + 2 + n]))
+        at += 2 + n
+    return found
+
+
+def _candidates(h: np.ndarray, anchors: bytes | None, window: int) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of all windows, and the distinct ones of those that hold a block that was hit."""
+    b = (window + 1) // 2
+    probes, _ = _blocks(h, window)
+    hit = _repeated(probes)
+    if anchors:
+        hit |= np.isin((probes >> np.uint64(1)).astype(np.uint32) & np.uint32(0x7FFFFFFF), np.concatenate([v for _, v in _by_bucket(anchors)]))
+    upto = np.append(0, np.cumsum(hit))
+    near = upto[window - b + 1 :] - upto[: -(window - b + 1)] > 0
+    values = rolling(h, window, WINDOW_BASE) & ~np.uint64(1) if near.any() else np.empty(0, np.uint64)
+    return values, _flagged(values[near], np.zeros(int(near.sum()), bool)) if len(values) else values
 
 
 def _send_windows(window: int, buckets: int):
-    b = (window + 1) // 2
-
     def run(batches):
         packer = _Packer(buckets, narrow=False)
         for row in _rows(batches):
             h = _word_hashes(row["text"])
-            if len(h) < window:
-                continue
-            probes, aligned = _blocks(h, window)
-            hit = _repeated(probes)
-            if row["hashes"]:
-                hit |= np.isin((probes >> np.uint64(1)).astype(np.uint32) & np.uint32(0x7FFFFFFF), _found(row["hashes"], np.uint32))
-            # A window can be repeated only if a block inside it was hit.
-            upto = np.append(0, np.cumsum(hit))
-            near = upto[window - b + 1 :] - upto[: -(window - b + 1)] > 0
-            if near.any():
-                at = np.flatnonzero(near)
-                values = rolling(h, window, WINDOW_BASE)
-                if packer.add(row["doc_id"], row["rid"], _flagged(values[at], np.zeros(len(at), bool))):
+            if len(h) >= window:
+                flagged = _candidates(h, row["anchors"], window)[1]
+                if len(flagged) and packer.add(row["doc_id"], row["rid"], flagged):
                     yield from packer.rows()
         yield from packer.rows()
 
     return run
 
 
-def _cover(text: str, hashes: list[bytes] | None, window: int) -> tuple[int, np.ndarray]:
+def _cover(text: str, anchors: bytes | None, found: bytes | None, window: int, buckets: int) -> tuple[int, np.ndarray]:
     """Words of a text, and which of them repeated windows cover."""
     h = _word_hashes(text)
     gone = np.zeros(len(h), bool)
-    if len(h) >= window:
-        values = rolling(h, window, WINDOW_BASE) & ~np.uint64(1)
+    if len(h) < window:
+        return len(h), gone
+    values, sent = _candidates(h, anchors, window)
+    if len(sent):
         hit = _repeated(values)
-        if hashes:
-            hit |= np.isin(values >> np.uint64(1), _found(hashes, np.uint64))
+        if found:
+            to = _bucket_of(sent, buckets)
+            hit |= np.isin(values, np.concatenate([sent[to == b][at] for b, at in _by_bucket(found)]))
         steps = np.zeros(len(h) + 1, np.int64)
         at = np.flatnonzero(hit)
         np.add.at(steps, at, 1)
@@ -253,13 +288,13 @@ def _without(text: str, gone: np.ndarray) -> str:
     return b"".join(out).decode("utf-8", "surrogatepass")
 
 
-def _finish(window: int, columns: list[str], schema: pa.Schema):
+def _finish(window: int, buckets: int, columns: list[str]):
     def run(batches):
         for batch in batches:
-            texts, hashes = batch.column("_text").to_pylist(), batch.column("_hashes").to_pylist()
+            texts, anchors, found = (batch.column(c).to_pylist() for c in ("_text", "_anchors", "_repeats"))
             n_words, n_removed, kept, shas = [], [], [], []
-            for text, found in zip(texts, hashes, strict=True):
-                n, gone = _cover(text or "", found, window)
+            for text, a, r in zip(texts, anchors, found, strict=True):
+                n, gone = _cover(text or "", a, r, window, buckets)
                 left = text if text is None else _without(text, gone)
                 n_words.append(n)
                 n_removed.append(int(gone.sum()))
@@ -273,28 +308,28 @@ def _finish(window: int, columns: list[str], schema: pa.Schema):
 
 def dedup_substrings(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     """docs with the words of repeated passages removed from text, plus n_words, n_removed and kept_sha256 (of the kept words, joined by one space)."""
-    own = ["n_words", "n_removed", "kept_sha256"]
-    docs = docs.drop(*own)
+    docs = docs.drop("n_words", "n_removed", "kept_sha256")
     rows = docs.withColumnsRenamed({"text": "_text"}).withColumns({"_text": F.col("_text").cast("string"), "_rid": F.xxhash64("doc_id", text_or_empty("_text"))})
     buckets = partitions(docs)
 
-    def dealt(df: DataFrame) -> DataFrame:
-        return df.repartitionById(buckets, F.col("bucket"))
+    def met(sent: DataFrame, anchors: bool) -> DataFrame:
+        """A row for each document with hits."""
+        dealt = lambda df: df.repartitionById(buckets, F.col("bucket"))
+        return dealt(dealt(sent).mapInArrow(_meet(anchors, buckets), _PACKED)).mapInArrow(_gather, "doc_id long, rid long, hashes binary")
 
-    def joined(hits: DataFrame) -> DataFrame:
-        by_doc = hits.groupBy("doc_id", "rid").agg(F.collect_list("hashes").alias("_hashes")).withColumnsRenamed({"doc_id": "_hit_id", "rid": "_hit_rid"})
-        on = (F.col("_rid") == F.col("_hit_rid")) & F.col("doc_id").eqNullSafe(F.col("_hit_id"))
+    def joined(left: DataFrame, hits: DataFrame, name: str) -> DataFrame:
+        by_doc = hits.select(F.col("doc_id").alias("_hit_id"), F.col("rid").alias("_hit_rid"), F.col("hashes").alias(name))
+        on = (F.col("_rid") == F.col("_hit_rid")) & F.col("doc_id").cast("long").eqNullSafe(F.col("_hit_id"))
         # The hits are hashed, so texts aren't sorted for the join.
-        return rows.join(by_doc.hint("shuffle_hash"), on, "left").drop("_hit_id", "_hit_rid")
-
-    plain = rows.select(F.col("doc_id").cast("long"), F.col("_rid").alias("rid"), F.coalesce("_text", F.lit("")).alias("text"))
-    met = "doc_id long, rid long, hashes binary"
-    anchors = dealt(plain.mapInArrow(_send_blocks(window, buckets), _PACKED)).mapInArrow(_meet(True), met)
-    near = joined(anchors).select(F.col("doc_id").cast("long"), F.col("_rid").alias("rid"), F.coalesce("_text", F.lit("")).alias("text"), F.col("_hashes").alias("hashes"))
-    repeats = dealt(near.mapInArrow(_send_windows(window, buckets), _PACKED)).mapInArrow(_meet(False), met)
-    kinds = T.StructType([*docs.schema.fields, T.StructField("n_words", T.LongType()), T.StructField("n_removed", T.LongType()), T.StructField("kept_sha256", T.StringType())])
-    kinds = T.StructType([T.StructField(f.name, T.StringType() if f.name == "text" else f.dataType, True) for f in kinds])
-    return joined(repeats).mapInArrow(_finish(window, kinds.names, None), kinds)
+        return left.join(by_doc.hint("shuffle_hash"), on, "left").drop("_hit_id", "_hit_rid")
+
+    own = [F.col("doc_id").cast("long").alias("doc_id"), F.col("_rid").alias("rid"), F.coalesce("_text", F.lit("")).alias("text")]
+    anchored = joined(rows, met(rows.select(*own).mapInArrow(_send_blocks(window, buckets), _PACKED), True), "_anchors")
+    repeats = met(anchored.select(*own, F.col("_anchors").alias("anchors")).mapInArrow(_send_windows(window, buckets), _PACKED), False)
+    kinds = [T.StructField(f.name, T.StringType() if f.name == "text" else f.dataType, True) for f in docs.schema]
+    kinds += [T.StructField("n_words", T.LongType()), T.StructField("n_removed", T.LongType()), T.StructField("kept_sha256", T.StringType())]
+    schema = T.StructType(kinds)
+    return joined(anchored, repeats, "_repeats").mapInArrow(_finish(window, buckets, schema.names), schema)
 
 
 def op2_substring_dedup(spark, sf_dir: str) -> DataFrame:
