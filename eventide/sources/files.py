@@ -6,13 +6,13 @@ import gzip
 from collections.abc import Iterator
 from dataclasses import dataclass
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from eventide.operators import validate
-from eventide.schema import EVENT, TAGS, require
+from eventide.schema import EVENT, require
 
 _JSON = T.StructType([
     T.StructField("id", T.StringType()), T.StructField("pubkey", T.StringType()), T.StructField("created_at", T.LongType()), T.StructField("kind", T.IntegerType()),
@@ -159,13 +159,17 @@ _FRAME = T.StructType([T.StructField("path", T.StringType()), T.StructField("off
 
 
 def _framed(prefix: str, most: int):
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    texts = pa.list_(pa.list_(pa.string()))
+    kinds = {"offset": pa.int64(), "created_at": pa.int64(), "kind": pa.int32(), "tags": texts, "payload": pa.binary()}
+    schema = pa.schema([(n, kinds.get(n, pa.string())) for n in _FRAME.names])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for files in batches:
-            for path, content in zip(files["path"], files["content"], strict=True):
-                data = gzip.decompress(content) if content[:2] == b"\x1f\x8b" else bytes(content)
+            for path, content in zip(files.column(0).to_pylist(), files.column(1).to_pylist(), strict=True):
+                data = gzip.decompress(content) if content[:2] == b"\x1f\x8b" else content
                 rows = []
                 for offset, payload, status in frames(data, prefix, most):
-                    row = {"path": path, "offset": offset, "payload": None, "frame": status}
+                    row = {"path": path, "offset": offset, "frame": status}
                     if status == "ok":
                         try:
                             row |= decode_event(payload)
@@ -175,16 +179,16 @@ def _framed(prefix: str, most: int):
                         row["payload"] = payload
                     rows.append(row)
                     if len(rows) == 5000:
-                        yield pd.DataFrame(rows, columns=_FRAME.names)
+                        yield pa.RecordBatch.from_pylist(rows, schema)
                         rows = []
                 if rows:
-                    yield pd.DataFrame(rows, columns=_FRAME.names)
+                    yield pa.RecordBatch.from_pylist(rows, schema)
 
     return run
 
 
 def _messages(spark: SparkSession, paths: list[str], prefix: str, most: int, signatures: bool) -> Source:
-    rows = spark.read.format("binaryFile").load(paths).select("path", "content").mapInPandas(_framed(prefix, most), _FRAME)
+    rows = spark.read.format("binaryFile").load(paths).select("path", "content").mapInArrow(_framed(prefix, most), _FRAME)
     checked = validate.check(rows, signatures)
     return Source(checked.withColumn("status", F.when(F.col("frame") != "ok", F.col("frame")).otherwise(F.col("status"))).drop("frame"))
 
@@ -215,7 +219,7 @@ def lake_with_files(spark: SparkSession, *paths: str) -> DataFrame:
 
 def lake_rows(events: DataFrame) -> DataFrame:
     """Hexadecimal events as rows of the lake."""
-    out = events.select(F.unhex("id").alias("id"), F.unhex("pubkey").alias("pubkey"), F.col("created_at").cast("decimal(20,0)").alias("created_at"), F.col("kind").cast("int").alias("kind"), F.col("tags").cast(TAGS).alias("tags"), "content", F.unhex("sig").alias("sig"))
+    out = events.select(F.unhex("id").alias("id"), F.unhex("pubkey").alias("pubkey"), F.col("created_at").cast("decimal(20,0)").alias("created_at"), F.col("kind").cast("int").alias("kind"), "tags", "content", F.unhex("sig").alias("sig"))
     return require(out)
 
 
