@@ -12,6 +12,8 @@ from pyspark.sql import functions as F
 
 #: Bytes of (compressed) input that one dealt partition should get at most.
 PARTITION_BYTES = 32 << 20
+#: Sizes from here on are Spark's default for sources without statistics, or products of it.
+UNKNOWN = 1 << 60
 
 
 def load(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -44,9 +46,14 @@ def cut(df: DataFrame) -> DataFrame:
 
 
 def partitions(df: DataFrame) -> int:
-    """Partitions to deal a frame into: the session's shuffle partitions, more where the input is larger."""
+    """Partitions to deal a frame into: the session's shuffle partitions, more where the input is larger.
+
+    A frame whose size Spark doesn't know (it then takes it as the largest
+    there is) counts with the partitions it has.
+    """
     size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    return max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), min(math.ceil(size / PARTITION_BYTES), 1 << 20))
+    needed = df.rdd.getNumPartitions() if size >= UNKNOWN else math.ceil(size / PARTITION_BYTES)
+    return max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), needed)
 
 
 def text_or_empty(name: str = "text") -> Column:
