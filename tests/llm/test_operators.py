@@ -376,7 +376,8 @@ def test_quality_base(docs, empty):
 
 
 def test_quality_references_and_distance(spark):
-    prose = [" ".join(random.Random(i).choice(["the", "of", "and", "to", "house", "garden", "river", "walking"]) for _ in range(300)) + "." for i in range(30)]
+    r = random.Random(4)
+    prose = [" ".join(r.choice(["the", "of", "and", "to", "house", "garden", "river", "walking"]) for _ in range(300)) + "." for _ in range(30)]
     junk = "### $$$ %%% | " * 100 + prose[0][:400]
     df = spark.createDataFrame([(i, t, "en") for i, t in enumerate(prose)] + [(99, junk, None)], "doc_id long, text string, lang string")
     langs, chars, common, ref = quality.references(df)
@@ -395,9 +396,11 @@ def test_quality_references_and_distance(spark):
 def corpus(spark):
     r, rows, labels = random.Random(8), [], []
     bank = {"en": "the of and house river garden walking nothing people", "de": "der die und haus schön größer straße nicht über", "ru": "привет дом река сад люди ничего улица ночь"}
+    sounds = {"en": "th er ing ou wh st ly", "de": "sch ei ä ung ü ß tz", "ru": "пр ив ок ст ень ша ту"}
+    made = {x: ["".join(r.choice(s.split()) for _ in range(r.randint(2, 4))) for _ in range(300)] for x, s in sounds.items()}
     for i in range(1500):
         lang = r.choice(list(bank))
-        text = [r.choice(bank[lang].split()) for _ in range(r.randint(8, 60))]
+        text = [r.choice(bank[lang].split()) if r.random() < 0.4 else r.choice(made[lang]) for _ in range(r.randint(8, 60))]
         toxic = r.random() < 0.2
         if toxic:
             text[r.randrange(len(text))] = r.choice(["vilewort", "badding", "badness"])
