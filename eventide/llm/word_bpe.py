@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import json
 import os
+import re
 
 import numpy as np
 import regex
@@ -18,7 +19,9 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 #: Entries of the worker's tables before they are emptied.
-KEPT = 500_000
+KEPT = 1_000_000
+#: Stands between the ids of two words; ids are below 2**24, so no part of theirs looks like it.
+_MARK = b"\xff\xff\xff\xff"
 
 
 class WordBPE:
@@ -33,30 +36,32 @@ class WordBPE:
         rules = [x["type"] for x in (made.get("normalizer") or {}).get("normalizers", [])]
         split = [x for x in (made.get("pre_tokenizer") or {}).get("pretokenizers", []) if x["type"] == "Split"]
         fits = rules == ["NFC", "Replace", "Lowercase"] and len(split) == 1 and split[0]["behavior"] == "Removed" and split[0]["invert"]
-        self.pattern = regex.compile(split[0]["pattern"]["Regex"]) if fits else None
+        self.pattern = regex.compile("\n|" + split[0]["pattern"]["Regex"]) if fits else None
+        self.wide = re.compile("[^\x00-\xff]")
         self.spaced = rules[:2] == ["NFC", "Replace"] and bool(fits)
         self.words: dict[bytes, bytes] = {}
-        self.pieces: dict[str, bytes] = {}
+        self.pieces: dict[str, bytes] = {"\n": _MARK}
 
     def _library(self, texts: list[str]) -> list[bytes]:
         return [np.array(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
     def _learn(self, words: list[bytes], table: dict[bytes, bytes]) -> None:
-        plain, whole = [], []
-        for w in words:
-            text = w.decode("utf-8", "replace")
-            if "<|" in text or max(text) > "\xff":
-                whole.append((w, text))
-            else:
-                plain.append((w, self.pattern.findall(text.lower())))
-        table.update(zip([w for w, _ in whole], self._library([t for _, t in whole]), strict=True))
-        new = list({p for _, ps in plain for p in ps} - self.pieces.keys())
+        joined = b"\n".join(words).decode("utf-8", "replace")
+        if "<|" in joined or self.wide.search(joined):
+            odd = [w for w in words if b"<|" in w or self.wide.search(w.decode("utf-8", "replace"))]
+            table.update(zip(odd, self._library([w.decode("utf-8", "replace") for w in odd]), strict=True))
+            rest = set(words) - set(odd)
+            words = [w for w in words if w in rest]
+            joined = b"\n".join(words).decode("utf-8", "replace")
+        # All words are cut at once; no word holds the line feed between them, nor ids the mark that stands for it.
+        parts = self.pattern.findall(joined.lower())
+        new = list(set(parts) - self.pieces.keys())
         if len(self.pieces) + len(new) > KEPT:
-            self.pieces = {}
-            new = list({p for _, ps in plain for p in ps})
+            self.pieces = {"\n": _MARK}
+            new = list(set(parts) - self.pieces.keys())
         self.pieces.update(zip(new, self._library(new), strict=True))
-        own = self.pieces.__getitem__
-        table.update((w, b"".join(map(own, ps))) for w, ps in plain)
+        if words:
+            table.update(zip(words, b"".join(map(self.pieces.__getitem__, parts)).split(_MARK), strict=True))
 
     def encode_batch(self, texts: list[str]) -> list[bytes]:
         """Ids of texts, as little-endian unsigned 32-bit integers, without special tokens added."""
