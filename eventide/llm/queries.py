@@ -1,6 +1,6 @@
 """The queries of this subpackage, and DuckDB SQL for those that SQL can express."""
 
-from eventide.llm import line_dedup
+from eventide.llm import line_dedup, substring_dedup
 from eventide.llm.byte_bpe import op10_byte_bpe
 from eventide.llm.fingerprints import op7_fingerprints
 from eventide.llm.language_id import op6_language_id
@@ -17,4 +17,4 @@ QUERIES = {
     for f in (op1_line_dedup, op2_substring_dedup, op3_token_output, op4_toxicity, op5_packing, op6_language_id, op7_fingerprints, op8_quality, op9_simhash, op10_byte_bpe)
 }
 
-SQL = {"op1_line_dedup": line_dedup.SQL}
+SQL = {"op1_line_dedup": line_dedup.SQL, "op2_substring_dedup": substring_dedup.SQL}

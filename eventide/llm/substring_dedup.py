@@ -334,3 +334,19 @@ def dedup_substrings(docs: DataFrame, window: int = WINDOW) -> DataFrame:
 
 def op2_substring_dedup(spark, sf_dir: str) -> DataFrame:
     return dedup_substrings(load(spark, sf_dir, "documents").select("doc_id", "text")).select("doc_id", "n_words", "n_removed", "kept_sha256")
+
+
+SQL = f"""
+WITH t AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS ws FROM documents),
+w AS (SELECT doc_id, unnest(ws) AS w, unnest(range(len(ws))) AS i FROM t),
+g AS (
+  SELECT doc_id, i, string_agg(w, ' ') OVER s AS words, count(*) OVER s AS n FROM w
+  WINDOW s AS (PARTITION BY doc_id ORDER BY i ROWS BETWEEN CURRENT ROW AND {WINDOW - 1} FOLLOWING)
+),
+r AS (SELECT doc_id, i, count(*) OVER (PARTITION BY words) AS times FROM g WHERE n = {WINDOW}),
+gone AS (SELECT DISTINCT doc_id, i + unnest(range({WINDOW})) AS i FROM r WHERE times > 1)
+SELECT d.doc_id, count(w.i) AS n_words, count(gone.i) AS n_removed,
+       sha256(coalesce(string_agg(CASE WHEN gone.i IS NULL THEN w.w END, ' ' ORDER BY w.i), '')) AS kept_sha256
+FROM documents d LEFT JOIN w ON d.doc_id = w.doc_id LEFT JOIN gone ON w.doc_id = gone.doc_id AND w.i = gone.i
+GROUP BY d.doc_id
+"""
