@@ -34,7 +34,7 @@ from eventide.llm.common import load
 
 MAX_TOKENS, MAX_SEGMENTS = 2048, 512
 #: Pieces that wait at most; bounds a task's memory.
-POOL = 512
+POOL = 256
 
 
 @dataclass
@@ -89,28 +89,31 @@ class Packer:
         return head
 
     def _fill(self):
-        limits = np.array([self.max_tokens, self.max_segments, self.max_loss], np.float64)
-        sizes = np.array([(p.n, 1, p.loss()) for p in self.pool], np.float64)
-        waiting, room, offset = np.ones(len(self.pool), bool), limits.copy(), 0
-        rest: list[Piece] = []
-        while waiting.any() and room[0] > 0 and room[1] > 0:
-            fits = waiting & (sizes <= room).all(axis=1)
+        """Fill one sequence from the pool."""
+        pool = self.pool
+        n, start, free = np.array([(p.n, p.start, p.free) for p in pool], np.int64).T.copy()
+        loss = np.maximum(start + n - np.maximum(start, free), 0)
+        tokens, segments, bearing, offset = self.max_tokens, self.max_segments, self.max_loss, 0
+        waiting = np.ones(len(pool), bool)
+        fits = (n <= tokens) & (loss <= bearing)
+        while tokens and segments and waiting.any():
             if fits.any():
-                value = np.where(fits, sizes @ (room / limits**2), -1.0)
-                at = int(value.argmax())
-                piece, waiting[at] = self.pool[at], False
+                # The dot product with the room left; every piece adds the same for its one segment.
+                value = n * (tokens / self.max_tokens**2) + loss * (bearing / self.max_loss**2) + segments / self.max_segments**2
+                at = int(np.where(fits, value, -1.0).argmax())
+                piece, waiting[at] = pool[at], False
             else:
-                room_for = np.array([p.within(int(room[0]), int(room[2])) if w else 0 for p, w in zip(self.pool, waiting, strict=True)])
-                if not room_for.max():
+                room = np.where(waiting, np.minimum(np.minimum(n, tokens), np.maximum(free - start, 0) + bearing), 0)
+                if not room.max():
                     break
-                at = int(np.where(room_for == room_for.max(), sizes[:, 0], -1.0).argmax())
-                piece = self._head(self.pool[at], int(room_for[at]))
-                sizes[at] = (self.pool[at].n, 1, self.pool[at].loss())
+                at = int(np.where(room == room.max(), n, -1).argmax())
+                piece = self._head(pool[at], int(room[at]))
+                n[at], start[at], loss[at] = pool[at].n, pool[at].start, pool[at].loss()
             yield piece, self.base + self.sequence, offset
             offset += piece.n
-            room -= (piece.n, 1, piece.loss())
-        rest += [p for p, w in zip(self.pool, waiting, strict=True) if w]
-        self.pool = rest
+            tokens, segments, bearing = tokens - piece.n, segments - 1, bearing - piece.loss()
+            fits = waiting & (n <= tokens) & (loss <= bearing)
+        self.pool = [p for p, w in zip(pool, waiting.tolist(), strict=True) if w]
         self.sequence += 1
 
 
