@@ -203,8 +203,13 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 
 def keep_first(docs: DataFrame) -> DataFrame:
     """docs with one row of each component: the lowest doc_id's (null lowest), of several the one with the lowest row key; of equal rows one."""
+    return pick_first(docs, near_duplicates(docs))
+
+
+def pick_first(docs: DataFrame, labelled: DataFrame) -> DataFrame:
+    """docs with the first row of each ``_component`` of labelled, which has doc_id, _rid and _component for each row."""
     key = F.coalesce(F.col("doc_id").cast("long"), F.lit(-(1 << 63))).alias("_key")
-    chosen = near_duplicates(docs).groupBy("_component").agg(F.min(F.struct(key, "_rid")).alias("first")).select("first._key", "first._rid")
+    chosen = labelled.groupBy("_component").agg(F.min(F.struct(key, "_rid")).alias("first")).select("first._key", "first._rid")
     rows = docs.select("*", key, row_key().alias("_rid"))
     one = Window.partitionBy("_key", "_rid").orderBy("_key", "_rid")
     kept = rows.join(chosen.hint("merge"), ["_key", "_rid"], "left_semi")
