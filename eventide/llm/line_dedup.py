@@ -11,7 +11,9 @@ Every run is deleted where it occurs later.
 Order: doc_id (null first), then the row's text hash, then the line number.
 
 * A null text counts as an empty text; an empty text is one empty line.
-* Texts of fewer lines than ``window`` are never changed.
+* Texts of fewer lines than ``window`` are never changed, unless ``words`` is
+  given: then repeated runs of fewer lines, one line included, go where they
+  have at least that many words (``[^\\x20\\x09-\\x0D]+``) together.
 * Rows that repeat both doc_id and text count once and get the same result.
 * Columns beside doc_id and text are kept; ``n_lines`` and ``n_removed`` are
   the operator's own and replace columns of those names.
@@ -26,26 +28,33 @@ from eventide.llm.common import let, load, row_key, text_or_empty
 
 #: Lines a repeated run has at least.
 WINDOW = 3
+WORD = r"[^\x20\x09-\x0D]+"
 
 
-def _windows(docs: DataFrame, window: int) -> DataFrame:
-    """A row for every window: its place, its fingerprint with the fingerprint's place, and its line hashes."""
-    lines = docs.select(
-        "doc_id", row_key().alias("_rid"), F.transform(F.split(text_or_empty(), "\n"), lambda x: F.xxhash64(x)).alias("_lh")
-    ).where(F.size("_lh") >= window)
+def _windows(docs: DataFrame, window: int, words: int | None = None) -> DataFrame:
+    """A row for every window (with ``words``, of that many words): its place, its fingerprint with the fingerprint's place, and its line hashes."""
+    split = F.split(text_or_empty(), "\n")
+    counts = [] if words is None else [F.transform(split, lambda x: F.regexp_count(x, F.lit(WORD))).alias("_n")]
+    lines = docs.select("doc_id", row_key().alias("_rid"), F.transform(split, lambda x: F.xxhash64(x)).alias("_lh"), *counts).where(F.size("_lh") >= window)
 
     def at(i):
         part = F.slice(F.col("_lh"), i + 1, window)
         low = F.array_min(part)
         return F.struct(i.alias("i"), low.alias("fp"), (i + F.array_position(part, low).cast("int")).alias("p"), part.alias("key"))
 
-    found = F.transform(F.sequence(F.lit(0), F.size("_lh") - window), at)
+    def wordy(i):
+        # A window both of whose ends can go needs no row: without the end, the rest is such a window too.
+        n, last = F.aggregate(F.slice("_n", i + 1, window), F.lit(0), lambda a, x: a + x), i + (window - 1)
+        return (n >= words) & ((n - F.get("_n", i) < words) | (n - F.get("_n", last) < words))
+
+    at_all = F.sequence(F.lit(0), F.size("_lh") - window)
+    found = F.transform(at_all if words is None else F.filter(at_all, wordy), at)
     return lines.select("doc_id", "_rid", F.explode(found).alias("w")).select("doc_id", "_rid", "w.*")
 
 
-def later_windows(docs: DataFrame, window: int = WINDOW) -> DataFrame:
+def later_windows(docs: DataFrame, window: int = WINDOW, words: int | None = None) -> DataFrame:
     """doc_id, _rid and i of every window whose lines also start at an earlier place."""
-    windows = _windows(docs, window)
+    windows = _windows(docs, window, words)
     place = F.xxhash64("doc_id", "_rid", "p")
     # Fingerprints are counted before the shuffle; a hot one leaves each task as a single row.
     repeated = windows.groupBy("fp").agg(F.min(place).alias("a"), F.max(place).alias("b")).where("a <> b").select("fp")
@@ -55,12 +64,15 @@ def later_windows(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     return candidates.join(first, "key").where(here > F.col("first")).select("doc_id", "_rid", "i")
 
 
-def dedup_lines(docs: DataFrame, window: int = WINDOW) -> DataFrame:
-    """docs with the repeated runs of lines removed from text, plus n_lines and n_removed."""
+def dedup_lines(docs: DataFrame, window: int = WINDOW, words: int | None = None) -> DataFrame:
+    """docs with the repeated runs of lines removed from text, plus n_lines and n_removed; with ``words``, shorter runs of that many words also go."""
+    at = F.col("i")
+    later = later_windows(docs, window).select("doc_id", "_rid", F.sequence(at, at + window - 1).alias("run"))
+    for k in range(1, window if words is not None else 1):
+        later = later.unionByName(later_windows(docs, k, words).select("doc_id", "_rid", F.sequence(at, at + k - 1).alias("run")))
     hits = (
-        later_windows(docs, window)
-        .groupBy("doc_id", "_rid")
-        .agg(F.array_distinct(F.flatten(F.collect_list(F.sequence(F.col("i"), F.col("i") + window - 1)))).alias("_gone"))
+        later.groupBy("doc_id", "_rid")
+        .agg(F.array_distinct(F.flatten(F.collect_list("run"))).alias("_gone"))
         .withColumnsRenamed({"doc_id": "_hit_id", "_rid": "_hit_rid"})
     )
     own = docs.drop("n_lines", "n_removed").withColumn("_rid", row_key())
