@@ -7,24 +7,27 @@ rank: pairs are looked up in an open-addressing hash table held in numpy
 arrays, the merged place is closed up, and rows that have no pair left are
 taken out. Only the two pairs beside a merge are looked up again.
 
-Pieces of over ``WIDE`` bytes, whose matrix would grow with the square of
-their length, are merged in the same order with a heap.
+Pieces of over ``WIDE`` bytes are first cut where two bytes stand together in
+no token; what is still longer is a row by itself, so that no matrix is padded
+to its width, and merges all places of its minimum-rank pair in one round.
+Where such a merge makes a pair of a lower rank, the round has one merge only.
 
 Encoded stretches of text are kept in a bounded table in each worker. A
 stretch ends at a single space between two other characters: there no piece
-goes across, and the space belongs to what follows. Texts with other white
-space beside a space are cut as a whole.
+goes across, and the space belongs to what follows. Very long texts are cut
+into chunks there too.
 
 * A null text counts as an empty text: no ids.
 * Special tokens do not exist here; their strings are ordinary text.
 * Rows are independent of each other: repeated rows get equal results.
-* Columns beside doc_id and text aren't read.
+* An empty table gives an empty result.
+* Columns beside doc_id and text aren't read, so clashing names don't matter.
 """
 
 from __future__ import annotations
 
 import base64
-import heapq
+import re
 
 import numpy as np
 import pyarrow as pa
@@ -32,14 +35,14 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from eventide.llm.common import load, mix64
+from eventide.llm.common import Known, load, mix64
 
-#: Bytes of a piece above which a heap merges it.
+#: Bytes of a row above which it is merged by itself.
 WIDE = 256
-#: Entries of the worker's tables before they are emptied.
-KEPT = 400_000
+#: Cells of a matrix; with CHUNK, the characters cut together, it bounds a worker's memory.
+CELLS, CHUNK = 1 << 19, 1 << 20
 #: Characters of text that are looked at together.
-SLICE = 4_000_000
+SLICE = 2_000_000
 _NONE = np.int32(0x7FFFFFFF)
 _EMPTY = np.uint64(0xFFFFFFFFFFFFFFFF)
 
@@ -95,8 +98,11 @@ class ByteBPE:
         self.single = np.array([ranks[bytes([i])] for i in range(256)], np.int32)
         self.pattern = regex.compile(pattern)
         self.runs = regex.compile(r" \s|\s ")
-        self.pieces: dict[str, bytes] = {}
-        self.stretches: dict[str, bytes] = {}
+        self.between = re.compile(r"(?<=\S)(?= \S)")
+        self.pieces, self.stretches = Known(), Known()
+        self.together = np.zeros((256, 256), bool)
+        for token in self.tokens:
+            self.together[list(token[:-1]), list(token[1:])] = True
 
     def _matrix(self, mat: np.ndarray) -> list[np.ndarray]:
         """Ids of each row of a matrix that is padded with -1."""
@@ -124,72 +130,113 @@ class ByteBPE:
             after = np.flatnonzero(at < width - 2)
             rank[after, at[after]] = self.table.look_up(mat[after, at[after]], mat[after, at[after] + 1])
 
-    def _heap(self, raw: bytes) -> np.ndarray:
-        """Merges of a long piece, leftmost minimum rank first."""
-        ids = self.single[np.frombuffer(raw, np.uint8)]
-        n = len(ids)
-        first = self.table.look_up(ids[:-1], ids[1:])
-        heap = [(int(r), i) for i, r in enumerate(first) if r != _NONE]
-        heapq.heapify(heap)
-        ids = ids.tolist()
-        after, before, rank = list(range(1, n + 1)), list(range(-1, n - 1)), first.tolist() + [int(_NONE)]
-
-        def again(i: int) -> None:
-            j = after[i]
-            rank[i] = int(self.table.look_up(np.array([ids[i]]), np.array([ids[j]]))[0]) if j < n else int(_NONE)
-            if rank[i] != _NONE:
-                heapq.heappush(heap, (rank[i], i))
-
-        while heap:
-            r, i = heapq.heappop(heap)
-            if ids[i] < 0 or rank[i] != r:
-                continue
-            j = after[i]
-            ids[i], ids[j], after[i], rank[j] = r, -1, after[j], int(_NONE)
-            if after[i] < n:
-                before[after[i]] = i
-            again(i)
-            if before[i] >= 0:
-                again(before[i])
-        return np.array([x for x in ids if x >= 0], np.int32)
+    def _long(self, ids: np.ndarray) -> np.ndarray:
+        """Ids of one long row. Every place of its minimum-rank pair merges in a round, from the left, unless that makes a pair of a lower rank."""
+        rank = self.table.look_up(ids[:-1], ids[1:])
+        while len(rank) and (low := rank.min()) != _NONE:
+            at = np.flatnonzero(rank == low)
+            # Of pairs that overlap (all of one id), every other one.
+            runs = np.flatnonzero(np.append(True, np.diff(at) > 1))
+            at = at[(np.arange(len(at)) - np.repeat(runs, np.diff(np.append(runs, len(at))))) % 2 == 0]
+            behind = at[at + 2 < len(ids)] + 2
+            if (self.table.look_up(np.full(len(behind), low), ids[behind]) < low).any():
+                at = at[:1]
+            merged = self._closed_up(ids, rank, at, low)
+            if len(at) > 1 and merged[2] < low:
+                merged = self._closed_up(ids, rank, at[:1], low)
+            ids, rank, _ = merged
+        return ids
+
+    def _closed_up(self, ids: np.ndarray, rank: np.ndarray, at: np.ndarray, low: int) -> tuple[np.ndarray, np.ndarray, int]:
+        """Ids and ranks with the pairs at ``at`` merged, and the lowest of the new ranks."""
+        stays = np.ones(len(ids), bool)
+        stays[at + 1] = False
+        ids = ids.copy()
+        ids[at] = low
+        ids, rank = ids[stays], rank[stays[1:]].copy()
+        now = at - np.arange(len(at))
+        beside = np.concatenate([now[now > 0] - 1, now[now < len(rank)]])
+        rank[beside] = new = self.table.look_up(ids[beside], ids[beside + 1])
+        return ids, rank, int(new.min()) if len(new) else int(_NONE)
+
+    def _rows(self, raw: bytes) -> list[bytes]:
+        """A piece cut where the two bytes stand together in no token: no merge goes across."""
+        b = np.frombuffer(raw, np.uint8)
+        ends = (np.flatnonzero(~self.together[b[:-1], b[1:]]) + 1).tolist()
+        return [raw[i:j] for i, j in zip([0, *ends], [*ends, len(raw)], strict=True)]
 
     def encode_pieces(self, pieces: list[str]) -> list[bytes]:
         """Ids of distinct pieces, as little-endian unsigned 32-bit integers."""
         raw = [p.encode("utf-8", "surrogatepass") for p in pieces]
+        own = [self._rows(p) if len(p) > WIDE else [p] for p in raw]
+        raw = [r for rows in own for r in rows]
         sizes = np.fromiter(map(len, raw), np.int64, len(raw))
         out: list[bytes] = [b""] * len(raw)
         bucket = np.where(sizes > WIDE, -1, np.ceil(np.log2(np.maximum(sizes, 2))).astype(np.int64))
         for i in np.flatnonzero(bucket < 0):
-            out[i] = self._heap(raw[i]).astype("<u4").tobytes()
+            out[i] = self._long(self.single[np.frombuffer(raw[i], np.uint8)]).astype("<u4").tobytes()
         for b in np.unique(bucket[bucket >= 0]):
             rows = np.flatnonzero(bucket == b)
-            for part in np.array_split(rows, -(-len(rows) * (1 << int(b)) // 2_000_000)):
+            for part in np.array_split(rows, -(-len(rows) * (1 << int(b)) // CELLS)):
                 width = int(sizes[part].max())
                 mat = np.full((len(part), width), -1, np.int32)
                 inside = np.arange(width) < sizes[part][:, None]
                 mat[inside] = self.single[np.frombuffer(b"".join(raw[i] for i in part), np.uint8)]
                 for i, ids in zip(part, self._matrix(mat), strict=True):
                     out[i] = ids.astype("<u4").tobytes()
-        return out
+        ends = np.cumsum([0, *map(len, own)]).tolist()
+        return [out[i] if j == i + 1 else b"".join(out[i:j]) for i, j in zip(ends, ends[1:], strict=False)]
+
+    def _cut(self, text: str) -> list[str]:
+        """Stretches of the text; no piece goes across their ends."""
+        if self.runs.search(text) or text[:1] == " " or text[-1:] == " ":
+            return self.between.split(text)
+        words = text.split(" ")
+        return words[:1] + [" " + x for x in words[1:]]
+
+    def _chunks(self, text: str):
+        """The text in parts of about ``CHUNK`` characters that end where stretches do."""
+        a = 0
+        while len(text) - a > CHUNK:
+            m = self.between.search(text, a + CHUNK)
+            if not m:
+                break
+            yield text[a : m.start()]
+            a = m.start()
+        yield text[a:] if a else text
+
+    def _learn(self, parts: list[list[str]]) -> list[str]:
+        """Put all stretches into the table; those to be dropped again afterwards."""
+        new = self.stretches.enter(set().union(*parts))
+        found = [self.pattern.findall(m) for m in new]
+        pieces = self.pieces.enter({p for ps in found for p in ps})
+        self.pieces.update(zip(pieces, self.encode_pieces(pieces), strict=True))
+        self.stretches.update((m, b"".join(map(self.pieces.__getitem__, ps))) for m, ps in zip(new, found, strict=True))
+        self.pieces.leave(pieces)
+        return new
 
     def encode_batch(self, texts: list[str]) -> list[bytes]:
         """Ids of texts, as little-endian unsigned 32-bit integers."""
-        cut = [[t] if self.runs.search(t) or t[:1] == " " or t[-1:] == " " else (p := t.split(" "))[:1] + [" " + x for x in p[1:]] for t in texts]
-        missing = set().union(*cut) - self.stretches.keys()
-        known = {} if len(self.stretches) + len(missing) > KEPT else self.stretches
-        if known is not self.stretches:
-            missing = set().union(*cut)
-        found = [(m, self.pattern.findall(m)) for m in missing]
-        pieces = list({p for _, ps in found for p in ps} - self.pieces.keys())
-        if len(self.pieces) + len(pieces) > KEPT:
-            self.pieces = {}
-            pieces = list({p for _, ps in found for p in ps})
-        self.pieces.update(zip(pieces, self.encode_pieces(pieces), strict=True))
-        own = self.pieces.__getitem__
-        known.update((m, b"".join(map(own, ps))) for m, ps in found)
-        out = [b"".join(map(known.__getitem__, c)) for c in cut]
-        self.stretches = known if len(known) <= KEPT else {}
-        return out
+        made: list[list[bytes]] = [[] for _ in texts]
+        waiting: list[tuple[int, list[str]]] = []
+
+        def flush():
+            new = self._learn([p for _, p in waiting])
+            for i, p in waiting:
+                made[i].append(b"".join(map(self.stretches.__getitem__, p)))
+            self.stretches.leave(new)
+            waiting.clear()
+
+        n = 0
+        for i, text in enumerate(texts):
+            for chunk in self._chunks(text):
+                waiting.append((i, self._cut(chunk)))
+                n += len(chunk)
+                if n >= CHUNK:
+                    flush()
+                    n = 0
+        flush()
+        return [m[0] if len(m) == 1 else b"".join(m) for m in made]
 
     def decode(self, ids: bytes) -> bytes:
         return b"".join(map(self.tokens.__getitem__, np.frombuffer(ids, "<u4").tolist()))

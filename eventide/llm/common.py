@@ -39,10 +39,41 @@ def remove_path(spark: SparkSession, path: str) -> None:
     at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
 
 
-def cut(df: DataFrame) -> DataFrame:
-    """Cut the lineage with a checkpoint in the shared folder."""
-    shared_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+class Known(dict):
+    """What a worker has learned of strings, as bytes, within a bound of about ``most`` bytes.
+
+    A string stays from the second time on that it is new, as most are never
+    met again. Beyond the bound only what is in use stays.
+    """
+
+    #: Bytes of an entry beside its characters and value, and marks of strings that were met once.
+    ENTRY, MARKS = 220, 1 << 22
+
+    def __init__(self, most: int = 48 << 20):
+        super().__init__()
+        self.most, self.held, self.met, self.marked = most, 0, bytearray(self.MARKS), 0
+
+    def enter(self, used: set[str]) -> list[str]:
+        """Those of the strings that aren't known yet; all others stay."""
+        if self.held > self.most:
+            kept = {p: self[p] for p in used & self.keys()}
+            self.clear()
+            self.update(kept)
+            self.held = sum(map(len, self)) + self.ENTRY * len(self)
+        return list(used.difference(self))
+
+    def leave(self, new: list[str]) -> None:
+        """Drop those of the new strings that were met once."""
+        for p in new:
+            at = hash(p) % self.MARKS
+            if self.met[at]:
+                self.held += len(p) + self.ENTRY
+            else:
+                self.met[at] = 1
+                self.marked += 1
+                del self[p]
+        if self.marked > self.MARKS // 2:
+            self.met, self.marked = bytearray(self.MARKS), 0
 
 
 def partitions(df: DataFrame) -> int:

@@ -2,24 +2,33 @@
 
 A sequence is a bin with three limits: tokens, segments and loss-bearing
 tokens. A piece of a document is a vector of its three sizes. Whole sequences
-are cut off long documents first. What is left waits in a pool; the open
-sequence takes the waiting piece that fits and has the greatest dot product
-of its sizes with the room left, each dimension divided by its limit. Where
-none fits, the piece with the most tokens is cut so that the room is filled.
+are cut off long documents first. What is left waits; the open sequence takes
+the waiting piece that fits and has the greatest dot product of its sizes with
+the room left, each dimension divided by its limit. Where none fits, the piece
+with the most tokens is cut so that the room is filled.
+
+Pieces of equal vectors wait in one queue, so a choice looks at different
+vectors only, however many pieces wait. ``POOL`` counts waiting ids, not
+pieces: short documents fill sequences as well as long ones.
 
 Each task packs the rows of its own partition, so nothing is shuffled and
-only the last sequences of a partition may have room left. Sequence ids are
+only the last sequence of a partition may have room left. Sequence ids are
 the partition's number and a count; a task that runs again gives the same.
 
-* A null text counts as an empty text: the end id alone.
-* Rows are packed by themselves: rows that repeat are packed as often.
+* A null text counts as an empty text: the end id alone. An empty table has
+  no sequences.
+* Very long texts are tokenized in stretches and cut into whole sequences;
+  what waits of them is less than a sequence.
+* Rows are packed by themselves: rows that repeat are packed as often. Of
+  pieces that are worth the same, the one that has waited longest goes first.
 * ``loss_from``, where given, names a column with the number of leading ids
   that bear no loss (a prompt); null counts as 0.
-* Columns beside those aren't read.
+* Columns beside those aren't read, so clashing names don't matter.
 """
 
 from __future__ import annotations
 
+from collections import deque
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -32,15 +41,16 @@ from eventide.llm import word_bpe
 from eventide.llm.byte_bpe import slices
 from eventide.llm.common import load
 
-MAX_TOKENS, MAX_SEGMENTS = 2048, 512
-#: Pieces that wait at most; bounds a task's memory.
-POOL = 256
+#: The limit of segments is as high as that of tokens, so documents of one id fill sequences too; training with fewer sets a lower one.
+MAX_TOKENS, MAX_SEGMENTS = 2048, 2048
+#: Sequences' worth of ids that wait before one is filled; bounds a task's memory.
+POOL = 64
 
 
 @dataclass
 class Piece:
     doc: int | None
-    ids: bytes
+    ids: bytes | memoryview
     start: int
     n: int
     free: int  # leading ids of the document that bear no loss
@@ -61,24 +71,26 @@ class Packer:
     max_loss: int = MAX_TOKENS
     base: int = 0
     sequence: int = 0
-    pool: list[Piece] = field(default_factory=list)
+    #: Waiting pieces by their vector: (tokens, loss-bearing tokens).
+    pool: dict[tuple[int, int], deque[Piece]] = field(default_factory=dict)
+    waiting: int = 0
 
     def add(self, piece: Piece):
         """Takes a document; yields (piece, sequence, offset) as sequences fill up."""
         while (k := piece.within(self.max_tokens, self.max_loss)) < piece.n or k == self.max_tokens:
             if k < self.max_tokens:  # the loss limit cuts it: it waits for others that bear no loss
-                self.pool.append(self._head(piece, k))
+                self._wait(self._head(piece, k))
             else:
                 yield self._head(piece, k), self.base + self.sequence, 0
                 self.sequence += 1
             if not piece.n:
                 return
-        self.pool.append(piece)
-        while len(self.pool) > POOL:
+        self._wait(piece)
+        while self.waiting > POOL * self.max_tokens:
             yield from self._fill()
 
     def finish(self):
-        while self.pool:
+        while self.waiting:
             yield from self._fill()
 
     @staticmethod
@@ -88,32 +100,53 @@ class Packer:
         piece.ids, piece.start, piece.n = piece.ids[4 * k :], piece.start + k, piece.n - k
         return head
 
+    def _wait(self, piece: Piece, first: bool = False) -> None:
+        piece.ids = bytes(piece.ids)  # its own copy, not a view that holds the whole document
+        queue = self.pool.setdefault((piece.n, piece.loss()), deque())
+        (queue.appendleft if first else queue.append)(piece)
+        self.waiting += piece.n
+
+    def _take(self, vector: tuple[int, int]) -> Piece:
+        queue = self.pool[vector]
+        piece = queue.popleft()
+        if not queue:
+            del self.pool[vector]
+        self.waiting -= piece.n
+        return piece
+
     def _fill(self):
-        """Fill one sequence from the pool."""
-        pool = self.pool
-        n, start, free = np.array([(p.n, p.start, p.free) for p in pool], np.int64).T.copy()
-        loss = np.maximum(start + n - np.maximum(start, free), 0)
+        """Fill one sequence from what waits."""
         tokens, segments, bearing, offset = self.max_tokens, self.max_segments, self.max_loss, 0
-        waiting = np.ones(len(pool), bool)
-        fits = (n <= tokens) & (loss <= bearing)
-        while tokens and segments and waiting.any():
+        vectors = list(self.pool)
+        n, loss = np.array(vectors, np.int64).T.copy()
+        left = np.array([len(self.pool[v]) for v in vectors])
+        while tokens and segments and self.waiting:
+            fits = (left > 0) & (n <= tokens) & (loss <= bearing)
             if fits.any():
                 # The dot product with the room left; every piece adds the same for its one segment.
                 value = n * (tokens / self.max_tokens**2) + loss * (bearing / self.max_loss**2) + segments / self.max_segments**2
                 at = int(np.where(fits, value, -1.0).argmax())
-                piece, waiting[at] = pool[at], False
+                piece = self._take(vectors[at])
+                left[at] -= 1
             else:
-                room = np.where(waiting, np.minimum(np.minimum(n, tokens), np.maximum(free - start, 0) + bearing), 0)
+                # None fits whole: ids that bear no loss lead a piece, so at least so many of it fit.
+                room = np.where(left > 0, np.minimum(tokens, n - loss + bearing), 0)
                 if not room.max():
                     break
                 at = int(np.where(room == room.max(), n, -1).argmax())
-                piece = self._head(pool[at], int(room[at]))
-                n[at], start[at], loss[at] = pool[at].n, pool[at].start, pool[at].loss()
+                whole = self._take(vectors[at])
+                left[at] -= 1
+                piece = self._head(whole, min(int(room[at]), whole.n))
+                self._wait(whole, first=True)
+                key = (whole.n, whole.loss())
+                if key in vectors:
+                    left[vectors.index(key)] += 1
+                else:
+                    vectors.append(key)
+                    n, loss, left = np.append(n, key[0]), np.append(loss, key[1]), np.append(left, 1)
             yield piece, self.base + self.sequence, offset
             offset += piece.n
             tokens, segments, bearing = tokens - piece.n, segments - 1, bearing - piece.loss()
-            fits = waiting & (n <= tokens) & (loss <= bearing)
-        self.pool = [p for p, w in zip(pool, waiting.tolist(), strict=True) if w]
         self.sequence += 1
 
 
@@ -124,7 +157,7 @@ def _pack(path: str, end_id: int, limits: tuple[int, int, int]):
     end = np.array([end_id], "<u4").tobytes()
 
     def batch_of(placed):
-        rows = [(p.doc, p.start, p.n, p.ids, p.total, s, o) for p, s, o in placed]
+        rows = [(p.doc, p.start, p.n, bytes(p.ids), p.total, s, o) for p, s, o in placed]
         return pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], kind) for i, (_, kind) in enumerate(_OUT)], names=[n for n, _ in _OUT])
 
     def run(batches):
@@ -136,7 +169,7 @@ def _pack(path: str, end_id: int, limits: tuple[int, int, int]):
                 placed = []
                 for key, ids, free in zip(keys[a:z], bpe.encode_batch(texts[a:z]), frees[a:z], strict=True):
                     n = len(ids) // 4 + 1
-                    placed += packer.add(Piece(key, ids + end, 0, n, min(max(free or 0, 0), n), n))
+                    placed += packer.add(Piece(key, memoryview(ids + end), 0, n, min(max(free or 0, 0), n), n))
                 yield batch_of(placed)
         yield batch_of(packer.finish())
 

@@ -1,10 +1,13 @@
-"""Whole texts to ids with the tokenizers library, a table of known words in each worker before it.
+"""Whole texts to ids with the tokenizers library, a table of known pieces in each worker before it.
 
 ASCII white space ends every token and is dropped by the vocabulary's rules,
-so a text's ids are those of its ``[^\\x20\\x09-\\x0D]+`` words in order. Words
-are looked up first; for one that is new and has no character above U+00FF and
-no ``<|``, its pieces by the file's own pattern are looked up, and only pieces
-never seen go through the library. All other words go through it whole.
+so a text's ids are those of its pieces in order. Texts are cut into pieces by
+the file's own rule, written out for characters up to U+00FF; a piece that was
+seen before is looked up, and new ones go through the library's model. A word
+with a character above U+00FF or ``<|`` goes through the library whole.
+
+Long texts are cut at white space, so memory is bounded by ``CHUNK``
+characters and a table of ``TABLE_BYTES``, whatever the texts.
 """
 
 from __future__ import annotations
@@ -12,22 +15,47 @@ from __future__ import annotations
 import json
 import os
 import re
+from itertools import chain
 
 import numpy as np
-import regex
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-#: Entries of the worker's tables before they are emptied.
-KEPT = 1_000_000
-#: Stands between the ids of two words; ids are below 2**24, so no part of theirs looks like it.
-_MARK = b"\xff\xff\xff\xff"
+from eventide.llm.common import Known
+
+#: Bytes of the worker's table.
+TABLE_BYTES = 64 << 20
+#: Characters cut into pieces together.
+CHUNK = 1 << 20
+
+# Letters and numbers up to U+00FF, as classes L and N of the Unicode standard have them.
+_L, _N, _S = "a-z\xaa\xb5\xba\xc0-\xd6\xd8-\xf6\xf8-\xff", "0-9\xb2\xb3\xb9\xbc-\xbe", "\x09-\x0d \x85\xa0"
+# Fixed value: the rule of the vocabulary, whose letters and numbers are written out above.
+RULE = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+_PIECE = re.compile(RULE.replace(r"[^\s\p{L}\p{N}]", f"[^{_S}{_L}{_N}]").replace(r"[\p{L}]", f"[{_L}]").replace(r"[\p{N}]", f"[{_N}]"))
+_WORD = re.compile(r"[^\x09-\x0d ]+")
+_BLANK = re.compile(r"[\x09-\x0d ]")
+_ODD = re.compile(r"[^\x00-\xff]|<\|")
+#: Marks a word that goes through the library whole; no piece holds it.
+_WHOLE = "\n"
+
+
+def chunks(text: str, most: int = 0):
+    """The text in parts of about so many characters that end at white space."""
+    a, most = 0, most or CHUNK
+    while len(text) - a > most:
+        m = _BLANK.search(text, a + most)
+        if not m:
+            break
+        yield text[a : m.start()]
+        a = m.start()
+    yield text[a:] if a else text
 
 
 class WordBPE:
     def __init__(self, path: str):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_file(path)
         with open(path, encoding="utf-8") as f:
@@ -36,46 +64,58 @@ class WordBPE:
         rules = [x["type"] for x in (made.get("normalizer") or {}).get("normalizers", [])]
         split = [x for x in (made.get("pre_tokenizer") or {}).get("pretokenizers", []) if x["type"] == "Split"]
         fits = rules == ["NFC", "Replace", "Lowercase"] and len(split) == 1 and split[0]["behavior"] == "Removed" and split[0]["invert"]
-        self.pattern = regex.compile("\n|" + split[0]["pattern"]["Regex"]) if fits else None
-        self.wide = re.compile("[^\x00-\xff]")
-        self.spaced = rules[:2] == ["NFC", "Replace"] and bool(fits)
-        self.words: dict[bytes, bytes] = {}
-        self.pieces: dict[str, bytes] = {"\n": _MARK}
+        self.spaced = bool(fits and split[0]["pattern"]["Regex"] == RULE)
+        level = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
+        self.bytes = {i: level.pre_tokenize_str(chr(i))[0][0] for i in range(256)}
+        self.table = Known(TABLE_BYTES)
 
     def _library(self, texts: list[str]) -> list[bytes]:
         return [np.array(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def _learn(self, words: list[bytes], table: dict[bytes, bytes]) -> None:
-        joined = b"\n".join(words).decode("utf-8", "replace")
-        if "<|" in joined or self.wide.search(joined):
-            odd = [w for w in words if b"<|" in w or self.wide.search(w.decode("utf-8", "replace"))]
-            table.update(zip(odd, self._library([w.decode("utf-8", "replace") for w in odd]), strict=True))
-            rest = set(words) - set(odd)
-            words = [w for w in words if w in rest]
-            joined = b"\n".join(words).decode("utf-8", "replace")
-        # All words are cut at once; no word holds the line feed between them, nor ids the mark that stands for it.
-        parts = self.pattern.findall(joined.lower())
-        new = list(set(parts) - self.pieces.keys())
-        if len(self.pieces) + len(new) > KEPT:
-            self.pieces = {"\n": _MARK}
-            new = list(set(parts) - self.pieces.keys())
-        self.pieces.update(zip(new, self._library(new), strict=True))
-        if words:
-            table.update(zip(words, b"".join(map(self.pieces.__getitem__, parts)).split(_MARK), strict=True))
+    def _pieces(self, pieces: list[str]) -> list[bytes]:
+        """Ids of pieces, which are what the library's rules would cut: its model alone is left to do."""
+        tokenize = self.tokenizer.model.tokenize
+        return [np.array([t.id for t in tokenize(p.translate(self.bytes))], "<u4").tobytes() for p in pieces]
+
+    def _cut(self, text: str) -> list[str]:
+        if not _ODD.search(text):
+            return _PIECE.findall(text.lower())
+        words = _WORD.findall(text)
+        return list(chain.from_iterable([_WHOLE + w] if _ODD.search(w) else _PIECE.findall(w.lower()) for w in words))
+
+    def _learn(self, parts: list[list[str]]) -> list[str]:
+        """Put all parts into the table; those that are new."""
+        new = self.table.enter(set().union(*parts))
+        whole = [w for w in new if w[0] == _WHOLE]
+        pieces = [w for w in new if w[0] != _WHOLE]
+        self.table.update(zip(pieces, self._pieces(pieces), strict=True))
+        self.table.update(zip(whole, self._library([w[1:] for w in whole]), strict=True))
+        return new
 
     def encode_batch(self, texts: list[str]) -> list[bytes]:
         """Ids of texts, as little-endian unsigned 32-bit integers, without special tokens added."""
         if not self.spaced:
             return self._library(texts)
-        cut = [t.encode("utf-8", "replace").split() for t in texts]
-        missing = set().union(*cut) - self.words.keys()
-        table = self.words
-        if len(table) + len(missing) > KEPT:
-            table, missing = {}, set().union(*cut)
-        self._learn(list(missing), table)
-        out = [b"".join(map(table.__getitem__, c)) for c in cut]
-        self.words = table if len(table) <= KEPT else {}
-        return out
+        made: list[list[bytes]] = [[] for _ in texts]
+        waiting: list[tuple[int, list[str]]] = []
+
+        def flush():
+            new = self._learn([p for _, p in waiting])
+            for i, p in waiting:
+                made[i].append(b"".join(map(self.table.__getitem__, p)))
+            self.table.leave(new)
+            waiting.clear()
+
+        n = 0
+        for i, text in enumerate(texts):
+            for chunk in chunks(text.encode("utf-8", "replace").decode() if not text.isascii() else text):
+                waiting.append((i, self._cut(chunk)))
+                n += len(chunk)
+                if n >= CHUNK:
+                    flush()
+                    n = 0
+        flush()
+        return [m[0] if len(m) == 1 else b"".join(m) for m in made]
 
 
 _LOADED: dict[str, WordBPE] = {}

@@ -144,13 +144,43 @@ def test_encoders_equal_the_libraries():
     assert [np.frombuffer(x, "<u4").tolist() for x in own.encode_batch(texts)] == [e.ids for e in tok.encode_batch(texts, add_special_tokens=False)]
 
 
-def test_tables_are_emptied_when_full(monkeypatch):
-    monkeypatch.setattr(word_bpe, "KEPT", 5)
-    monkeypatch.setattr(byte_bpe, "KEPT", 5)
-    texts = [t or "" for _, t in TEXTS[:12]]
+def test_tables_keep_to_their_bounds(monkeypatch):
+    texts = [t or "" for _, t in TEXTS]
     a, b = word_bpe.WordBPE(WORD_BPE), byte_bpe.ByteBPE(BYTE_BPE, pt.PATTERN)
-    assert [x for t in texts for x in a.encode_batch([t])] == a.encode_batch(texts) and [x for t in texts for x in b.encode_batch([t])] == b.encode_batch(texts)
-    assert len(a.words) <= 5 and len(b.stretches) <= 5
+    want = a.encode_batch(texts), b.encode_batch(texts)
+    for m in (word_bpe, byte_bpe):
+        monkeypatch.setattr(m, "CHUNK", 50)
+    for table in (a.table, b.pieces, b.stretches):
+        table.most = 2000
+    for _ in range(3):
+        assert ([x for t in texts for x in a.encode_batch([t])], [x for t in texts for x in b.encode_batch([t])]) == want
+    assert max(len(x) for x in (a.table, b.pieces, b.stretches)) < 60
+
+
+def test_long_pieces_equal_the_library():
+    import tiktoken
+
+    r = random.Random(6)
+    ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, open(BYTE_BPE, "rb"))}
+    ref = tiktoken.Encoding("own", pat_str=pt.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    texts = ["".join(r.choice(alphabet) for _ in range(n)) for alphabet in ("etaoin", "=-", "ab", "приветдом", "中文字汉语", "a", "abcdefghijklmnopqrstuvwxyz") for n in (255, 256, 257, 700, 3000)]
+    bpe = byte_bpe.ByteBPE(BYTE_BPE, pt.PATTERN)
+    assert [np.frombuffer(x, "<u4").tolist() for x in bpe.encode_batch(texts)] == [ref.encode_ordinary(t) for t in texts]
+
+
+def test_a_long_row_merges_the_leftmost_minimum_pair_each_time():
+    """Ranks for which merging all places of a pair at once would be wrong."""
+    r = random.Random(7)
+    for _ in range(30):
+        bpe = byte_bpe.ByteBPE.__new__(byte_bpe.ByteBPE)
+        pairs = {(r.randrange(9), r.randrange(9)): k for k in r.sample(range(3, 40), 25)}
+        bpe.table = byte_bpe.PairTable(np.array([a << 32 | b for a, b in pairs], np.uint64), np.array(list(pairs.values()), np.int32))
+        ids = [r.randrange(3) for _ in range(60)]
+        want = list(ids)
+        while found := [(pairs[p], i) for i, p in enumerate(zip(want, want[1:])) if p in pairs]:
+            low, i = min(found)
+            want[i : i + 2] = [low]
+        assert bpe._long(np.array(ids, np.int32)).tolist() == want
 
 
 def encoded(end):
@@ -246,6 +276,26 @@ def test_packing_prefers_the_greatest_dot_product():
     assert [(p.doc, s, o) for p, s, o in packer.finish()] == [(2, 0, 0), (1, 0, 7)]
 
 
+@pytest.mark.parametrize("size", [1, 3, 6, 40])
+def test_packing_of_short_documents_has_little_padding(size):
+    packer = packing.Packer()
+    placed = [x for i in range(20_000) for x in packer.add(packing.Piece(i, bytes(4 * size), 0, size, 0, size))] + list(packer.finish())
+    assert len({s for _, s, _ in placed}) == -(-20_000 * size // 2048)
+    assert sum(p.n for p, _, _ in placed) == 20_000 * size
+
+
+def test_packing_query(spark, docs, tmp_path):
+    """op5_packing's own columns, from the library's ids."""
+    docs.write.parquet(str(tmp_path / "documents.parquet"))
+    rows = packing.op5_packing(spark, str(tmp_path)).collect()
+    want = Counter((i, zlib.crc32(x.tobytes()), len(x)) for (i, _), x in zip(TEXTS, encoded(1), strict=True) if len(x) < 2048)
+    whole = Counter((r.doc_id, r.ids_crc32, r.doc_tokens) for r in rows if r.start == 0 and r.length == r.doc_tokens)
+    assert not whole - want and sum(r.length for r in rows) == sum(map(len, encoded(1)))
+    seqs = pieces_hold(rows, want, (2048, 2048))
+    assert sum(sum(r.length for r in s) for s in seqs.values()) > 0.9 * 2048 * (len(seqs) - 3)
+    assert rows[0].asDict().keys() == {"doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"}
+
+
 # Fingerprints.
 
 
