@@ -91,9 +91,21 @@ def text_or_empty(name: str = "text") -> Column:
     return F.coalesce(F.col(name).cast("string"), F.lit(""))
 
 
-def row_key() -> Column:
+def row_key(text: str = "text") -> Column:
     """Tells rows apart that share a doc_id; rows with the same doc_id and text share a key."""
-    return F.xxhash64("doc_id", text_or_empty())
+    return F.xxhash64("doc_id", text_or_empty(text))
+
+
+def spare(df: DataFrame, *names: str) -> list[str]:
+    """Names for columns of an operator's own, none of which the frame has."""
+    taken, out = {c.lower() for c in df.columns}, []
+    for name in names:
+        own = f"_{name}"
+        while own in taken:
+            own = f"_{own}"
+        taken.add(own)
+        out.append(own)
+    return out
 
 
 def let(value: Column, body) -> Column:

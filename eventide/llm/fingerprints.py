@@ -2,18 +2,26 @@
 
 A paragraph is a line; a section is a run of ``SECTION`` paragraphs. Leaves
 are the pieces of up to ``PIECE`` code points that a paragraph is cut into
-from its start, with 32-bit digests. Paragraphs are hashed with SHA-256,
-sections over the digests of their paragraphs, the root over the sections'.
-
-``fingerprint`` is ``root:leaves``: the root's 64 hexadecimal digits, then each
-paragraph's leaf digests (8 digits each), paragraphs separated by ``.`` and
-sections by ``/``. Roots test equality; branches that differ locate edits
-(:func:`differing`); the shared leaves give the likeness of two fingerprints.
+from its start. A leaf's digest is its SHA-256; a paragraph's is that of its
+leaves' digests, a section's that of its paragraphs', the root that of the
+sections'.
+
+``fingerprint`` is ``root:section/section/...`` with a section written as
+``digest=paragraph.paragraph...`` and a paragraph as its digest followed by
+those of its leaves. The root is whole (64 hexadecimal digits), all others are
+their first 8 digits. Roots test equality; branches that differ locate edits
+(:func:`differing`) and tell the likeness of two fingerprints
+(:func:`likeness`), from the sections down: what is below equal branches isn't
+looked at. The string grows with the text, by 8 digits for each ``PIECE`` code
+points: only so an edit can be located from two fingerprints alone.
 
 * A null text counts as an empty text: one empty paragraph without leaves.
 * Equal texts, repeated rows included, have equal fingerprints.
-* The next document of rows with one doc_id is the next of them by text.
+* The next document of rows with one doc_id is the next of them by text. A
+  single row is its own next; an empty table gives an empty result.
 * Nulls in doc_id stand before all others.
+* Very long texts are hashed whole, in their row.
+* Other columns are kept by :func:`with_next`, whose own names yield to theirs.
 """
 
 from __future__ import annotations
@@ -21,114 +29,135 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from eventide.llm.common import let, load, partitions, text_or_empty
+from eventide.llm.common import let, load, partitions, spare, text_or_empty
 
 PIECE = 32
 SECTION = 16
 LEAST = -(1 << 63)
+#: Ranges of doc_id at most; each is sorted by itself, on disk where it must be, so the driver's list of bounds stays small whatever the table.
+RANGES = 1 << 16
 
 
-def _paragraphs(text: Column) -> Column:
-    return F.split(text, "\n")
+def fingerprint(text: Column) -> Column:
+    """The fingerprint as a string."""
+    short = lambda h: F.substring(h, 1, 8)
+    digest = lambda parts: F.sha2(F.array_join(parts, ""), 256)
 
+    def paragraph(p: Column) -> Column:
+        pieces = F.regexp_extract_all(p, F.lit(f"(?s).{{1,{PIECE}}}"), F.lit(0))
+        leaves = F.transform(pieces, lambda x: F.sha2(x, 256))
+        return let(leaves, lambda ls: F.struct(digest(ls).alias("h"), F.array_join(F.transform(ls, short), "").alias("leaves")))
 
-def leaves(text: Column) -> Column:
-    """Leaf digests by paragraph: array<array<int>>."""
-    return F.transform(
-        _paragraphs(text), lambda p: F.transform(F.regexp_extract_all(p, F.lit(f"(?s).{{1,{PIECE}}}"), F.lit(0)), lambda x: F.hash(x))
-    )
+    def section(ps: Column) -> Column:
+        shown = F.array_join(F.transform(ps, lambda p: F.concat(short(p["h"]), p["leaves"])), ".")
+        return F.struct(digest(F.transform(ps, lambda p: p["h"])).alias("h"), shown.alias("paragraphs"))
 
+    def sections(ps: Column) -> Column:
+        starts = F.sequence(F.lit(0), F.floor((F.size(ps) - 1) / SECTION).cast("int"))
+        return F.transform(starts, lambda s: section(F.slice(ps, s * SECTION + 1, SECTION)))
 
-def sections(text: Column) -> Column:
-    """SHA-256 of each section, over the SHA-256 of its paragraphs."""
     return let(
-        F.transform(_paragraphs(text), lambda p: F.sha2(p, 256)),
-        lambda digests: F.transform(
-            F.sequence(F.lit(0), F.floor((F.size(digests) - 1) / SECTION).cast("int")),
-            lambda s: F.sha2(F.array_join(F.slice(digests, s * SECTION + 1, SECTION), ""), 256),
-        ),
+        let(F.transform(F.split(text, "\n"), paragraph), sections),
+        lambda ss: F.concat(digest(F.transform(ss, lambda s: s["h"])), F.lit(":"), F.array_join(F.transform(ss, lambda s: F.concat(short(s["h"]), F.lit("="), s["paragraphs"])), "/")),
     )
 
 
-def root(text: Column) -> Column:
-    return F.sha2(F.array_join(sections(text), ""), 256)
+def root(print_: Column) -> Column:
+    """The root of a fingerprint; equal exactly where the texts are."""
+    return F.substring(print_, 1, 64)
 
 
-def render(root_hex: Column, by_paragraph: Column) -> Column:
-    """The fingerprint as a string."""
-    shown = F.transform(
-        by_paragraph,
-        lambda ps, i: F.concat(
-            F.when(i == 0, F.lit("")).when(i % SECTION == 0, F.lit("/")).otherwise(F.lit(".")),
-            F.array_join(F.transform(ps, lambda h: F.lpad(F.lower(F.hex(h.cast("long").bitwiseAND(F.lit(0xFFFFFFFF)))), 8, "0")), ""),
-        ),
-    )
-    return F.concat(root_hex, F.lit(":"), F.array_join(shown, ""))
+def _sections(print_: Column) -> Column:
+    return F.split(F.substring(print_, 66, 1 << 30), "/")
 
 
-def fingerprint(text: Column) -> Column:
-    return render(root(text), leaves(text))
+def _paragraphs(section: Column) -> Column:
+    return F.split(F.substring(section, 10, 1 << 30), r"\.")
+
 
+def likeness(a: Column, b: Column) -> Column:
+    """Likeness of two fingerprints, 0 to 1: Dice's coefficient of their leaves.
 
-def _alike(a: Column, b: Column) -> Column:
-    """Dice's coefficient of two sets of leaves without repeats; two empty sets: 0."""
-    return F.coalesce(F.try_divide(2.0 * F.size(F.array_intersect(a, b)), F.size(a) + F.size(b)), F.lit(0.0))
+    Of branches that repeat within a text one counts. All leaves below equal
+    sections are shared; of the other sections, those below equal paragraphs;
+    of what is left, equal leaves. Different texts without leaves: 0.
+    """
+    digits = lambda xs, beside: F.aggregate(xs, F.lit(0), lambda n, x: n + F.length(x) - beside(x))
+    dots = lambda x: F.size(F.split(x, r"\."))
+    leaves = lambda ps: F.array_distinct(F.flatten(F.transform(ps, lambda p: F.regexp_extract_all(F.substring(p, 9, 1 << 30), F.lit("[0-9a-f]{8}"), F.lit(0)))))
+    below = lambda ss: F.array_distinct(F.flatten(F.transform(ss, _paragraphs)))
 
+    def by_leaf(x: Column, y: Column, shared: Column) -> Column:
+        both = 2.0 * (shared + F.size(F.array_intersect(x, y)))
+        return F.coalesce(F.try_divide(both, 2 * shared + F.size(x) + F.size(y)), F.lit(0.0))
 
-def parsed(print_: Column) -> Column:
-    """The distinct leaf digests of a fingerprint."""
-    return F.array_distinct(F.regexp_extract_all(F.substring(print_, 66, 1 << 30), F.lit("[0-9a-f]{8}"), F.lit(0)))
+    def by_paragraph(x: Column, y: Column, shared: Column) -> Column:
+        return let(F.array_intersect(x, y), lambda same: let(
+            F.struct(leaves(F.array_except(x, same)).alias("x"), leaves(F.array_except(y, same)).alias("y"), (shared + digits(same, lambda _: F.lit(8)) / 8).alias("n")),
+            lambda z: by_leaf(z["x"], z["y"], z["n"]),
+        ))
 
+    def by_section(x: Column, y: Column) -> Column:
+        # A section's digits: its digest and mark, a digest for each paragraph, a dot between them; the rest is leaves.
+        return let(F.array_intersect(x, y), lambda same: let(
+            F.struct(below(F.array_except(x, same)).alias("x"), below(F.array_except(y, same)).alias("y"), (digits(same, lambda s: 8 + 9 * dots(s)) / 8).alias("n")),
+            lambda z: by_paragraph(z["x"], z["y"], z["n"]),
+        ))
 
-def likeness(a: Column, b: Column) -> Column:
-    """Likeness of two fingerprint strings, 0 to 1; 1 exactly where they are equal or share all leaves."""
-    return F.when(a == b, F.lit(1.0)).otherwise(_alike(parsed(a), parsed(b)))
+    walked = let(F.struct(F.array_distinct(_sections(a)).alias("x"), F.array_distinct(_sections(b)).alias("y")), lambda z: by_section(z["x"], z["y"]))
+    return F.when(root(a) == root(b), F.lit(1.0)).otherwise(walked)
 
 
 def differing(a: Column, b: Column) -> Column:
-    """0-based paragraphs of fingerprint b whose leaves differ from those of a at the same place; located section by section."""
-    part = lambda x: F.split(F.substring(x, 66, 1 << 30), "/")
-    pa_, pb = part(a), part(b)
+    """0-based paragraphs of fingerprint b that differ from those of a at the same place; sections that are equal there aren't opened."""
+    pa_ = _sections(a)
 
     def inside(section, s):
-        pairs = F.arrays_zip(F.split(section, "\\.").alias("x"), F.split(F.coalesce(F.get(pa_, s), F.lit("")), "\\.").alias("y"))
-        found = F.filter(F.transform(pairs, lambda z, i: F.when(z["x"].eqNullSafe(z["y"]), F.lit(None)).otherwise(s * SECTION + i)), lambda i: i.isNotNull())
-        return F.when(section.eqNullSafe(F.get(pa_, s)), F.array().cast("array<int>")).otherwise(found)
+        there = F.coalesce(F.get(pa_, s), F.lit(""))
+        pairs = F.arrays_zip(_paragraphs(section).alias("x"), F.when(there == "", F.array().cast("array<string>")).otherwise(_paragraphs(there)).alias("y"))
+        found = F.filter(F.transform(pairs, lambda z, i: F.when(z["x"].isNull() | z["x"].eqNullSafe(z["y"]), F.lit(None)).otherwise(s * SECTION + i)), lambda i: i.isNotNull())
+        return F.when(section == there, F.array().cast("array<int>")).otherwise(found)
 
-    return F.when(F.substring(a, 1, 64) == F.substring(b, 1, 64), F.array().cast("array<int>")).otherwise(F.flatten(F.transform(pb, inside)))
+    return F.when(root(a) == root(b), F.array().cast("array<int>")).otherwise(F.flatten(F.transform(_sections(b), inside)))
 
 
-def _bucket(bounds: list[int]) -> Column:
+def _bucket(bounds: list[int], key: str) -> Column:
     """The number of bounds up to the key, found in two steps of about the root of their number each."""
     if not bounds:
         return F.lit(0)
     step = max(1, int(len(bounds) ** 0.5))
     parts = [bounds[i : i + step] for i in range(0, len(bounds), step)]
-    upto = lambda xs: F.size(F.filter(xs, lambda b: b <= F.col("_key")))
-    heads = F.array(*[F.lit(p[0]).cast("long") for p in parts])
-    full = F.greatest(upto(heads) - 1, F.lit(0))
-    inner = F.get(F.array(*[F.array(*[F.lit(b).cast("long") for b in p]) for p in parts]), full)
-    return (full * step + upto(inner)).cast("int")
+    # Each list is one literal of the plan: Spark folds the constant text.
+    longs = lambda xs: F.split(F.lit(",".join(map(str, xs))), ",").cast("array<bigint>")
+    lists = F.transform(F.split(F.lit(";".join(",".join(map(str, p)) for p in parts)), ";"), lambda x: F.split(x, ",").cast("array<bigint>"))
+    upto = lambda xs: F.size(F.filter(xs, lambda b: b <= F.col(key)))
+    full = F.greatest(upto(longs([p[0] for p in parts])) - 1, F.lit(0))
+    return (full * step + upto(F.get(lists, full))).cast("int")
 
 
-def with_next(rows: DataFrame, payload: list[str]) -> DataFrame:
-    """rows (doc_id, text, ...) with ``_next``, a struct of the payload columns of the next row by (doc_id, text); the last row's next is the first.
+def with_next(rows: DataFrame, payload: list[str], into: str = "_next", derived: dict[str, Column] | None = None) -> DataFrame:
+    """rows (doc_id, text, ...) with ``into``, a struct of the payload columns of the next row by (doc_id, text); the last row's next is the first.
 
     Rows are dealt by ranges of doc_id between approximate quantiles; each range
-    also gets a copy of the first rows of the range behind it, found by an id for each range.
+    also gets a copy of the first rows of the range behind it, found by an id for
+    each range. ``derived`` columns are made after that, once for each row, and
+    may be in the payload.
     """
-    keyed = rows.withColumn("_key", F.coalesce(F.col("doc_id").cast("long"), F.lit(LEAST)))
-    n = 4 * partitions(rows)
-    ids = keyed.select("_key")
-    bounds = ids.agg(F.percentile_approx("_key", [i / n for i in range(1, n)], max(10_000, 4 * n)).alias("b")).first()["b"] or []
+    key, bucket, guest, first, host = spare(rows, "key", "bucket", "guest", "first", "host")
+    keyed = rows.withColumn(key, F.coalesce(F.col("doc_id").cast("long"), F.lit(LEAST)))
+    n = min(4 * partitions(rows), RANGES)
+    ids = keyed.select(key)
+    bounds = ids.agg(F.percentile_approx(key, [i / n for i in range(1, n)], max(10_000, 4 * n)).alias("b")).first()["b"] or []
     bounds = sorted(set(bounds))
-    keyed = keyed.withColumn("_bucket", _bucket(bounds)).withColumn("_guest", F.lit(0))
+    keyed = keyed.withColumn(bucket, _bucket(bounds, key)).withColumn(guest, F.lit(0))
     # A row for each range: the driver sees ids of ranges only.
-    firsts = sorted((r["_bucket"], r["k"]) for r in ids.withColumn("_bucket", _bucket(bounds)).groupBy("_bucket").agg(F.min("_key").alias("k")).collect())
-    at = rows.sparkSession.createDataFrame([(firsts[i][1], firsts[i - 1][0]) for i in range(len(firsts))], "_first long, _host int")
-    guests = keyed.join(F.broadcast(at), F.col("_key") == F.col("_first")).withColumn("_bucket", F.col("_host")).withColumn("_guest", F.lit(1)).drop("_first", "_host")
-    order = Window.partitionBy("_bucket").orderBy("_guest", "_key", "text")
-    return keyed.unionByName(guests).withColumn("_next", F.lead(F.struct(*payload)).over(order)).where("_guest = 0").drop("_key", "_bucket", "_guest")
+    firsts = sorted((r[bucket], r["k"]) for r in ids.withColumn(bucket, _bucket(bounds, key)).groupBy(bucket).agg(F.min(key).alias("k")).collect())
+    at = rows.sparkSession.createDataFrame([(firsts[i][1], firsts[i - 1][0]) for i in range(len(firsts))], f"{first} long, {host} int")
+    guests = keyed.join(F.broadcast(at), F.col(key) == F.col(first)).withColumn(bucket, F.col(host)).withColumn(guest, F.lit(1)).drop(first, host)
+    order = Window.partitionBy(bucket).orderBy(guest, key, "text")
+    # With only one range all its rows are guests of their own range too; the last row's next is then the first of these.
+    dealt = keyed.unionByName(guests).repartition(max(n // 4, 1), bucket).withColumns(derived or {})
+    return dealt.withColumn(into, F.lead(F.struct(*payload)).over(order)).where(F.col(guest) == 0).drop(key, bucket, guest)
 
 
 def edited(text: Column, next_text: Column) -> Column:
@@ -140,18 +169,9 @@ def edited(text: Column, next_text: Column) -> Column:
 
 def op7_fingerprints(spark, sf_dir: str) -> DataFrame:
     docs = load(spark, sf_dir, "documents").select("doc_id", text_or_empty().alias("text"))
-    rows = with_next(docs.withColumn("_leaves", leaves(F.col("text"))), ["text", "_leaves"])
-    rows = rows.select(
-        "doc_id", "text", "_leaves", F.col("_next._leaves").alias("_next_leaves"), edited(F.col("text"), F.col("_next.text")).alias("_edited"), (F.col("text") == F.col("_next.text")).alias("_same")
-    ).withColumn("_edited_leaves", leaves(F.col("_edited")))
-    flat = lambda c: F.array_distinct(F.flatten(F.col(c)))
-    own = flat("_leaves")
-    return rows.select(
-        "doc_id",
-        F.char_length("text").cast("long").alias("n_chars"),
-        F.sha2("_edited", 256).alias("edited_sha256"),
-        render(root(F.col("text")), F.col("_leaves")).alias("fingerprint"),
-        render(root(F.col("_edited")), F.col("_edited_leaves")).alias("edited_fingerprint"),
-        F.when(F.col("_edited") == F.col("text"), F.lit(1.0)).otherwise(_alike(own, flat("_edited_leaves"))).alias("near_edited"),
-        F.when(F.col("_same"), F.lit(1.0)).otherwise(_alike(own, flat("_next_leaves"))).alias("near_next"),
-    )
+    rows = with_next(docs, ["text", "fingerprint"], derived={"fingerprint": fingerprint(F.col("text"))})
+    made = edited(F.col("text"), F.col("_next.text"))
+    rows = rows.select("doc_id", F.char_length("text").cast("long").alias("n_chars"), "fingerprint", F.col("_next.fingerprint").alias("_next"), made.alias("_edited"))
+    rows = rows.select("doc_id", "n_chars", F.sha2("_edited", 256).alias("edited_sha256"), "fingerprint", fingerprint(F.col("_edited")).alias("edited_fingerprint"), "_next")
+    near = lambda other: likeness(F.col("fingerprint"), F.col(other))
+    return rows.select("doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", near("edited_fingerprint").alias("near_edited"), near("_next").alias("near_next"))

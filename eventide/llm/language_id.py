@@ -17,6 +17,8 @@ crc32(doc_id as text) mod 4 is not 2. Prediction reads all texts whole.
 * Null texts and texts without a letter: ``und``, score 0, no spans; likewise
   all texts where nothing could be learned.
 * Rows that repeat get equal results. Ties go to the first language by name.
+* Very long texts are labelled whole, in stretches side by side. An empty
+  table gives an empty result.
 * Other columns are kept; ``held_out``, ``lang_pred``, ``score`` and ``spans``
   replace columns of those names.
 """
@@ -34,7 +36,10 @@ from pyspark.sql import types as T
 from eventide.llm.byte_bpe import slices
 from eventide.llm.common import crc_mod, load
 
-PER_LANG, SWITCH, BITS, KEPT = 1500, 12.0, 16, 300_000
+#: Documents of a language; up to 1000 of them Spark takes from each task before it shuffles.
+PER_LANG, SWITCH, BITS, KEPT = 1000, 12.0, 16, 100_000
+#: Words of a document that are labelled one after the other; stretches of longer ones go side by side.
+STRETCH = 1024
 #: Least share of a language's training words in a script for it to be a candidate.
 SHARE = 0.01
 #: What a language that isn't a candidate scores below the best.
@@ -110,39 +115,87 @@ class Model:
             self.index.update(zip(new, range(len(self.rows), len(self.rows) + len(new)), strict=True))
             self.rows = np.concatenate([self.rows, self._word_scores(new)])
 
-    def label(self, docs: list[list[bytes]]) -> list[np.ndarray]:
-        """The language (index) of each word of each document: the best path.
+    def _forward(self, flat: np.ndarray, begin: np.ndarray, sizes: np.ndarray, entry: np.ndarray, end: np.ndarray | None) -> np.ndarray:
+        """Viterbi over stretches of flat, one word further in all of them together, the longest first, so those that go on always lead.
 
-        All documents go one word further together, the longest first, so those that go on always lead.
+        entry: what each language costs at a stretch's first word. Without
+        ``end``, the value of the best path to each language at the last word;
+        with it (-1: the best), the path of each stretch, one behind the other.
         """
-        self.learn(set().union(*docs))
-        sizes = np.array([len(d) for d in docs], np.int64)
-        flat = np.fromiter((i for d in docs for i in map(self.index.__getitem__, d)), np.int64, int(sizes.sum()))
         order = np.argsort(-sizes, kind="stable")
-        begin = (np.cumsum(sizes) - sizes)[order]
+        back = np.argsort(order)
+        start, own_sizes = begin[order], sizes[order]
         longest = int(sizes.max()) if len(sizes) else 0
-        active = np.append(np.searchsorted(-sizes[order], -np.arange(1, longest + 1), side="right"), 0)
-        state, changed, sources, last = np.zeros((0, len(self.langs)), np.float32), [], [], []
+        active = np.append(np.searchsorted(-own_sizes, -np.arange(1, longest + 1), side="right"), 0)
+        state, total = entry[order].astype(np.float32), np.zeros(len(sizes))
+        changed, sources, final = [], [], np.zeros((len(sizes), len(self.langs)))
         for t in range(longest):
             n = active[t]
-            own = self.rows[flat[begin[:n] + t]]
+            own = self.rows[flat[start[:n] + t]]
+            state = state[:n]
             if t:
-                state = state[:n]
                 source = state.argmax(axis=1)
                 best = state[np.arange(n), source][:, None] - np.float32(SWITCH)
-                changed.append(best > state)
-                sources.append(source.astype(np.int16))
-                own = np.maximum(best, state) + own
+                if end is not None:
+                    changed.append(best > state)
+                    sources.append(source.astype(np.int16))
+                state = np.maximum(best, state)
+            state = state + own
             # Only differences matter; so sums stay small.
-            state = own - own.max(axis=1, keepdims=True)
-            last.append(state[active[t + 1] : n].argmax(axis=1))
-        path, here = np.zeros(len(flat), np.int16), np.zeros(len(docs), np.int64)
+            top = state.max(axis=1, keepdims=True)
+            state, total[:n] = state - top, total[:n] + top[:, 0]
+            last = slice(active[t + 1], n)
+            final[last] = state[last] + total[last, None]
+        if end is None:
+            return final[back]
+        forced = end[order]
+        here = np.where(forced < 0, final.argmax(axis=1) if len(final) else 0, forced)
+        out = np.zeros((int(sizes.sum()),), np.int16)
+        into = (np.cumsum(sizes) - sizes)[order]
         for t in range(longest - 1, -1, -1):
             n = active[t]
-            here[active[t + 1] : n] = last[t]
-            path[begin[:n] + t] = here[:n]
+            out[into[:n] + t] = here[:n]
             if t:
                 here[:n] = np.where(changed[t - 1][np.arange(n), here[:n]], sources[t - 1], here[:n])
+        return out
+
+    def label(self, docs: list[list[bytes]]) -> list[np.ndarray]:
+        """The language (index) of each word of each document: the best path.
+
+        Long documents are cut into stretches. The best value from each language
+        before a stretch to each at its end is found for all stretches side by
+        side; chained up, these tell where the best path enters and leaves each.
+        """
+        k = len(self.langs)
+        self.learn(set().union(*docs))
+        sizes = np.array([len(d) for d in docs], np.int64)
+        flat = np.fromiter((i for d in docs for i in map(self.index.__getitem__, d)), np.int64, int(sizes.sum()))
+        parts = -(-sizes // STRETCH)
+        owner = np.repeat(np.arange(len(docs)), parts)
+        nth = np.arange(len(owner)) - np.repeat(np.cumsum(parts) - parts, parts)
+        begin = (np.cumsum(sizes) - sizes)[owner] + nth * STRETCH
+        length = np.minimum(sizes[owner] - nth * STRETCH, STRETCH)
+        entry, end = np.zeros((len(owner), k), np.float32), np.full(len(owner), -1)
+        inner = np.flatnonzero(parts[owner] > 1)
+        if len(inner):
+            # Coming from language i costs SWITCH for all others; the first stretch of a document comes from none.
+            costs = np.where(np.eye(k, dtype=bool), 0, -SWITCH).astype(np.float32)
+            each = np.where((nth[inner] == 0)[:, None, None], np.float32(0), costs[None])
+            over = self._forward(flat, np.repeat(begin[inner], k), np.repeat(length[inner], k), each.reshape(-1, k), None).reshape(-1, k, k)
+            for d in np.unique(owner[inner]):
+                own = np.flatnonzero(owner[inner] == d)
+                value, came = over[own[0]][0], []
+                for at in own[1:]:
+                    way = value[:, None] + over[at]
+                    came.append(way.argmax(axis=0))
+                    value = way.max(axis=0)
+                here = int(value.argmax())
+                for at, source in zip(own[:0:-1], came[::-1], strict=True):
+                    end[inner[at]] = here
+                    here = int(source[here])
+                    entry[inner[at]] = costs[here]
+                end[inner[own[0]]] = here
+        path = self._forward(flat, begin, length, entry, end)
         return np.split(path, np.cumsum(sizes)[:-1]) if len(docs) else []
 
     def predict(self, texts: list[str | None]) -> list[tuple[str, float, list[dict]]]:

@@ -3,32 +3,43 @@
 Each line is hashed. Of every ``window`` consecutive lines the smallest hash
 (the leftmost of equals) is the window's fingerprint: two equal windows pick
 the same line, so a repeated run of ``window`` lines is guaranteed to share
-one. Fingerprints that occur at two places or more keep their windows as
-candidates; equal candidates are matched through the first of them, never in
-pairs, and overlapping matches join up into maximal runs in both directions.
-Every run is deleted where it occurs later.
+one. Positions of equal fingerprints are joined through a row for each
+fingerprint, never in pairs; those that stand alone go no further. A match is
+extended both ways by the windows that reach from its fingerprint to either
+side: each is joined with the first place of the same lines behind the same
+fingerprint. Overlapping matches are maximal runs, and every run is deleted
+where it occurs later.
+
+The ``HOT`` most frequent fingerprints, and windows, are known to all tasks,
+and their rows are salted: no line, however common, meets in one task.
 
 Order: doc_id (null first), then the row's text hash, then the line number.
 
-* A null text counts as an empty text; an empty text is one empty line.
+* A null text counts as an empty text; an empty text is one empty line. Lines
+  are what stands between line feeds, so runs of empty lines are runs as well.
 * Texts of fewer lines than ``window`` are never changed, unless ``words`` is
   given: then repeated runs of fewer lines, one line included, go where they
   have at least that many words (``[^\\x20\\x09-\\x0D]+``) together.
+* Very long texts are taken whole: a row for each window, and one array of the
+  text's lines. An empty table gives an empty result.
 * Rows that repeat both doc_id and text count once and get the same result.
 * Columns beside doc_id and text are kept; ``n_lines`` and ``n_removed`` are
-  the operator's own and replace columns of those names.
+  the operator's own and replace columns of those names. Names used inside
+  yield to those of the frame.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from eventide.llm.common import let, load, row_key, text_or_empty
+from eventide.llm.common import let, load, row_key, spare, text_or_empty
 
 #: Lines a repeated run has at least.
 WINDOW = 3
 WORD = r"[^\x20\x09-\x0D]+"
+#: Keys that are salted, and parts that each of them is dealt into. All others have less than a HOT-th of all rows.
+HOT, SALTS = 1000, 64
 
 
 def _windows(docs: DataFrame, window: int, words: int | None = None) -> DataFrame:
@@ -52,38 +63,50 @@ def _windows(docs: DataFrame, window: int, words: int | None = None) -> DataFram
     return lines.select("doc_id", "_rid", F.explode(found).alias("w")).select("doc_id", "_rid", "w.*")
 
 
+def _joined(rows: DataFrame, by: DataFrame, key: str, how: str) -> DataFrame:
+    """rows joined with ``by``, a row for each key and its number ``n`` of rows; the most frequent keys are dealt into parts."""
+    # HOT rows, whatever the table.
+    hot = by.orderBy(F.desc("n"), key).limit(HOT).select(key, F.lit(True).alias("hot"))
+    salt = F.when(F.col("hot"), F.pmod(F.xxhash64("doc_id", "_rid", "i"), F.lit(SALTS)).cast("int")).otherwise(0)
+    parts = F.when(F.col("hot"), F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0)))
+    salted = lambda df, made: df.join(F.broadcast(hot), key, "left").withColumn("salt", made).drop("hot")
+    return salted(rows, salt).join(salted(by.drop("n"), F.explode(parts)), [key, "salt"], how).drop("salt")
+
+
 def later_windows(docs: DataFrame, window: int = WINDOW, words: int | None = None) -> DataFrame:
     """doc_id, _rid and i of every window whose lines also start at an earlier place."""
-    windows = _windows(docs, window, words)
+    windows = _windows(docs.select("doc_id", "text"), window, words)
     place = F.xxhash64("doc_id", "_rid", "p")
     # Fingerprints are counted before the shuffle; a hot one leaves each task as a single row.
-    repeated = windows.groupBy("fp").agg(F.min(place).alias("a"), F.max(place).alias("b")).where("a <> b").select("fp")
-    candidates = windows.join(repeated, "fp", "left_semi")
+    repeated = windows.groupBy("fp").agg(F.min(place).alias("a"), F.max(place).alias("b"), F.count("*").alias("n")).where("a <> b").select("fp", "n")
+    matched = _joined(windows, repeated, "fp", "left_semi")
     here = F.struct("doc_id", "_rid", "i")
-    first = candidates.groupBy("key").agg(F.min(here).alias("first"), F.max(here).alias("last")).where("first < last").select("key", "first")
-    return candidates.join(first, "key").where(here > F.col("first")).select("doc_id", "_rid", "i")
+    first = matched.groupBy("key").agg(F.min(here).alias("first"), F.max(here).alias("last"), F.count("*").alias("n")).where("first < last").select("key", "first", "n")
+    return _joined(matched, first, "key", "inner").where(here > F.col("first")).select("doc_id", "_rid", "i")
+
+
+def _kept(lines: Column, gone: Column) -> Column:
+    """The lines but those of the given numbers."""
+    return let(lines, lambda ls: F.transform(F.array_except(F.sequence(F.lit(0), F.size(ls) - 1), gone), lambda i: F.get(ls, i)))
 
 
 def dedup_lines(docs: DataFrame, window: int = WINDOW, words: int | None = None) -> DataFrame:
     """docs with the repeated runs of lines removed from text, plus n_lines and n_removed; with ``words``, shorter runs of that many words also go."""
+    docs = docs.drop("n_lines", "n_removed")
     at = F.col("i")
     later = later_windows(docs, window).select("doc_id", "_rid", F.sequence(at, at + window - 1).alias("run"))
     for k in range(1, window if words is not None else 1):
         later = later.unionByName(later_windows(docs, k, words).select("doc_id", "_rid", F.sequence(at, at + k - 1).alias("run")))
-    hits = (
-        later.groupBy("doc_id", "_rid")
-        .agg(F.array_distinct(F.flatten(F.collect_list("run"))).alias("_gone"))
-        .withColumnsRenamed({"doc_id": "_hit_id", "_rid": "_hit_rid"})
-    )
-    own = docs.drop("n_lines", "n_removed").withColumn("_rid", row_key())
-    joined = own.join(hits, (F.col("_rid") == F.col("_hit_rid")) & F.col("doc_id").eqNullSafe(F.col("_hit_id")), "left")
+    rid, gone, hit_id, hit_rid = spare(docs, "rid", "gone", "hit_id", "hit_rid")
+    hits = later.groupBy("doc_id", "_rid").agg(F.array_distinct(F.flatten(F.collect_list("run"))).alias(gone)).withColumnsRenamed({"doc_id": hit_id, "_rid": hit_rid})
+    own = docs.withColumn(rid, row_key())
+    joined = own.join(hits, (F.col(rid) == F.col(hit_rid)) & F.col("doc_id").eqNullSafe(F.col(hit_id)), "left")
     lines = F.split(text_or_empty(), "\n")
-    kept = let(lines, lambda ls: F.transform(F.array_except(F.sequence(F.lit(0), F.size(ls) - 1), F.col("_gone")), lambda i: F.get(ls, i)))
     return (
         joined.withColumn("n_lines", F.size(lines).cast("long"))
-        .withColumn("n_removed", F.coalesce(F.size("_gone"), F.lit(0)).cast("long"))
-        .withColumn("text", F.when(F.col("_gone").isNull(), F.col("text")).otherwise(F.array_join(kept, "\n")))
-        .drop("_rid", "_hit_id", "_hit_rid", "_gone")
+        .withColumn("n_removed", F.coalesce(F.size(gone), F.lit(0)).cast("long"))
+        .withColumn("text", F.when(F.col(gone).isNull(), F.col("text")).otherwise(F.array_join(_kept(lines, F.col(gone)), "\n")))
+        .drop(rid, hit_id, hit_rid, gone)
     )
 
 

@@ -1,20 +1,25 @@
 """Quality rules by distribution divergence.
 
-A document's histogram of character classes and its histogram of common short
-words are compared with those of each language by the Jensen-Shannon distance
+A document's histogram of character classes and its histogram of common words
+are compared with those of each language by the Jensen-Shannon distance
 (square root, base 2: 0 to 1). The verdict takes the nearest language of each;
 documents too far from every language in either are rejected. Histograms of
 too few characters or words aren't judged: too short to tell.
 
 The references are made from all documents that have a lang: class counts, and
-the ``COMMON`` most frequent words of up to ``SHORT`` bytes, all other words
-being one more bin. Long words are left out by that definition, not by a cap.
+the ``COMMON`` most frequent words of each, whatever their length, all other
+words being one more bin. A text without any common word has all its weight in
+that bin; ``FAR_WORDS`` is below the distance that gives.
 
 Base rules: fewer than 50 words, or over half of the words in repeated 3-word
 windows, fail at once.
 
 * Words are ``[^\\x20\\x09-\\x0D]+``; a null text has none and fails.
 * Without any lang there is no reference, and nothing is rejected for distance.
+  An empty table gives an empty result.
+* A very long text is counted whole. Word counts leave a task in parts of
+  ``HELD`` words, and distances are taken for ``ROWS`` documents and one
+  language at a time.
 * Rows that repeat are counted as often in the references and get equal results.
 * Other columns are kept; the operator's own replace columns of their names.
 """
@@ -32,7 +37,9 @@ from pyspark.sql import types as T
 
 from eventide.llm.common import load
 
-COMMON, SHORT = 60, 5
+COMMON = 60
+#: Different words that a task counts before they go out, and documents whose distances are taken at once.
+HELD, ROWS = 300_000, 256
 #: Least characters and words for a histogram to be judged.
 LEAST_CHARS, LEAST_WORDS = 300, 100
 #: Distances above which a document is rejected.
@@ -57,14 +64,16 @@ def classes(raw: bytes) -> np.ndarray:
 
 
 def js_distance(p: np.ndarray, q: np.ndarray) -> np.ndarray:
-    """Jensen-Shannon distances of each row of counts p to each row of counts q."""
+    """Jensen-Shannon distances of each row of counts p to each row of counts q, a row of q at a time."""
     p = p / np.maximum(p.sum(axis=1, keepdims=True), 1)
     q = q / np.maximum(q.sum(axis=1, keepdims=True), 1)
-    p, q = p[:, None, :], q[None, :, :]
-    m = (p + q) / 2
-    with np.errstate(divide="ignore", invalid="ignore"):
-        part = lambda x: np.where(x > 0, x * np.log2(x / m), 0).sum(axis=2)
-        return np.sqrt(np.maximum((part(p) + part(q)) / 2, 0))
+    out = np.zeros((len(p), len(q)))
+    for i, own in enumerate(q):
+        m = (p + own) / 2
+        with np.errstate(divide="ignore", invalid="ignore"):
+            part = lambda x: np.where(x > 0, x * np.log2(x / m), 0).sum(axis=1)  # noqa: B023, E731
+            out[:, i] = np.sqrt(np.maximum((part(p) + part(own)) / 2, 0))
+    return out
 
 
 def repeat_words(words: list[bytes]) -> int:
@@ -98,19 +107,32 @@ def duplicate_lines(text: str) -> int:
 def references(docs: DataFrame) -> tuple[list[str], np.ndarray, list[bytes], np.ndarray]:
     """Languages; class counts by language; common words; counts of these and of all others by language."""
 
+    def rows(kind: str, langs: list[str], words: list[bytes | None], n: list[int]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(langs, pa.string()), pa.array([kind] * len(n), pa.string()), pa.array(words, pa.binary()), pa.array(n, pa.int64())], names=["lang", "kind", "word", "n"])
+
     def count(batches):
         chars: dict[str, np.ndarray] = {}
         words: dict[str, Counter] = {}
         totals: Counter = Counter()
+
+        def counted():
+            for lang, c in words.items():
+                yield rows("w", [lang] * len(c), list(c), list(c.values()))
+            words.clear()
+
         for batch in batches:
             for lang, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 raw = text.encode("utf-8", "surrogatepass")
                 cut = raw.split()
                 chars[lang] = chars.get(lang, 0) + classes(raw)
-                words.setdefault(lang, Counter()).update(w for w in cut if len(w) <= SHORT)
+                words.setdefault(lang, Counter()).update(cut)
                 totals[lang] += len(cut)
-        rows = [(x, f"c{i}", None, int(v)) for x, c in chars.items() for i, v in enumerate(c)] + [(x, "w", w, n) for x, c in words.items() for w, n in c.items()] + [(x, "t", None, n) for x, n in totals.items()]
-        yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], k) for i, k in enumerate((pa.string(), pa.string(), pa.binary(), pa.int64()))], names=["lang", "kind", "word", "n"])
+                if sum(map(len, words.values())) > HELD:
+                    yield from counted()
+        yield from counted()
+        for i in range(CLASSES):
+            yield rows(f"c{i}", list(chars), [None] * len(chars), [int(c[i]) for c in chars.values()])
+        yield rows("t", list(totals), [None] * len(totals), list(totals.values()))
 
     texts = docs.select(F.col("lang").cast("string").alias("lang"), F.col("text").cast("string").alias("text")).where("lang IS NOT NULL AND text IS NOT NULL")
     sums = texts.mapInArrow(count, "lang string, kind string, word binary, n long").groupBy("lang", "kind", "word").agg(F.sum("n").alias("n"))
@@ -144,7 +166,7 @@ def judge(docs: DataFrame, made: tuple) -> DataFrame:
         place = {w: i for i, w in enumerate(common)}
         for batch in batches:
             texts = [t or "" for t in batch.column("text").to_pylist()]
-            rows, h_chars, h_words = [], np.zeros((len(texts), CLASSES)), np.zeros((len(texts), len(common) + 1))
+            rows, h_chars, h_words = [], np.zeros((len(texts), CLASSES)), np.zeros((len(texts), len(common) + 1), np.int32)
             for i, text in enumerate(texts):
                 raw = text.encode("utf-8", "surrogatepass")
                 cut = raw.split()
@@ -154,9 +176,11 @@ def judge(docs: DataFrame, made: tuple) -> DataFrame:
                 n, again = len(cut), repeat_words(cut)
                 length = len(b"".join(cut).decode("utf-8", "surrogatepass"))
                 rows.append((n, length, sum(map(text.count, SYMBOLS)), duplicate_lines(text), again, n < 50 or 100 * again > 50 * n))
-            far = [np.full(len(texts), np.nan)] * 2
-            if langs and len(texts):
-                far = [js_distance(h, ref).min(axis=1) for h, ref in ((h_chars, chars), (h_words, words_ref))]
+            far = [np.full(len(texts), np.nan), np.full(len(texts), np.nan)]
+            if langs:
+                for a in range(0, len(texts), ROWS):
+                    for d, h, ref in ((far[0], h_chars, chars), (far[1], h_words, words_ref)):
+                        d[a : a + ROWS] = js_distance(h[a : a + ROWS], ref).min(axis=1)
             long_enough = [h_chars.sum(axis=1) >= LEAST_CHARS, h_words.sum(axis=1) >= LEAST_WORDS]
             d_chars, d_words = (np.where(ok, d, np.nan) for ok, d in zip(long_enough, far, strict=True))
             kept = [not r[5] and not (a > FAR_CHARS) and not (b > FAR_WORDS) for r, a, b in zip(rows, d_chars, d_words, strict=True)]

@@ -16,11 +16,14 @@ must agree: no tree then has over 2**22 nodes, whatever the data. A shard
 reports a spanning set of links, not all pairs; no link between different
 fingerprints loses its component.
 
-* A null or empty text has fingerprint zero and is linked like any other.
+* A null or empty text has fingerprint zero and is linked like any other. An
+  empty table gives an empty result.
+* Very long texts are hashed whole, in their row.
 * Texts of one or two words have one shingle: all their words.
 * Rows that repeat a doc_id get a row each; a component's id is null only if
   all its doc_ids are.
-* Columns beside doc_id and text aren't read; :func:`keep_first` keeps them.
+* Columns beside doc_id and text aren't read; :func:`keep_first` keeps them,
+  and names used inside yield to theirs. Ties: the lowest doc_id and row key.
 """
 
 from __future__ import annotations
@@ -34,7 +37,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from eventide.llm.common import load, remove_path, row_key, shared_path
+from eventide.llm.common import load, remove_path, row_key, shared_path, spare
 
 SHINGLE, SEED, RADIUS = 3, 42, 2
 #: Fingerprints in a shard from which it is dealt anew.
@@ -208,12 +211,14 @@ def keep_first(docs: DataFrame) -> DataFrame:
 
 def pick_first(docs: DataFrame, labelled: DataFrame) -> DataFrame:
     """docs with the first row of each ``_component`` of labelled, which has doc_id, _rid and _component for each row."""
-    key = F.coalesce(F.col("doc_id").cast("long"), F.lit(-(1 << 63))).alias("_key")
-    chosen = labelled.groupBy("_component").agg(F.min(F.struct(key, "_rid")).alias("first")).select("first._key", "first._rid")
-    rows = docs.select("*", key, row_key().alias("_rid"))
-    one = Window.partitionBy("_key", "_rid").orderBy("_key", "_rid")
-    kept = rows.join(chosen.hint("merge"), ["_key", "_rid"], "left_semi")
-    return kept.withColumn("_nth", F.row_number().over(one)).where("_nth = 1").select(docs.columns)
+    key, rid, nth = spare(docs, "key", "rid", "nth")
+    lowest = F.lit(-(1 << 63))
+    first = F.min(F.struct(F.coalesce(F.col("doc_id").cast("long"), lowest).alias("k"), F.col("_rid").alias("r"))).alias("first")
+    chosen = labelled.groupBy("_component").agg(first).select(F.col("first.k").alias(key), F.col("first.r").alias(rid))
+    rows = docs.withColumns({key: F.coalesce(F.col("doc_id").cast("long"), lowest), rid: row_key()})
+    one = Window.partitionBy(key, rid).orderBy(key, rid)
+    kept = rows.join(chosen.hint("merge"), [key, rid], "left_semi")
+    return kept.withColumn(nth, F.row_number().over(one)).where(F.col(nth) == 1).select(docs.columns)
 
 
 def op9_simhash(spark, sf_dir: str) -> DataFrame:

@@ -4,24 +4,28 @@ Words are ``[^\\x20\\x09-\\x0D]+``. With windows of ``window`` words, blocks of
 ``(window + 1) // 2`` words at fixed places (0, b, 2b, ... of each document)
 are the reference blocks: every window holds one whole. Every rolling window
 of that length probes them. Where a probe meets a block of another place, the
-hit is extended: the full windows around it are hashed anew and compared, and
-overlapping equal windows join up into maximal exact repeats. Windows are
-judged on the input, not on what is left.
+hit is extended both ways: every full window that holds the block, up to the
+one that ends with it and the one that begins with it, is compared with the
+windows around all blocks that were hit. Overlapping equal windows join up
+into maximal exact repeats; what none covers isn't one. Windows are judged on
+the input, not on what is left.
 
 Both comparisons are dealt by hash. A document sends each of its hashes once,
 packed into few rows, so a passage that a third of all documents share costs
 one entry a document, and no pairs are made. Anchors compare 31 bits beside
 those of the partition; a chance hit there only makes a candidate. Full
-windows compare 63 bits beside those of the partition.
+windows compare 127 bits, of two independent hashes.
 
 * A null text has no words; such rows, and those of fewer words than
-  ``window``, come back unchanged.
-* Rows that repeat both doc_id and text are one document: they aren't copies
-  of each other.
+  ``window``, come back unchanged. An empty table gives an empty result.
+* Rows that repeat, even with the same doc_id, are copies of each other.
+* Very long texts are hashed whole; a task holds the hashes of ``PACK`` words
+  or of one text, whichever is more.
 * A text that loses words keeps the white space around what stays; where two
   kept parts would touch, nothing is added as white space stays between.
 * Columns beside doc_id and text are kept; ``n_words``, ``n_removed`` and
   ``kept_sha256`` are the operator's own and replace columns of those names.
+  Names used inside yield to those of the frame.
 """
 
 from __future__ import annotations
@@ -37,12 +41,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from eventide.llm.common import load, mix64, partitions, rolling, text_or_empty
+from eventide.llm.common import load, mix64, partitions, rolling, row_key, spare
 
 #: Words of a passage that counts as repeated.
 WINDOW = 35
-#: Odd multipliers of the two polynomials.
-BLOCK_BASE, WINDOW_BASE = 0x9E3779B97F4A7C15, 0xD1342543DE82EF95
+#: Odd multipliers of the polynomials: of blocks, and two of windows.
+BLOCK_BASE, WINDOW_BASE, SECOND_BASE = 0x9E3779B97F4A7C15, 0xD1342543DE82EF95, 0xA0761D6478BD642F
 #: Hashes packed before rows go out: bounds a task's memory.
 PACK = 1 << 20
 
@@ -71,9 +75,25 @@ def _blocks(h: np.ndarray, window: int) -> tuple[np.ndarray, np.ndarray]:
     return probes, aligned
 
 
+#: A window's two hashes.
+_WINDOW = np.dtype([("a", np.uint64), ("b", np.uint64)])
+
+
+def _windows(h: np.ndarray, window: int) -> np.ndarray:
+    out = np.empty(max(len(h) - window + 1, 0), _WINDOW)
+    out["a"] = rolling(h, window, WINDOW_BASE) & ~np.uint64(1)
+    out["b"] = rolling(mix64(h + np.uint64(SECOND_BASE)), window, SECOND_BASE)
+    return out
+
+
+def _ordered(values: np.ndarray) -> np.ndarray:
+    """Places of the values, or windows, in ascending order; of equals the first place first."""
+    return np.argsort(values, kind="stable") if values.dtype != _WINDOW else np.lexsort((values["b"], values["a"]))
+
+
 def _repeated(values: np.ndarray) -> np.ndarray:
-    """Whether each value stands in the array twice or more."""
-    order = np.argsort(values, kind="stable")
+    """Whether each value, or window, stands in the array twice or more."""
+    order = _ordered(values)
     same = values[order[1:]] == values[order[:-1]]
     out = np.zeros(len(values), bool)
     out[order[1:][same]] = True
@@ -140,11 +160,12 @@ class _Packer:
     def rows(self) -> Iterator[pa.RecordBatch]:
         if self.n:
             v = np.concatenate(self.parts)
+            first = v if self.narrow else v["a"]
             owner = np.repeat(np.arange(len(self.parts), dtype=np.int32), [len(p) for p in self.parts])
             ids = np.array([0 if d is None else d for d, _ in self.docs], np.int64)
             null = np.array([d is None for d, _ in self.docs])
             rids = np.array([r for _, r in self.docs], np.int64)
-            yield from _packed(_bucket_of(v, self.buckets), owner, ids, null, rids, v.astype(np.uint32) if self.narrow else v)
+            yield from _packed(_bucket_of(first, self.buckets), owner, ids, null, rids, v.astype(np.uint32) if self.narrow else v)
         self.clear()
 
 
@@ -175,22 +196,22 @@ def _meet(anchors: bool, buckets: int):
     hashes that the document sent to this bucket; both in a row for each place
     that documents are gathered at.
     """
-    kind = np.uint32 if anchors else np.uint64
+    kind = np.uint32 if anchors else _WINDOW
 
     def run(batches):
         held = _held(batches)
         for bucket in list(held):
             ids, rids, counts, v = _unpacked(held.pop(bucket), kind)
-            # Rows that repeat a document count once.
-            _, doc = np.unique(np.stack([ids, rids, (counts < 0).astype(np.int64)]), axis=1, return_inverse=True)
             sizes = np.abs(counts).astype(np.int64)
+            # Each entry is a row of the table of its own, even where rows repeat.
             owner = np.repeat(np.arange(len(counts), dtype=np.int32), sizes)
-            order = np.argsort(v >> kind(1), kind="stable")
-            top = (v >> kind(1))[order]
+            compared = v >> kind(1) if anchors else v
+            order = _ordered(compared)
+            top = compared[order]
             group = np.cumsum(np.append(True, top[1:] != top[:-1])) - 1
-            who = doc.ravel()[owner[order]].astype(np.int64)
+            who = owner[order].astype(np.int64)
             counted = (v[order] & kind(1)).astype(bool) if anchors else np.ones(len(v), bool)
-            # Lowest and highest of the documents that count, for each hash: another one is there if either differs.
+            # Lowest and highest of the rows that count, for each hash: another one is there if either differs.
             low, high = np.full(int(group[-1]) + 1, np.iinfo(np.int64).max), np.full(int(group[-1]) + 1, -1, np.int64)
             np.minimum.at(low, group[counted], who[counted])
             np.maximum.at(high, group[counted], who[counted])
@@ -229,7 +250,7 @@ def _by_bucket(blob: bytes | None) -> list[tuple[int, np.ndarray]]:
 
 
 def _candidates(h: np.ndarray, anchors: bytes | None, window: int) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of all windows, and the distinct ones of those that hold a block that was hit."""
+    """All windows, and the distinct ones of those that hold a block that was hit."""
     b = (window + 1) // 2
     probes, _ = _blocks(h, window)
     hit = _repeated(probes)
@@ -237,8 +258,12 @@ def _candidates(h: np.ndarray, anchors: bytes | None, window: int) -> tuple[np.n
         hit |= np.isin((probes >> np.uint64(1)).astype(np.uint32) & np.uint32(0x7FFFFFFF), np.concatenate([v for _, v in _by_bucket(anchors)]))
     upto = np.append(0, np.cumsum(hit))
     near = upto[window - b + 1 :] - upto[: -(window - b + 1)] > 0
-    values = rolling(h, window, WINDOW_BASE) & ~np.uint64(1) if near.any() else np.empty(0, np.uint64)
-    return values, _flagged(values[near], np.zeros(int(near.sum()), bool)) if len(values) else values
+    if not near.any():
+        return np.empty(0, _WINDOW), np.empty(0, _WINDOW)
+    values = _windows(h, window)
+    sent = values[near]
+    sent = sent[_ordered(sent)]
+    return values, sent[np.append(True, sent[1:] != sent[:-1])]
 
 
 def _send_windows(window: int, buckets: int):
@@ -265,8 +290,17 @@ def _cover(text: str, anchors: bytes | None, found: bytes | None, window: int, b
     if len(sent):
         hit = _repeated(values)
         if found:
-            to = _bucket_of(sent, buckets)
-            hit |= np.isin(values, np.concatenate([sent[to == b][at] for b, at in _by_bucket(found)]))
+            to = _bucket_of(sent["a"], buckets)
+            met = np.zeros(len(sent), bool)
+            for bucket, at in _by_bucket(found):
+                met[np.flatnonzero(to == bucket)[at]] = True
+            # The place of each window among those that were sent.
+            order = _ordered(np.concatenate([sent, values]))
+            upto = np.cumsum(order < len(sent)) - 1
+            place = np.empty(len(order), np.int64)
+            place[order] = upto
+            place = place[len(sent) :]
+            hit |= (place >= 0) & (sent[place] == values) & met[place]
         steps = np.zeros(len(h) + 1, np.int64)
         at = np.flatnonzero(hit)
         np.add.at(steps, at, 1)
@@ -288,10 +322,10 @@ def _without(text: str, gone: np.ndarray) -> str:
     return b"".join(out).decode("utf-8", "surrogatepass")
 
 
-def _finish(window: int, buckets: int, columns: list[str]):
+def _finish(window: int, buckets: int, columns: list[str], inside: tuple[str, str, str]):
     def run(batches):
         for batch in batches:
-            texts, anchors, found = (batch.column(c).to_pylist() for c in ("_text", "_anchors", "_repeats"))
+            texts, anchors, found = (batch.column(c).to_pylist() for c in inside)
             n_words, n_removed, kept, shas = [], [], [], []
             for text, a, r in zip(texts, anchors, found, strict=True):
                 n, gone = _cover(text or "", a, r, window, buckets)
@@ -309,27 +343,28 @@ def _finish(window: int, buckets: int, columns: list[str]):
 def dedup_substrings(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     """docs with the words of repeated passages removed from text, plus n_words, n_removed and kept_sha256 (of the kept words, joined by one space)."""
     docs = docs.drop("n_words", "n_removed", "kept_sha256")
-    rows = docs.withColumnsRenamed({"text": "_text"}).withColumns({"_text": F.col("_text").cast("string"), "_rid": F.xxhash64("doc_id", text_or_empty("_text"))})
+    text, rid, hit_id, hit_rid, anchors, repeats = spare(docs, "text", "rid", "hit_id", "hit_rid", "anchors", "repeats")
+    rows = docs.withColumnsRenamed({"text": text}).withColumn(text, F.col(text).cast("string")).withColumn(rid, row_key(text))
     buckets = partitions(docs)
 
-    def met(sent: DataFrame, anchors: bool) -> DataFrame:
+    def met(sent: DataFrame, by_anchor: bool) -> DataFrame:
         """A row for each document with hits."""
         dealt = lambda df: df.repartitionById(buckets, F.col("bucket"))
-        return dealt(dealt(sent).mapInArrow(_meet(anchors, buckets), _PACKED)).mapInArrow(_gather, "doc_id long, rid long, hashes binary")
+        return dealt(dealt(sent).mapInArrow(_meet(by_anchor, buckets), _PACKED)).mapInArrow(_gather, "doc_id long, rid long, hashes binary")
 
     def joined(left: DataFrame, hits: DataFrame, name: str) -> DataFrame:
-        by_doc = hits.select(F.col("doc_id").alias("_hit_id"), F.col("rid").alias("_hit_rid"), F.col("hashes").alias(name))
-        on = (F.col("_rid") == F.col("_hit_rid")) & F.col("doc_id").cast("long").eqNullSafe(F.col("_hit_id"))
+        by_doc = hits.select(F.col("doc_id").alias(hit_id), F.col("rid").alias(hit_rid), F.col("hashes").alias(name))
+        on = (F.col(rid) == F.col(hit_rid)) & F.col("doc_id").cast("long").eqNullSafe(F.col(hit_id))
         # The hits are hashed, so texts aren't sorted for the join.
-        return left.join(by_doc.hint("shuffle_hash"), on, "left").drop("_hit_id", "_hit_rid")
+        return left.join(by_doc.hint("shuffle_hash"), on, "left").drop(hit_id, hit_rid)
 
-    own = [F.col("doc_id").cast("long").alias("doc_id"), F.col("_rid").alias("rid"), F.coalesce("_text", F.lit("")).alias("text")]
-    anchored = joined(rows, met(rows.select(*own).mapInArrow(_send_blocks(window, buckets), _PACKED), True), "_anchors")
-    repeats = met(anchored.select(*own, F.col("_anchors").alias("anchors")).mapInArrow(_send_windows(window, buckets), _PACKED), False)
+    own = [F.col("doc_id").cast("long").alias("doc_id"), F.col(rid).alias("rid"), F.coalesce(text, F.lit("")).alias("text")]
+    anchored = joined(rows, met(rows.select(*own).mapInArrow(_send_blocks(window, buckets), _PACKED), True), anchors)
+    found = met(anchored.select(*own, F.col(anchors).alias("anchors")).mapInArrow(_send_windows(window, buckets), _PACKED), False)
     kinds = [T.StructField(f.name, T.StringType() if f.name == "text" else f.dataType, True) for f in docs.schema]
     kinds += [T.StructField("n_words", T.LongType()), T.StructField("n_removed", T.LongType()), T.StructField("kept_sha256", T.StringType())]
     schema = T.StructType(kinds)
-    return joined(anchored, repeats, "_repeats").mapInArrow(_finish(window, buckets, schema.names), schema)
+    return joined(anchored, found, repeats).mapInArrow(_finish(window, buckets, schema.names, (text, anchors, repeats)), schema)
 
 
 def op2_substring_dedup(spark, sf_dir: str) -> DataFrame:

@@ -1,28 +1,40 @@
 """Toxicity by non-negative positive-unlabelled learning.
 
-A linear classifier over the presence of words and stems is trained with numpy from
-confirmed toxic documents (P) and unlabelled ones (U). With class prior ``pi``
-its risk is ``pi R_P(+) + max(0, R_U(-) - pi R_P(-))``: toxic documents hidden
-in U are corrected for, and the estimate of the clean part can't go below 0.
-A logistic curve over the labelled training rows turns its output into a score.
+A linear classifier over the density of words and stems is trained with numpy
+from confirmed toxic documents (P) and unlabelled ones (U). With class prior
+``pi`` its risk is ``pi R_P(+) + max(0, R_U(-) - pi R_P(-))``: toxic documents
+hidden in U are corrected for, and the estimate of the clean part can't go
+below 0. A logistic curve over the labelled training rows turns its output
+into a score.
+
+A feature's value is its share of the document's words in percent, 1 at most:
+what a clean text holds once by chance weighs little in it. Features are all
+words and stems whose documents differ between P and U by ``STRENGTH``
+standard errors, counted by presence or by repeated use; their number has no cap.
 
 Training reads at most ``MAX_P`` toxic, ``MAX_N`` clean (for prior and curve
 only) and ``MAX_U`` unlabelled documents, those of the lowest hashes of their
-ids; equal word sets count once. Scoring reads all texts whole.
+ids; equal word sets count once. They are hashed by the executors into a table
+of the shared folder, which the driver reads twice, a part at a time: for the
+counts, then for the chosen features. Scoring reads all texts whole.
 
 * Labels are used only from rows whose crc32(doc_id as text) mod 3 is not 1.
   Labels, lang, source and doc_id aren't inputs of a score.
 * A null text counts as an empty text; it gets the score of no words.
+* A very long text is scored whole; its distinct words are held at once.
 * Conflicting labels of a doc_id: toxic wins. Null labels are no labels.
-* Without a toxic label in reach, all scores are 0.
+* Without a toxic label in reach, all scores are 0. An empty table gives an
+  empty result.
 * Rows that repeat get equal scores. Other columns are kept; ``held_out``,
   ``score`` and ``predicted`` replace columns of those names.
 """
 
 from __future__ import annotations
 
+import hashlib
 import string
 import zlib
+from collections import Counter
 from dataclasses import dataclass
 
 import numpy as np
@@ -31,29 +43,46 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from eventide.llm.common import crc_mod, load
+from eventide.llm.common import crc_mod, load, remove_path, shared_path
 
 MAX_P, MAX_N, MAX_U = 3000, 3000, 6000
+#: Training rows that the driver reads at once.
+SLICE = 2000
 #: Prior where labels don't tell: they are all toxic.
 PRIOR = 0.1
-BITS, FEATURES, THRESHOLD = 20, 512, 0.7
-#: Least share of the toxic documents that a feature is in.
-COMMON = 0.02
-#: Least standard errors by which its share in P is above that in U.
-STRENGTH = 3.5
-
+BITS, THRESHOLD = 20, 0.7
+#: Standard errors by which a feature's documents differ, and toxic documents that have it, both at least.
+STRENGTH, LEAST = 3.5, 3
+#: Uses of a word, and share of the words, from which it counts as used repeatedly.
+OFTEN, OFTEN_SHARE = 2, 0.004
 #: Bytes of a word's beginning that count as its stem: inflected forms share them.
 STEMS = (4, 5, 6)
 
 _PLAIN = bytes.maketrans(string.punctuation.encode(), b" " * len(string.punctuation))
 
 
-def _hashes(text: str | None) -> np.ndarray:
-    """Distinct hashed features: words, lower-cased and without ASCII punctuation, and their stems of ``STEMS`` bytes."""
-    words = set((text or "").lower().encode("utf-8", "replace").translate(_PLAIN).split())
-    groups = [words] + [{w[:k] for w in words if len(w) > k} for k in STEMS]
-    found = [np.fromiter(map(zlib.crc32, g), np.uint32, len(g)) ^ np.uint32(0x9E3779B9 * i & 0xFFFFFFFF) for i, g in enumerate(groups)]
-    return np.unique(np.concatenate(found) >> np.uint32(32 - BITS)).astype(np.int32)
+def _counted(text: str | None) -> tuple[np.ndarray, np.ndarray, int]:
+    """Hashed features of each distinct word, their uses, and the number of words: words, lower-cased and without ASCII punctuation, and their stems of ``STEMS`` bytes."""
+    words = Counter((text or "").lower().encode("utf-8", "replace").translate(_PLAIN).split())
+    uses = np.fromiter(words.values(), np.int64, len(words))
+    sizes = np.fromiter(map(len, words), np.int64, len(words))
+    found, counts = [np.fromiter(map(zlib.crc32, words), np.uint32, len(words))], [uses]
+    for i, k in enumerate(STEMS, 1):
+        longer = sizes > k
+        stems = [w[:k] for w in words if len(w) > k]
+        found.append(np.fromiter(map(zlib.crc32, stems), np.uint32, len(stems)) ^ np.uint32(0x9E3779B9 * i & 0xFFFFFFFF))
+        counts.append(uses[longer])
+    return (np.concatenate(found) >> np.uint32(32 - BITS)).astype(np.int32), np.concatenate(counts), int(uses.sum())
+
+
+def _summed(hashed: np.ndarray, uses: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct features, sorted, and the uses of each."""
+    features, place = np.unique(hashed, return_inverse=True)
+    return features, np.bincount(place, weights=uses, minlength=len(features))
+
+
+def _value(uses: np.ndarray, n: int) -> np.ndarray:
+    return np.minimum(100 * uses / max(n, 1), 1.0)
 
 
 @dataclass
@@ -71,25 +100,48 @@ class Model:
     def score(self, text: str | None) -> float:
         if not len(self.features):
             return 0.0
-        z = self.bias + float(self.table[_hashes(text)].sum(dtype=np.float64))
+        hashed, uses, n = _counted(text)
+        known = self.table[hashed] != 0
+        features, uses = _summed(hashed[known], uses[known])
+        z = self.bias + float((self.table[features].astype(np.float64) * _value(uses, n)).sum())
         return float(1 / (1 + np.exp(-np.clip(self.slope * z + self.shift, -500, 500))))
 
 
-def nn_pu(x: np.ndarray, is_p: np.ndarray, prior: float, start: np.ndarray, rounds: int = 400, rate: float = 0.05, decay: float = 3e-4) -> tuple[np.ndarray, float]:
-    """Weights and bias that lower the non-negative PU risk of the logistic loss; x: rows by features, is_p: rows of P, all others are U, start: first weights."""
-    k = x.shape[1]
-    n_p, n_u = max(1, is_p.sum()), max(1, (~is_p).sum())
+@dataclass
+class Rows:
+    """A sparse matrix: for each row its features and their values."""
+
+    features: np.ndarray
+    values: np.ndarray
+    sizes: np.ndarray
+
+    @classmethod
+    def of(cls, rows: list[tuple[np.ndarray, np.ndarray]]) -> Rows:
+        join = lambda i, kind: np.concatenate([np.empty(0, kind), *(r[i] for r in rows)]).astype(kind)
+        return cls(join(0, np.int64), join(1, np.float64), np.array([len(r[0]) for r in rows], np.int64))
+
+    def times(self, w: np.ndarray) -> np.ndarray:
+        upto = np.append(0.0, np.cumsum(w[self.features] * self.values))
+        ends = np.cumsum(self.sizes)
+        return upto[ends] - upto[ends - self.sizes]
+
+    def transposed_times(self, g: np.ndarray, k: int) -> np.ndarray:
+        return np.bincount(self.features, weights=self.values * np.repeat(g, self.sizes), minlength=k)
+
+
+def nn_pu(p: Rows, u: Rows, prior: float, start: np.ndarray, rounds: int = 400, rate: float = 0.05, decay: float = 1e-4) -> tuple[np.ndarray, float]:
+    """Weights and bias that lower the non-negative PU risk of the logistic loss over the rows of P and U; start: first weights."""
+    k, n_p, n_u = len(start), max(1, len(p.sizes)), max(1, len(u.sizes))
     w, m, v = np.append(start, np.log(prior / (1 - prior))), np.zeros(k + 1), np.zeros(k + 1)
-    each = np.where(is_p, prior / n_p, 1 / n_u)
+    sigmoid = lambda z: 1 / (1 + np.exp(-np.clip(z, -60, 60)))
     for t in range(1, rounds + 1):
-        z = x @ w[:-1].astype(np.float32) + w[-1]
-        s = 1 / (1 + np.exp(-np.clip(z, -60, 60)))
-        as_clean = np.logaddexp(0, z)  # the loss of a row taken as clean
-        if as_clean[~is_p].mean() - prior * as_clean[is_p].mean() >= 0:
-            g = each * np.where(is_p, -1.0, s)  # of P both parts: s - 1 as toxic, less s as clean
+        z_p, z_u = p.times(w[:-1]) + w[-1], u.times(w[:-1]) + w[-1]
+        # The losses of rows taken as clean: of all, less those of toxic ones.
+        if np.logaddexp(0, z_u).sum() / n_u - prior * np.logaddexp(0, z_p).sum() / n_p >= 0:
+            g_p, g_u = np.full(len(z_p), -prior / n_p), sigmoid(z_u) / n_u  # of P both parts: s - 1 as toxic, less s as clean
         else:  # the clean part's estimate is below zero: step back from it
-            g = each * np.where(is_p, s, -s)
-        grad = np.append(g.astype(np.float32) @ x, g.sum()) + decay * np.append(w[:-1], 0)
+            g_p, g_u = prior / n_p * sigmoid(z_p), -sigmoid(z_u) / n_u
+        grad = np.append(p.transposed_times(g_p, k) + u.transposed_times(g_u, k), g_p.sum() + g_u.sum()) + decay * np.append(w[:-1], 0)
         m, v = 0.9 * m + 0.1 * grad, 0.999 * v + 0.001 * grad**2
         w -= rate * (m / (1 - 0.9**t)) / (np.sqrt(v / (1 - 0.999**t)) + 1e-8)
     return w[:-1], float(w[-1])
@@ -113,41 +165,49 @@ def curve(z: np.ndarray, y: np.ndarray) -> tuple[float, float]:
     return max(float(a), 1e-3), float(b)
 
 
-def fit(p: list[np.ndarray], n: list[np.ndarray], u: list[np.ndarray], prior: float) -> Model:
-    """p, n, u: hashed words of toxic, clean and unlabelled documents."""
-    once = lambda rows: [np.frombuffer(r, np.int32) for r in sorted({x.tobytes() for x in rows})]
-    p, n, u = once(p), once(n), once(u)
-    if len(u) < 50:  # too few without labels: clean ones stand in
-        u = u + n
-    if not p:
+def fit(read, prior: float) -> Model:
+    """read() gives the training rows anew, in the same order: kind (p, n or u), features, uses, words."""
+    size = 1 << BITS
+    seen: set[tuple[str, bytes]] = set()
+    once: list[bool] = []
+    counts = {k: [np.zeros(size, np.int32), np.zeros(size, np.int32), 0] for k in "pnu"}
+    for kind, features, uses, n in read():
+        key = kind, hashlib.blake2b(features.tobytes(), digest_size=16).digest()
+        once.append(key not in seen)
+        if once[-1]:
+            seen.add(key)
+            own = counts[kind]
+            own[0][features] += 1
+            own[1][features[(uses >= OFTEN) & (uses >= OFTEN_SHARE * n)]] += 1
+            own[2] += 1
+    n_p, n_n, n_u = (counts[k][2] for k in "pnu")
+    stand_in = n_u < 50  # too few without labels: clean ones stand in
+    if not n_p or not n_u + stand_in * n_n:
         return Model(np.empty(0, np.int32), np.empty(0, np.float32), 0.0, 1.0, 0.0)
-    in_p, in_u = (np.bincount(np.concatenate([*rows, np.empty(0, np.int32)]).astype(np.int64), minlength=1 << BITS) for rows in (p, u))
-    lift = np.log((in_p + 0.5) / (len(p) + 1)) - np.log((in_u + 0.5) / (len(u) + 1))
-    # How far the share in P stands from that in U, in standard errors.
-    strength = lift / np.sqrt(1 / (in_p + 0.5) + 1 / (in_u + 0.5))
-    # Words of a few toxic documents only, mostly copies of one text, would be learned by heart.
-    enough = np.flatnonzero((in_p >= max(3, COMMON * len(p))) & (strength >= STRENGTH))
-    features = np.sort(enough[np.argsort(-strength[enough], kind="stable")[:FEATURES]]).astype(np.int32)
-    place = np.full(1 << BITS, -1, np.int32)
+    strength, lift = np.full(size, -np.inf), np.zeros(size)
+    for how in range(2):
+        in_p, in_u = counts["p"][how], counts["u"][how] + stand_in * counts["n"][how]
+        own = np.log((in_p + 0.5) / (n_p + 1)) - np.log((in_u + 0.5) / (n_u + stand_in * n_n + 1))
+        # How far the share in P stands from that in U, in standard errors.
+        far = np.where(in_p >= LEAST, own / np.sqrt(1 / (in_p + 0.5) + 1 / (in_u + 0.5)), -np.inf)
+        strength, lift = np.maximum(strength, far), np.where(far > strength, own, lift)
+    features = np.flatnonzero(strength >= STRENGTH)
+    place = np.full(size, -1, np.int32)
     place[features] = np.arange(len(features))
-
-    def matrix(rows):
-        x = np.zeros((len(rows), len(features)), np.float32)
-        for i, r in enumerate(rows):
-            at = place[r]
-            x[i, at[at >= 0]] = 1
-        return x
-
-    xp, xn, xu = matrix(p), matrix(n), matrix(u)
-    w, b = nn_pu(np.concatenate([xp, xu]), np.arange(len(p) + len(u)) < len(p), prior, lift[features])
-    z = np.concatenate([xp, xn]) @ w + b
-    y = np.arange(len(z)) < len(p)
-    slope, shift = curve(z, y) if len(n) else (1.0, 0.0)
-    return Model(features, w.astype(np.float32), b, slope, shift)
+    by: dict[str, list[tuple[np.ndarray, np.ndarray]]] = {k: [] for k in "pnu"}
+    for first, (kind, own, uses, n) in zip(once, read(), strict=True):
+        if first:
+            known = place[own] >= 0
+            by[kind].append((place[own[known]], _value(uses[known], n)))
+    p, u, labelled = Rows.of(by["p"]), Rows.of(by["u"] + stand_in * by["n"]), Rows.of(by["p"] + by["n"])
+    w, b = nn_pu(p, u, prior, lift[features])
+    slope, shift = curve(labelled.times(w) + b, np.arange(n_p + n_n) < n_p) if n_n else (1.0, 0.0)
+    return Model(features.astype(np.int32), w.astype(np.float32), b, slope, shift)
 
 
 def train(docs: DataFrame, labels: DataFrame) -> Model:
-    """Fit on the bounded samples; what reaches the driver is bounded by them."""
+    """Fit on the bounded samples."""
+    spark = docs.sparkSession
     known = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("toxic").cast("int").alias("toxic")).where("doc_id IS NOT NULL AND toxic IS NOT NULL")
     usable = known.where(crc_mod(3) != 1).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     counts = usable.agg(F.count_if(F.col("toxic") > 0).alias("p"), F.count_if(F.col("toxic") <= 0).alias("n")).first()
@@ -162,13 +222,35 @@ def train(docs: DataFrame, labels: DataFrame) -> Model:
 
     def hashed(batches):
         for batch in batches:
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([_hashes(t).tobytes() for t in batch.column(1).to_pylist()], pa.binary())], names=["kind", "words"])
+            rows = []
+            for text in batch.column(2).to_pylist():
+                found, uses, n = _counted(text)
+                features, uses = _summed(found, uses)
+                rows.append((features.astype("<i4").tobytes(), uses.astype("<i8").tobytes(), n))
+            made = [pa.array([r[i] for r in rows], kind) for i, kind in enumerate((pa.binary(), pa.binary(), pa.int64()))]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *made], names=["kind", "doc_id", "features", "uses", "n"])
 
     # The sample has a fixed bound of MAX_P + MAX_N + MAX_U ids.
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).join(F.broadcast(sample), "doc_id").select("kind", "text")
-    rows = texts.mapInArrow(hashed, "kind string, words binary").collect()
-    by = {k: [np.frombuffer(r["words"], np.int32) for r in rows if r["kind"] == k] for k in "pnu"}
-    return fit(by["p"], by["n"], by["u"], min(max(prior, 0.01), 0.5))
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).join(F.broadcast(sample), "doc_id").select("kind", "doc_id", "text")
+    path = shared_path(spark, "training")
+    texts.mapInArrow(hashed, "kind string, doc_id long, features binary, uses binary, n long").write.parquet(path)
+    rows = spark.read.schema("kind string, doc_id long, features binary, uses binary, n long").parquet(path)
+    # In an order that doesn't depend on the partitions, a slice of the sample at a time.
+    order = [(r["kind"], r["doc_id"]) for r in rows.select("kind", "doc_id").distinct().orderBy("kind", "doc_id").collect()]
+    ends = [order[i] for i in range(0, len(order), SLICE)]
+
+    def read():
+        for at, (kind, low) in enumerate(ends):
+            part = rows.where((F.col("kind") > kind) | ((F.col("kind") == kind) & (F.col("doc_id") >= low)))
+            if at + 1 < len(ends):
+                after, high = ends[at + 1]
+                part = part.where((F.col("kind") < after) | ((F.col("kind") == after) & (F.col("doc_id") < high)))
+            for r in part.orderBy("kind", "doc_id", "features", "uses").collect():
+                yield r["kind"], np.frombuffer(r["features"], np.int32), np.frombuffer(r["uses"], np.int64), r["n"]
+
+    model = fit(read, min(max(prior, 0.01), 0.5))
+    remove_path(spark, path)
+    return model
 
 
 def score(docs: DataFrame, model: Model) -> DataFrame:

@@ -110,13 +110,43 @@ def substring_brute(rows, w):
 
 def test_substring_dedup(docs, empty):
     got = substring_dedup.dedup_substrings(docs)
-    want = substring_brute(unique_rows(), 35)
+    want = substring_brute(TEXTS, 35)
     assert sorted(((r.doc_id, (r.n_words, r.n_removed, r.kept_sha256)) for r in got.collect()), key=repr) == sorted(((i, want[i, t]) for i, t in TEXTS), key=repr)
     by = {r.doc_id: r.text for r in got.collect()}
     assert PASSAGE not in by[1] and by[6] is None and by[3] == "" and by[20] is not None and by[22] == "trailing \n\n lines \n"
     assert "score" in got.columns and substring_dedup.dedup_substrings(empty).count() == 0
 
 
+def test_substring_dedup_of_repeated_rows(spark):
+    """Rows with the same doc_id and text are copies of each other."""
+    long, short = words(50, 70), words(20, 71)
+    got = substring_dedup.dedup_substrings(spark.createDataFrame([(1, long), (1, long), (2, short), (2, short), (3, words(50, 72))], "doc_id long, text string")).collect()
+    assert sorted((r.doc_id, r.n_words, r.n_removed) for r in got) == [(1, 50, 50), (1, 50, 50), (2, 20, 0), (2, 20, 0), (3, 50, 0)]
+
+
+INSIDE = ["_rid", "_gone", "_hit_id", "_hit_rid", "_text", "_anchors", "_repeats", "_key", "_nth", "_bucket", "_guest", "_first", "_host", "n", "kind", "features", "bucket", "source", "salt", "hot", "i", "fp", "lang", "source_", "ids", "start"]
+
+
+def test_clashing_names(spark, corpus):
+    """Columns that have the names used inside come back as they were."""
+    df, labels = corpus
+    base = [(r.doc_id, r.text) for r in df.where("doc_id < 40").collect()] + [(901, LINES), (902, LINES), (903, PASSAGE), (904, PASSAGE), (905, None)]
+    plain = spark.createDataFrame(base, "doc_id long, text string")
+    clash = plain.select("*", *[F.concat(F.lit(c + "-"), F.col("doc_id")).alias(c) for c in INSIDE])
+    model, reference, lid = toxicity.train(df, labels), quality.references(df), language_id.train(df)
+    made = {
+        "lines": line_dedup.dedup_lines, "words": lambda d: line_dedup.dedup_lines(d, words=8), "substrings": substring_dedup.dedup_substrings, "first": simhash.keep_first,
+        "toxicity": lambda d: toxicity.score(d, model), "quality": lambda d: quality.judge(d, reference), "language": lambda d: language_id.identify(d, lid), "next": lambda d: fingerprints.with_next(d, ["doc_id"]),
+    }
+    for name, f in made.items():
+        out = f(clash)
+        assert set(clash.columns) <= set(out.columns), name
+        got, want = out.collect(), f(plain).collect()
+        assert all(r[c] == f"{c}-{r.doc_id}" for r in got for c in INSIDE), name
+        own = [c for c in f(plain).columns if c not in INSIDE]
+        assert sorted((repr([r[c] for c in own]) for r in got)) == sorted(repr([r[c] for c in own]) for r in want), name
+
+
 @pytest.mark.parametrize("w", [1, 2, 3, 5, 8])
 def test_substring_dedup_random(spark, w):
     r = random.Random(w)
@@ -309,17 +339,65 @@ def test_fingerprints(spark, docs, empty):
     assert fingerprints.with_next(one, ["text"]).first()._next.text == "x"
 
 
+def sha(x):
+    return hashlib.sha256(x.encode()).hexdigest()
+
+
+def tree_brute(text):
+    """Root, and for each section its digest and paragraphs: (digest, leaf digests)."""
+    paragraphs = [[sha(p[i : i + 32]) for i in range(0, len(p), 32)] for p in text.split("\n")]
+    made = [(sha("".join(ls)), ls) for ls in paragraphs]
+    parts = [made[i : i + 16] for i in range(0, len(made), 16)]
+    heads = [sha("".join(h for h, _ in ps)) for ps in parts]
+    return sha("".join(heads)), [(h[:8], tuple((d[:8], tuple(x[:8] for x in ls)) for d, ls in ps)) for h, ps in zip(heads, parts)]
+
+
+def shown_brute(text):
+    top, parts = tree_brute(text)
+    return top + ":" + "/".join(h + "=" + ".".join(d + "".join(ls) for d, ls in ps) for h, ps in parts)
+
+
+def likeness_brute(a, b):
+    (ra, sa), (rb, sb) = tree_brute(a), tree_brute(b)
+    if ra == rb:
+        return 1.0
+    both = set(sa) & set(sb)
+    shared = sum(len(ls) for _, ps in both for _, ls in ps)
+    pa_, pb = ({p for s in set(x) - both for p in s[1]} for x in (sa, sb))
+    same = pa_ & pb
+    shared += sum(len(ls) for _, ls in same)
+    la, lb = ({x for p in ps - same for x in p[1]} for ps in (pa_, pb))
+    total = 2 * shared + len(la) + len(lb)
+    return 2.0 * (shared + len(la & lb)) / total if total else 0.0
+
+
+def test_fingerprint_query(spark, docs, tmp_path):
+    """All columns of op7_fingerprints against a brute-force version."""
+    more = [(900 + i, "\n".join(words(R.randrange(30), 7 * i + k) for k in range(R.randrange(1, 60))), "x", 0.0, "n") for i in range(12)]
+    rows = docs.where("doc_id IS NULL OR doc_id NOT IN (20, 21)").collect() + more
+    spark.createDataFrame(rows, docs.schema).repartition(5).write.parquet(str(tmp_path / "documents.parquet"))
+    own = sorted(((r[0], r[1] or "") for r in rows), key=lambda x: (x[0] is not None, x[0] or 0))
+    got = {r.doc_id: r for r in fingerprints.op7_fingerprints(spark, str(tmp_path)).collect()}
+    assert len(got) == len(own)
+    for k, (i, t) in enumerate(own):
+        after = own[(k + 1) % len(own)][1]
+        half = len(t) // 2
+        changed = t[: len(t) - half] + after[:half]
+        r = got[i]
+        assert (r.n_chars, r.edited_sha256, r.fingerprint, r.edited_fingerprint) == (len(t), sha(changed), shown_brute(t), shown_brute(changed))
+        assert abs(r.near_edited - likeness_brute(t, changed)) < 1e-12 and abs(r.near_next - likeness_brute(t, after)) < 1e-12
+
+
 def test_fingerprint_likeness_and_edits(spark):
     base = "\n".join(words(12, i) for i in range(40))
     changed = base.split("\n")
     changed[17] = "edited " + changed[17]
-    rows = spark.createDataFrame([(base, base), (base, "\n".join(changed)), (base, words(300, 99)), ("", ""), ("", "x"), ("ab", "ab"), (base, base + "\nmore")], "a string, b string")
+    rows = spark.createDataFrame([(base, base), (base, "\n".join(changed)), (base, words(300, 99)), ("", ""), ("", "x"), ("ab", "ab"), (base, base + "\nmore"), ("", "\n")], "a string, b string")
     f = rows.select(fingerprints.fingerprint(F.col("a")).alias("a"), fingerprints.fingerprint(F.col("b")).alias("b"))
     got = f.select("a", "b", fingerprints.likeness(F.col("a"), F.col("b")).alias("l"), fingerprints.differing(F.col("a"), F.col("b")).alias("d")).collect()
-    assert [got[0].l, got[3].l, got[5].l] == [1.0, 1.0, 1.0] and 0.9 < got[1].l < 1 and got[2].l < 0.05 and got[4].l == 0
+    assert [got[0].l, got[3].l, got[5].l] == [1.0, 1.0, 1.0] and 0.9 < got[1].l < 1 and got[2].l < 0.05 and got[4].l == 0 and got[7].l == 0
     assert got[0].a == got[0].b and list(got[1].d) == [17] and list(got[0].d) == [] and list(got[6].d) == [40]
-    leaves = got[1].a.split(":")[1]
-    assert got[1].a[:64] != got[1].b[:64] and leaves.count("/") == 2 and leaves.count(".") == 37
+    assert got[1].a[:64] != got[1].b[:64] and got[1].a.count("/") == 2 and got[1].a.count(".") == 37 and list(got[4].d) == [0]
 
 
 # SimHash.
@@ -432,7 +510,7 @@ def test_quality_references_and_distance(spark):
     df = spark.createDataFrame([(i, t, "en") for i, t in enumerate(prose)] + [(99, junk, None)], "doc_id long, text string, lang string")
     langs, chars, common, ref = quality.references(df)
     c = Counter(w for t in prose for w in t.encode().split())
-    assert langs == ["en"] and ref.sum() == sum(c.values()) and {w: int(n) for w, n in zip(common, ref[0], strict=False)} == {w: n for w, n in c.items() if len(w) <= 5}
+    assert langs == ["en"] and ref.sum() == sum(c.values()) and {w: int(n) for w, n in zip(common, ref[0], strict=False)} == c
     rows = {r.doc_id: r for r in quality.judge(df, (langs, chars, common, ref)).collect()}
     assert not rows[99].kept and rows[99].chars_distance > quality.FAR_CHARS and all(rows[i].words_distance < 0.2 for i in range(30))
     p, q = np.array([[1.0, 0]]), np.array([[0.0, 1], [1, 0]])
@@ -479,6 +557,15 @@ def test_toxicity_on_held_out_rows(spark, corpus, docs, empty):
     assert toxicity.keep_clean(df, labels).columns == df.columns
 
 
+def test_toxicity_query_on_the_small_tables(spark):
+    """Held-out recall and false alarms, with labels that training may not see."""
+    folder = "/root/testdata/sf0.1"
+    rows = toxicity.op4_toxicity(spark, folder).join(spark.read.parquet(f"{folder}/labels.parquet"), "doc_id").where("held_out").collect()
+    assert all(r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 3 == 1) and r.predicted == (r.score >= 0.7) for r in rows)
+    toxic, clean = [r.predicted for r in rows if r.toxic], [r.predicted for r in rows if not r.toxic]
+    assert sum(toxic) / len(toxic) >= 0.9 and sum(clean) / len(clean) < 0.005
+
+
 def test_language_on_held_out_rows(corpus, docs, empty):
     df, _ = corpus
     model = language_id.train(df)
@@ -520,6 +607,12 @@ def test_viterbi_is_best(corpus):
             assert abs(value - viterbi_brute(scores, language_id.SWITCH)) < 1e-2
 
 
+@pytest.mark.parametrize("stretch", [1, 2, 3, 7])
+def test_viterbi_in_stretches_is_best(corpus, monkeypatch, stretch):
+    monkeypatch.setattr(language_id, "STRETCH", stretch)
+    test_viterbi_is_best(corpus)
+
+
 def test_pipeline_stages(spark, corpus, tmp_path):
     import corpus_pipeline
 
