@@ -14,9 +14,9 @@ standard errors, counted by presence or by repeated use; their number has no cap
 
 Training reads at most ``MAX_P`` toxic, ``MAX_N`` clean (for prior and curve
 only) and ``MAX_U`` unlabelled documents, those of the lowest hashes of their
-ids; equal word sets count once. They are hashed by the executors into a table
-of the shared folder, which the driver reads twice, a part at a time: for the
-counts, then for the chosen features. Scoring reads all texts whole.
+ids; equal word sets count once. They are hashed and counted by the executors;
+the driver gets the chosen features, and their values in these documents only.
+Scoring reads all texts whole.
 
 * Labels are used only from rows whose crc32(doc_id as text) mod 3 is not 1.
   Labels, lang, source and doc_id aren't inputs of a score.
@@ -46,8 +46,6 @@ from pyspark.sql import types as T
 from eventide.llm.common import crc_mod, load, remove_path, shared_path
 
 MAX_P, MAX_N, MAX_U = 3000, 3000, 6000
-#: Training rows that the driver reads at once.
-SLICE = 2000
 #: Prior where labels don't tell: they are all toxic.
 PRIOR = 0.1
 BITS, THRESHOLD = 20, 0.7
@@ -165,44 +163,89 @@ def curve(z: np.ndarray, y: np.ndarray) -> tuple[float, float]:
     return max(float(a), 1e-3), float(b)
 
 
-def fit(read, prior: float) -> Model:
-    """read() gives the training rows anew, in the same order: kind (p, n or u), features, uses, words."""
-    size = 1 << BITS
-    seen: set[tuple[str, bytes]] = set()
-    once: list[bool] = []
-    counts = {k: [np.zeros(size, np.int32), np.zeros(size, np.int32), 0] for k in "pnu"}
-    for kind, features, uses, n in read():
-        key = kind, hashlib.blake2b(features.tobytes(), digest_size=16).digest()
-        once.append(key not in seen)
-        if once[-1]:
-            seen.add(key)
-            own = counts[kind]
-            own[0][features] += 1
-            own[1][features[(uses >= OFTEN) & (uses >= OFTEN_SHARE * n)]] += 1
-            own[2] += 1
-    n_p, n_n, n_u = (counts[k][2] for k in "pnu")
+_ROWS = "kind string, doc_id long, digest binary, features binary, uses binary, n long"
+
+
+def _hashed(batches):
+    """A training row's features and uses, and a digest of the features."""
+    for batch in batches:
+        rows = []
+        for text in batch.column(2).to_pylist():
+            found, uses, n = _counted(text)
+            features, uses = _summed(found, uses)
+            raw = features.astype("<i4").tobytes()
+            rows.append((hashlib.blake2b(raw, digest_size=16).digest(), raw, uses.astype("<i8").tobytes(), n))
+        made = [pa.array([r[i] for r in rows], kind) for i, kind in enumerate((pa.binary(), pa.binary(), pa.binary(), pa.int64()))]
+        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *made], names=["kind", "doc_id", "digest", "features", "uses", "n"])
+
+
+def _unpacked(batch: pa.RecordBatch):
+    """kind, doc_id, features, uses and words of each training row."""
+    kinds, ids, features, uses, ns = (batch.column(c).to_pylist() for c in ("kind", "doc_id", "features", "uses", "n"))
+    for kind, key, f, u, n in zip(kinds, ids, features, uses, ns, strict=True):
+        yield kind, key, np.frombuffer(f, np.int32), np.frombuffer(u, np.int64), n
+
+
+def _counts(batches):
+    """How many rows have each feature, and how many use it repeatedly: of P, of all others."""
+    counts = np.zeros((4, 1 << BITS), np.int32)
+    for batch in batches:
+        for kind, _, features, uses, n in _unpacked(batch):
+            at = 0 if kind == "p" else 2
+            counts[at, features] += 1
+            counts[at + 1, features[(uses >= OFTEN) & (uses >= OFTEN_SHARE * n)]] += 1
+    found = np.flatnonzero(counts.any(axis=0))
+    yield pa.RecordBatch.from_arrays([pa.array(found, pa.int64()), *(pa.array(c[found], pa.int64()) for c in counts)], names=["feature", "p_has", "p_often", "u_has", "u_often"])
+
+
+def _chosen(features: np.ndarray):
+    def run(batches):
+        place = np.full(1 << BITS, -1, np.int32)
+        place[features] = np.arange(len(features))
+        for batch in batches:
+            rows = []
+            for kind, key, own, uses, n in _unpacked(batch):
+                known = place[own] >= 0
+                rows.append((kind, key, place[own[known]].astype("<i4").tobytes(), _value(uses[known], n).astype("<f8").tobytes()))
+            made = [pa.array([r[i] for r in rows], k) for i, k in enumerate((pa.string(), pa.int64(), pa.binary(), pa.binary()))]
+            yield pa.RecordBatch.from_arrays(made, names=["kind", "doc_id", "features", "features_values"])
+
+    return run
+
+
+def fit(rows: DataFrame, prior: float) -> Model:
+    """rows: kind (p, n or u), doc_id, digest, features, uses, n; of equal digests one counts."""
+    none = Model(np.empty(0, np.int32), np.empty(0, np.float32), 0.0, 1.0, 0.0)
+    once = rows.groupBy("kind", "digest").agg(F.min(F.struct("doc_id", "features", "uses", "n")).alias("x")).select("kind", "x.*")
+    sizes = {r["kind"]: r["n"] for r in once.groupBy("kind").agg(F.count("*").alias("n")).collect()}
+    n_p, n_n, n_u = (sizes.get(k, 0) for k in "pnu")
     stand_in = n_u < 50  # too few without labels: clean ones stand in
-    if not n_p or not n_u + stand_in * n_n:
-        return Model(np.empty(0, np.int32), np.empty(0, np.float32), 0.0, 1.0, 0.0)
-    strength, lift = np.full(size, -np.inf), np.zeros(size)
-    for how in range(2):
-        in_p, in_u = counts["p"][how], counts["u"][how] + stand_in * counts["n"][how]
-        own = np.log((in_p + 0.5) / (n_p + 1)) - np.log((in_u + 0.5) / (n_u + stand_in * n_n + 1))
-        # How far the share in P stands from that in U, in standard errors.
-        far = np.where(in_p >= LEAST, own / np.sqrt(1 / (in_p + 0.5) + 1 / (in_u + 0.5)), -np.inf)
-        strength, lift = np.maximum(strength, far), np.where(far > strength, own, lift)
-    features = np.flatnonzero(strength >= STRENGTH)
-    place = np.full(size, -1, np.int32)
-    place[features] = np.arange(len(features))
+    unlabelled = F.col("kind").isin(*("nu" if stand_in else "u"))
+    n_all_u = n_u + stand_in * n_n
+    if not n_p or not n_all_u:
+        return none
+    counted = once.where((F.col("kind") == "p") | unlabelled).mapInArrow(_counts, "feature long, p_has long, p_often long, u_has long, u_often long")
+    sums = counted.groupBy("feature").agg(*[F.sum(c).alias(c) for c in ("p_has", "p_often", "u_has", "u_often")])
+
+    def strength(how: str):
+        """Difference of the logarithms of the shares in P and U, and how many standard errors that is."""
+        p, u = F.col(f"p_{how}"), F.col(f"u_{how}")
+        lift = F.log((p + 0.5) / (n_p + 1)) - F.log((u + 0.5) / (n_all_u + 1))
+        return F.when(p >= LEAST, F.struct((lift / F.sqrt(1 / (p + 0.5) + 1 / (u + 0.5))).alias("strength"), lift.alias("lift")))
+
+    best = sums.select("feature", F.greatest(strength("has"), strength("often")).alias("x")).where(F.col("x.strength") >= STRENGTH)
+    chosen = best.select("feature", "x.lift").orderBy("feature").collect()
+    features = np.array([r["feature"] for r in chosen], np.int32)
+    if not len(features):
+        return none
     by: dict[str, list[tuple[np.ndarray, np.ndarray]]] = {k: [] for k in "pnu"}
-    for first, (kind, own, uses, n) in zip(once, read(), strict=True):
-        if first:
-            known = place[own] >= 0
-            by[kind].append((place[own[known]], _value(uses[known], n)))
+    # A few chosen features for each of the bounded number of rows.
+    for r in once.mapInArrow(_chosen(features), "kind string, doc_id long, features binary, features_values binary").orderBy("kind", "doc_id").collect():
+        by[r["kind"]].append((np.frombuffer(r["features"], np.int32), np.frombuffer(r["features_values"], np.float64)))
     p, u, labelled = Rows.of(by["p"]), Rows.of(by["u"] + stand_in * by["n"]), Rows.of(by["p"] + by["n"])
-    w, b = nn_pu(p, u, prior, lift[features])
+    w, b = nn_pu(p, u, prior, np.array([r["lift"] for r in chosen]))
     slope, shift = curve(labelled.times(w) + b, np.arange(n_p + n_n) < n_p) if n_n else (1.0, 0.0)
-    return Model(features.astype(np.int32), w.astype(np.float32), b, slope, shift)
+    return Model(features, w.astype(np.float32), b, slope, shift)
 
 
 def train(docs: DataFrame, labels: DataFrame) -> Model:
@@ -219,36 +262,11 @@ def train(docs: DataFrame, labels: DataFrame) -> Model:
         .unionByName(lowest(usable.where("toxic <= 0").select("doc_id"), MAX_N).withColumn("kind", F.lit("n")))
         .unionByName(lowest(keys.distinct().join(known, "doc_id", "left_anti"), MAX_U).withColumn("kind", F.lit("u")))
     )
-
-    def hashed(batches):
-        for batch in batches:
-            rows = []
-            for text in batch.column(2).to_pylist():
-                found, uses, n = _counted(text)
-                features, uses = _summed(found, uses)
-                rows.append((features.astype("<i4").tobytes(), uses.astype("<i8").tobytes(), n))
-            made = [pa.array([r[i] for r in rows], kind) for i, kind in enumerate((pa.binary(), pa.binary(), pa.int64()))]
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *made], names=["kind", "doc_id", "features", "uses", "n"])
-
     # The sample has a fixed bound of MAX_P + MAX_N + MAX_U ids.
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).join(F.broadcast(sample), "doc_id").select("kind", "doc_id", "text")
     path = shared_path(spark, "training")
-    texts.mapInArrow(hashed, "kind string, doc_id long, features binary, uses binary, n long").write.parquet(path)
-    rows = spark.read.schema("kind string, doc_id long, features binary, uses binary, n long").parquet(path)
-    # In an order that doesn't depend on the partitions, a slice of the sample at a time.
-    order = [(r["kind"], r["doc_id"]) for r in rows.select("kind", "doc_id").distinct().orderBy("kind", "doc_id").collect()]
-    ends = [order[i] for i in range(0, len(order), SLICE)]
-
-    def read():
-        for at, (kind, low) in enumerate(ends):
-            part = rows.where((F.col("kind") > kind) | ((F.col("kind") == kind) & (F.col("doc_id") >= low)))
-            if at + 1 < len(ends):
-                after, high = ends[at + 1]
-                part = part.where((F.col("kind") < after) | ((F.col("kind") == after) & (F.col("doc_id") < high)))
-            for r in part.orderBy("kind", "doc_id", "features", "uses").collect():
-                yield r["kind"], np.frombuffer(r["features"], np.int32), np.frombuffer(r["uses"], np.int64), r["n"]
-
-    model = fit(read, min(max(prior, 0.01), 0.5))
+    texts.mapInArrow(_hashed, _ROWS).write.parquet(path)
+    model = fit(spark.read.schema(_ROWS).parquet(path), min(max(prior, 0.01), 0.5))
     remove_path(spark, path)
     return model
 
