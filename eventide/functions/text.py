@@ -2,16 +2,20 @@
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Names of event kinds.
-KIND_LABELS = {0: "Profile", 1: "Note", 3: "Follows", 4: "Direct message", 5: "Deletion", 6: "Repost", 7: "Reaction", 16: "Repost", 1059: "Gift wrap", 1063: "File", 1111: "Comment", 9735: "Zap", 10002: "Relay list", 30023: "Article"}
-
-IMAGES = r"\.(jpg|jpeg|png|gif|webp|svg|avif)$"
+# Names of event kinds, patterns, extensions.
+KIND_LABELS = {
+    0: "Profile", 1: "Note", 3: "Contacts", 6: "Repost", 7: "Reaction", 16: "Generic Repost", 1063: "File Metadata",
+    9735: "Zap Receipt", 30023: "Long-form Article", 30024: "Draft Article", 34235: "Video", 34236: "Short Video",
+}
+IMAGES = r"\.(jpg|jpeg|png|gif|webp|svg)$"
 VIDEOS = r"\.(mp4|webm|mov|m4v)$"
-URL = r"https?://[^\s<>\"]+"
-REFERENCE = r"nostr:(?:npub|note|nprofile|nevent|naddr)1[02-9ac-hj-np-z]+"
+URL = r"https?://[^\s<>\)\]]+"
+REFERENCE = r"nostr:(?:npub1|nprofile1|note1|nevent1|naddr1)[a-z0-9]+"
 
 
 def to_unsigned_or_zero(text: Column) -> Column:
@@ -61,12 +65,10 @@ def host_of(url: Column) -> Column:
     return F.lower(F.regexp_extract(url, r"^[a-zA-Z][a-zA-Z0-9+.-]*://([^/:?#]+)", 1))
 
 
-def _extension(url: Column) -> Column:
-    return F.lower(F.get(F.split(url, r"[?#]"), F.lit(0)))
-
-
 def url_class(url: Column) -> Column:
-    return F.when(_extension(url).rlike(IMAGES), "image").when(_extension(url).rlike(VIDEOS), "video").otherwise("link")
+    """image or video by the extension before a question mark, else link."""
+    path = F.substring_index(F.lower(url), "?", 1)
+    return F.when(path.rlike(IMAGES), "image").when(path.rlike(VIDEOS), "video").otherwise("link")
 
 
 def segments(content: Column) -> Column:
@@ -89,18 +91,57 @@ def resolved(content: Column, tags: Column) -> Column:
     return F.array_join(F.transform(F.split(content, r"#\["), one), "")
 
 
+def _prefix(text: Column, most: int) -> Column:
+    """The longest prefix of whole characters within so many bytes."""
+    raw = F.encode(text, "UTF-8")
+    cut = F.hex(F.substring(raw, 1, most))
+    # Where the next byte goes on with a character, what is there of it goes.
+    inside = F.hex(F.substring(raw, most + 1, 1)).rlike("^[89AB]")
+    return F.decode(F.unhex(F.when(inside, F.regexp_replace(cut, "[C-F][0-9A-F](?:[89AB][0-9A-F]){0,2}$", "")).otherwise(cut)), "UTF-8")
+
+
 def shortened(text: Column, most: int) -> Column:
-    """At most so many characters, with an ellipsis where cut; by characters, so none is broken."""
-    return F.when(F.char_length(text) > most, F.concat(F.rtrim(F.substring(text, 1, most)), F.lit("…"))).otherwise(text)
+    """At most so many bytes, with three dots behind where cut; no character is broken."""
+    return F.when(F.octet_length(text) > most, F.concat(_prefix(text, most), F.lit("..."))).otherwise(text)
+
+
+def shortened_url(url: Column) -> Column:
+    """A URL without its scheme, of over 50 bytes the first 47 and three dots."""
+    plain = F.regexp_replace(url, "^https?://", "")
+    return F.when(F.octet_length(plain) > 50, F.concat(_prefix(plain, 47), F.lit("..."))).otherwise(plain)
+
+
+def _ends(key: Column, most: int, head: int, tail: int) -> Column:
+    return F.when(F.octet_length(key) > most, F.concat(F.substring(key, 1, head), F.lit("..."), F.substring(key, -tail, tail))).otherwise(key)
 
 
 def short_key(key: Column) -> Column:
-    return F.when(F.char_length(key) > 16, F.concat(F.substring(key, 1, 8), F.lit("…"), F.substring(key, -8, 8))).otherwise(key)
+    """Keys and identifiers (ASCII) of over 16 characters: the first 12, the last 4."""
+    return _ends(key, 16, 12, 4)
+
+
+def short_npub(key: Column) -> Column:
+    return _ends(key, 32, 16, 12)
+
+
+def _tenths(n: Column, unit: int) -> Column:
+    """n / unit as a double, to one decimal; a tie goes the way of the double, where that is exact to the even digit."""
+    low, rest = F.floor(n / (unit // 10)).cast("bigint"), n.cast("bigint") % (unit // 10)
+    # The double's distance from the tie, exactly: below 2**22 it is a whole number of 2**-41, below 2**11 of 2**-52.
+    v = n.cast("bigint").cast("double") / F.lit(float(unit))
+
+    def beyond(bits: int) -> Column:
+        shown = F.floor(v * float(1 << bits)).cast("decimal(20,0)") * F.lit(unit).cast("decimal(8,0)")
+        return F.signum((shown - n.cast("decimal(18,0)") * F.lit(1 << bits).cast("decimal(18,0)")).cast("double"))
+
+    tie = F.when(v < 2048, beyond(52)).when(v < 1 << 22, beyond(41)).otherwise(F.lit(0.0))
+    up = F.when(rest * 2 != unit // 10, rest * 2 > unit // 10).otherwise((tie > 0) | ((tie == 0) & (low % 2 == 1)))
+    whole = low + up.cast("bigint")
+    return F.concat(F.floor(whole / 10).cast("string"), F.lit("."), (whole % 10).cast("string"))
 
 
 def short_number(n: Column) -> Column:
-    tenth = lambda d: F.format_string("%.1f", F.floor(n / (d / 10)) / 10.0)
-    return F.when(n >= 1_000_000, F.concat(tenth(1_000_000), F.lit("M"))).when(n >= 1_000, F.concat(tenth(1_000), F.lit("K"))).otherwise(n.cast("string"))
+    return F.when(n >= 1_000_000, F.concat(_tenths(n, 1_000_000), F.lit("M"))).when(n >= 1_000, F.concat(_tenths(n, 1_000), F.lit("K"))).otherwise(n.cast("bigint").cast("string"))
 
 
 def sats(msats: Column) -> Column:
@@ -113,15 +154,18 @@ def kind_label(kind: Column) -> Column:
 
 
 def is_safe_url(url: Column) -> Column:
-    return F.coalesce(F.lower(url).startswith("https://") | F.lower(url).startswith("http://"), F.lit(False))
+    return F.coalesce(url.startswith("https://") | url.startswith("http://"), F.lit(False))
 
 
 def profile(content: Column) -> Column:
-    """A profile's JSON as a struct; text that is no object gives one of nulls; ``shown`` is never null."""
-    made = F.from_json(content, "display_name string, name string, about string, picture string, nip05 string, lud16 string, website string", {"mode": "PERMISSIVE"})
-    pick = lambda n: F.nullif(F.trim(made[n]), F.lit(""))
-    names = ["display_name", "name", "about", "picture", "nip05", "lud16", "website"]
-    return F.struct(*[made[n].alias(n) for n in names], F.coalesce(pick("display_name"), pick("name"), F.lit("Anonymous")).alias("shown"))
+    """A profile's JSON as a struct; text that is no object, or has a field that is neither text nor null, gives one of nulls; ``shown`` is never null."""
+    names = ["display_name", "name", "about", "picture", "banner", "nip05", "lud16", "website"]
+    made = F.try_parse_json(content)
+    value = lambda n: F.try_variant_get(made, f"$.{n}", "string")
+    typed = [F.coalesce(F.schema_of_variant(F.try_variant_get(made, f"$.{n}", "variant")), F.lit("VOID")).isin("STRING", "VOID") for n in names]
+    good = functools.reduce(lambda a, b: a & b, typed)
+    field = {n: F.when(good, value(n)) for n in names}
+    return F.struct(*[field[n].alias(n) for n in names], F.coalesce(field["display_name"], field["name"], F.lit("Anonymous")).alias("shown"))
 
 
 def delimited_has(text: Column, member: str) -> Column:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from eventide.functions import time as tm
@@ -17,6 +17,11 @@ NAMES = [
 OPEN_END = 999_999_999
 
 
+def _sats(msats: Column) -> Column:
+    """Whole sats, in integers."""
+    return F.call_function("div", msats, F.lit(1000)).cast("bigint")
+
+
 def _window(zaps: DataFrame, as_of: int, days: int) -> DataFrame:
     return zaps.where((F.col("created_at") >= as_of - days * DAY) & (F.col("amount_msats") > 0))
 
@@ -24,14 +29,14 @@ def _window(zaps: DataFrame, as_of: int, days: int) -> DataFrame:
 def totals(zaps: DataFrame, as_of: int, days: int = 30) -> DataFrame:
     amount = F.col("amount_msats")
     return _window(zaps, as_of, days).agg(
-        F.count("*").alias("total_zaps"), F.floor(F.coalesce(F.sum(amount), F.lit(0)) / 1000).cast("bigint").alias("total_sats"), F.count_distinct("zapper_pubkey").alias("unique_zappers"), F.count_distinct("recipient_pubkey").alias("unique_recipients"), (F.avg(amount) / 1000).alias("avg_sats"), (F.median(amount) / 1000).alias("median_sats")
+        F.count("*").alias("total_zaps"), _sats(F.coalesce(F.sum(amount), F.lit(0))).alias("total_sats"), F.count_distinct("zapper_pubkey").alias("unique_zappers"), F.count_distinct("recipient_pubkey").alias("unique_recipients"), (F.avg(amount) / 1000).alias("avg_sats"), (F.median(amount) / 1000).alias("median_sats")
     )
 
 
 def by_period(zaps: DataFrame, as_of: int, grain: str, days: int, limit: int) -> DataFrame:
     amount = F.col("amount_msats")
     out = _window(zaps, as_of, days).groupBy(tm.bucket("created_at", grain).alias("p")).agg(
-        F.count("*").alias("zap_count"), F.floor(F.sum(amount) / 1000).cast("bigint").alias("total_sats"), F.count_distinct("zapper_pubkey").alias("unique_zappers"), (F.avg(amount) / 1000).alias("avg_sats")
+        F.count("*").alias("zap_count"), _sats(F.sum(amount)).alias("total_sats"), F.count_distinct("zapper_pubkey").alias("unique_zappers"), (F.avg(amount) / 1000).alias("avg_sats")
     )
     return out.orderBy(F.desc("p")).limit(limit).select(tm.shown(F.col("p")).alias("period"), "zap_count", "total_sats", "unique_zappers", "avg_sats")
 
@@ -49,7 +54,7 @@ def histogram(zaps: DataFrame, as_of: int, days: int = 30) -> DataFrame:
     # One row beside 17 at most.
     return buckets.join(F.broadcast(all_)).select(
         F.get(lit(NAMES), F.col("i")).alias("bucket"), F.get(lit([1] + [b + 1 for b in BOUNDS]), F.col("i")).cast("bigint").alias("min_sats"), F.get(lit([*BOUNDS, OPEN_END]), F.col("i")).cast("bigint").alias("max_sats"),
-        "count", F.floor(F.col("msats") / 1000).cast("bigint").alias("total_sats"), pct("count", "all_count").alias("pct_count"), pct("msats", "all_msats").alias("pct_sats"),
+        "count", _sats(F.col("msats")).alias("total_sats"), pct("count", "all_count").alias("pct_count"), pct("msats", "all_msats").alias("pct_sats"),
     )
 
 
@@ -58,4 +63,4 @@ def for_target(zaps: DataFrame, events: DataFrame, target: str) -> DataFrame:
     from eventide.functions import tags as tg
 
     receipts = events.where(F.array_contains(tg.values(F.col("tags"), "e"), target)).select(F.col("id").alias("event_id"))
-    return zaps.join(receipts, "event_id", "left_semi").agg(F.count("*").alias("zap_count"), F.floor(F.coalesce(F.sum("amount_msats"), F.lit(0)) / 1000).cast("bigint").alias("zap_sats"))
+    return zaps.join(receipts, "event_id", "left_semi").agg(F.count("*").alias("zap_count"), _sats(F.coalesce(F.sum("amount_msats"), F.lit(0))).alias("zap_sats"))

@@ -199,12 +199,26 @@ def t09_order_violations(spark, sf):
     return li.order_violations(rows, "pubkey", "kind").select("id", "pubkey")
 
 
-@query("SELECT doc_id, octet_length(encode(text)) AS n_bytes, length(text) AS n_chars_text, CASE WHEN length(text) > 80 THEN concat(rtrim(substr(text, 1, 80)), '…') ELSE text END AS short FROM documents")
+@query("""SELECT doc_id, octet_length(encode(text)) AS n_bytes, length(text) AS n_chars_text,
+CASE WHEN octet_length(encode(text)) > 80 THEN concat(substr(text, 1, list_max([k FOR k IN range(81) IF octet_length(encode(substr(text, 1, k))) <= 80])), '...') ELSE text END AS short FROM documents""")
 def c13_shortened(spark, sf):
     t = F.col("text")
     return table(spark, sf, "documents").select("doc_id", tx.byte_length(t).alias("n_bytes"), F.char_length(t).alias("n_chars_text"), tx.shortened(t, 80).alias("short"))
 
 
+@query("""SELECT l_orderkey, l_linenumber, CASE WHEN s >= 1000 THEN concat(printf('%.1f', s / 1000.0::DOUBLE), 'K sats') ELSE concat(CAST(s AS VARCHAR), ' sats') END AS shown
+FROM (SELECT l_orderkey, l_linenumber, CAST(round(l_extendedprice) AS BIGINT) AS s FROM lineitem)""")
+def c14_short_amounts(spark, sf):
+    amount = F.round("l_extendedprice").cast("bigint")
+    return table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", tx.sats(amount * 1000).alias("shown"))
+
+
+@query(f"""WITH {EV}, k AS (SELECT DISTINCT kind FROM ev)
+SELECT kind, CASE kind WHEN 0 THEN 'Profile' WHEN 1 THEN 'Note' WHEN 3 THEN 'Contacts' WHEN 6 THEN 'Repost' WHEN 7 THEN 'Reaction' WHEN 16 THEN 'Generic Repost' ELSE concat('Kind ', CAST(kind AS VARCHAR)) END AS label FROM k""")
+def c17_kind_labels(spark, sf):
+    return events(spark, sf).select("kind").distinct().select("kind", tx.kind_label(F.col("kind")).alias("label"))
+
+
 @query("SELECT conv_id, count(*) AS messages, count(*) FILTER (turn > 0) AS replies, max(turn) AS last_turn FROM conversations GROUP BY 1")
 def n16_reply_counts(spark, sf):
     return table(spark, sf, "conversations").groupBy("conv_id").agg(F.count("*").alias("messages"), F.count_if(F.col("turn") > 0).alias("replies"), F.max("turn").alias("last_turn"))

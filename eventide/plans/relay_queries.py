@@ -167,6 +167,15 @@ def w08_rate_audit(spark, sf):
     return re.rate_audit(c, 3600, 16, 4)
 
 
-@query("SELECT page_id, lower(regexp_extract(url, '^[a-zA-Z][a-zA-Z0-9+.-]*://([^/:?#]+)', 1)) AS host, CASE WHEN regexp_matches(lower(regexp_extract(url, '^[^?#]*', 0)), '\\.(jpg|jpeg|png|gif|webp|svg|avif)$') THEN 'image' WHEN regexp_matches(lower(regexp_extract(url, '^[^?#]*', 0)), '\\.(mp4|webm|mov|m4v)$') THEN 'video' ELSE 'link' END AS class FROM pages")
+_PATH = "string_split(lower(url), '?')[1]"
+
+
+def _ends_with(*extensions: str) -> str:
+    return " OR ".join(f"suffix({_PATH}, '.{x}')" for x in extensions)
+
+
+@query(f"""SELECT page_id, lower(regexp_extract(url, '^[a-zA-Z][a-zA-Z0-9+.-]*://([^/:?#]+)', 1)) AS host,
+CASE WHEN {_ends_with('jpg', 'jpeg', 'png', 'gif', 'webp', 'svg')} THEN 'image' WHEN {_ends_with('mp4', 'webm', 'mov', 'm4v')} THEN 'video' ELSE 'link' END AS class,
+CASE WHEN octet_length(encode(regexp_replace(url, '^https?://', ''))) > 50 THEN concat(left(regexp_replace(url, '^https?://', ''), 47), '...') ELSE regexp_replace(url, '^https?://', '') END AS short FROM pages""")
 def c12_url_hosts(spark, sf):
-    return table(spark, sf, "pages").select("page_id", tx.host_of(F.col("url")).alias("host"), tx.url_class(F.col("url")).alias("class"))
+    return table(spark, sf, "pages").select("page_id", tx.host_of(F.col("url")).alias("host"), tx.url_class(F.col("url")).alias("class"), tx.shortened_url(F.col("url")).alias("short"))

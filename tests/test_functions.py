@@ -86,7 +86,7 @@ def test_engagement_and_lookups(spark):
     s = en.scored(e.where("id = 'v'"), e).first()
     assert (s.reactions, s.comments, s.reposts, s.engagement_score) == (1, 1, 2, 9)
     assert [tuple(r) for r in en.deletions(e).collect()] == [("q", 9)]
-    assert {r.pubkey: r.display_name for r in en.display_names(e).collect()} == {"a": "new"}
+    assert {r.pubkey: r.display_name for r in en.display_names(e).collect()} == {"a": "  "}
     assert en.replaceable(e, 30023, "a", "s").first().id == "n2" and en.trending(en.scored(e.where("id = 'v'"), e), 100).first().trending_score == 9.0
     o = en.of_event(e, amounts.zaps(e), "v").first()
     assert (o.reactions, o.replies, o.reposts, o.zap_count, o.zap_sats) == (1, 1, 2, 1, 50)
@@ -118,11 +118,26 @@ def test_text(spark):
     assert one(spark, tx.url_class(F.lit("https://x/a.PNG?x=1"))) == "image" and one(spark, tx.url_class(F.lit("https://x/a.mp4"))) == "video" and one(spark, tx.url_class(F.lit("https://x/"))) == "link"
     tags = F.array(F.array(F.lit("p"), F.lit("k")), F.array(F.lit("e"), F.lit("v")), F.array(F.lit("t"), F.lit("z")))
     assert one(spark, tx.resolved(F.lit("a #[0] b #[1]c #[2] #[9] #[x]"), tags)) == "a profile:k b event:vc #[2] #[9] #[x]"
-    assert one(spark, tx.short_number(F.lit(1_250_000))) == "1.2M" and one(spark, tx.short_number(F.lit(999))) == "999" and one(spark, tx.sats(F.lit(2_500_000))) == "2.5K sats"
-    assert one(spark, tx.shortened(F.lit("äöü€x"), 4)) == "äöü€…" and one(spark, tx.short_key(F.lit(A))) == "aaaaaaaa…aaaaaaaa"
-    assert one(spark, tx.kind_label(F.lit(9735))) == "Zap" and one(spark, tx.kind_label(F.lit(5555))) == "Kind 5555" and one(spark, tx.is_safe_url(F.lit("javascript:x"))) is False
+    # Ties go the way of the double: 1.25 is exact (to even), 1.15 lies below its tie, 1.35 above.
+    shown = {999: "999", 1_000: "1.0K", 1_150: "1.1K", 1_250: "1.2K", 1_350: "1.4K", 1_750: "1.8K", 999_950: "1000.0K", 1_250_000: "1.2M", 1_260_000: "1.3M", 1_350_000: "1.4M", 2_349_999: "2.3M", 9_876_543_210: "9876.5M"}
+    for n, want in shown.items():
+        assert one(spark, tx.short_number(F.lit(n))) == want, n
+    assert one(spark, tx.sats(F.lit(2_560_999))) == "2.6K sats" and one(spark, tx.sats(F.lit(999_999))) == "999 sats"
+    # By bytes: ä and ö are two, € is three.
+    assert [one(spark, tx.shortened(F.lit("äö€x"), n)) for n in (8, 7, 6, 5, 4, 3, 2, 1)] == ["äö€x", "äö€...", "äö...", "äö...", "äö...", "ä...", "ä...", "..."]
+    assert one(spark, tx.shortened(F.lit("ab  cd"), 4)) == "ab  ..." and one(spark, tx.shortened(F.lit("🦀🦀"), 7)) == "🦀..."
+    assert one(spark, tx.short_key(F.lit("0123456789abcdefg"))) == "0123456789ab...defg" and one(spark, tx.short_key(F.lit("0123456789abcdef"))) == "0123456789abcdef"
+    assert one(spark, tx.short_npub(F.lit("0123456789abcdef" * 2 + "z"))) == "0123456789abcdef...56789abcdefz"
+    assert one(spark, tx.shortened_url(F.lit("https://" + "a" * 51))) == "a" * 47 + "..." and one(spark, tx.shortened_url(F.lit("http://example.com"))) == "example.com"
+    labels = {3: "Contacts", 16: "Generic Repost", 1063: "File Metadata", 9735: "Zap Receipt", 30023: "Long-form Article", 30024: "Draft Article", 34236: "Short Video", 4: "Kind 4", 5555: "Kind 5555"}
+    for k, want in labels.items():
+        assert one(spark, tx.kind_label(F.lit(k))) == want
+    assert [one(spark, tx.is_safe_url(F.lit(u))) for u in ("javascript:x", "HTTPS://x", "https://x", "http://x")] == [False, False, True, True]
+    assert one(spark, tx.url_class(F.lit("https://x/a.avif"))) == "link" and one(spark, tx.url_class(F.lit("https://x/a.png#f"))) == "link"
+    assert [(x.type, x.value) for x in one(spark, tx.segments(F.lit('(https://a/"b) nostr:note1Q nostr:note1bio')))] == [("text", "("), ("url", 'https://a/"b'), ("text", ") nostr:note1Q "), ("reference", "nostr:note1bio")]
     assert one(spark, tx.to_unsigned_or_zero(F.lit("12x"))) == 0 and one(spark, tx.delimited_has(F.lit("1,77,11"), "77")) and not one(spark, tx.delimited_has(F.lit("177"), "77"))
     assert one(spark, tx.profile(F.lit('{"name":"n","about":null}'))["shown"]) == "n" and one(spark, tx.profile(F.lit("x"))["shown"]) == "Anonymous"
+    assert one(spark, tx.profile(F.lit('{"display_name":"","name":"n"}'))["shown"]) == "" and one(spark, tx.profile(F.lit('{"name":5,"about":"x"}'))["shown"]) == "Anonymous"
 
 
 def test_relay_states_and_upserts(spark):
