@@ -3,16 +3,20 @@
 from __future__ import annotations
 
 import json
+from collections.abc import Iterable, Iterator
 
-from pyspark.sql import DataFrame, SparkSession, Window
+import pyarrow as pa
+from pyspark import TaskContext
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from eventide.operators.catalog import canonical_json, digest, moved
 from eventide.operators.validate import one_per_id
 from eventide.schema import VERSION, VERSION_KEY
 
-#: Stable cost of a row's fixed fields, in bytes.
-FIXED_BYTES = 32 + 32 + 8 + 2 + 64
+# Stable cost of a row's fixed fields, and of each list, tag and text, in bytes.
+FIXED_BYTES, EACH_BYTES = 32 + 32 + 8 + 2 + 64, 8
 
 
 class Store:
@@ -63,21 +67,64 @@ class Store:
         self.fs.delete(self._path(name), True)
 
 
-def row_bytes() -> "F.Column":
+def row_bytes() -> Column:
     """A stable estimate of a row's size before compression."""
-    tags = F.aggregate("tags", F.lit(0), lambda n, t: n + 8 + F.aggregate(t, F.lit(0), lambda m, x: m + 4 + F.octet_length(x)))
-    return F.lit(FIXED_BYTES) + F.octet_length("content") + tags
+    tags = F.aggregate("tags", F.lit(0), lambda n, t: n + EACH_BYTES + F.aggregate(t, F.lit(0), lambda m, x: m + EACH_BYTES + F.octet_length(x)))
+    return (F.lit(FIXED_BYTES + 2 * EACH_BYTES) + F.octet_length("content") + tags).cast("bigint")
 
 
-def sized_parts(rows: DataFrame, most_bytes: int, group: str | None = None) -> DataFrame:
-    """rows with part: cut in order of (created_at, id) where the running size passes a multiple of most_bytes, within each group."""
-    keys = [group] if group else [F.lit(0)]
-    upto = F.sum(row_bytes()).over(Window.partitionBy(*keys).orderBy("created_at", "id").rowsBetween(Window.unboundedPreceding, -1))
-    return rows.withColumn("part", F.floor(F.coalesce(upto, F.lit(0)) / most_bytes).cast("int"))
+def cuts(sizes: Iterable[int], most: int) -> Iterator[int]:
+    """The part of each row: a part goes on while its rows' sizes stay within the limit; a row over it is a part of its own."""
+    part, held, empty = 0, 0, True
+    for n in sizes:
+        if not empty and held + n > most:
+            part, held = part + 1, 0
+        held, empty = held + n, False
+        yield part
 
 
-def write_lake(rows: DataFrame, path: str, files: int | None = None, most_rows: int = 0) -> dict:
-    """Canonical files: one row for each id (the smallest signature), ranges of (created_at, id), sorted in each; with a manifest beside them. An empty input is refused."""
+def sized_parts(rows: DataFrame, most_bytes: int, ranges: int | None = None) -> DataFrame:
+    """rows with part: dealt by ranges of (created_at, id), and cut in that order within each so that parts keep to the size.
+
+    A range takes what a work unit would: it is cut from its first row on, one
+    row after the other as they stream through its task, so none is held.
+    Parts are numbered through, range by range.
+    """
+    if most_bytes < 1:
+        raise ValueError("most_bytes must be 1 or more")
+    n = ranges or int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    size = next(c for c in (f"{'_' * i}size" for i in range(1, len(rows.columns) + 2)) if c not in rows.columns)
+    ordered = rows.withColumn(size, row_bytes()).repartitionByRange(n, "created_at", "id").sortWithinPartitions("created_at", "id")
+
+    def cut(batches):
+        first = TaskContext.get().partitionId() << 32
+        held: list = []
+
+        def sizes():
+            for batch in batches:
+                if batch.num_rows:
+                    held.append(batch)
+                    yield from batch.column(size).to_pylist()
+
+        parts, made = cuts(sizes(), most_bytes), []
+        for part in parts:
+            made.append(first + part)
+            if len(made) == held[0].num_rows:
+                batch = held.pop()
+                kept = [i for i, name in enumerate(batch.schema.names) if name != size]
+                yield pa.RecordBatch.from_arrays([*[batch.column(i) for i in kept], pa.array(made, pa.int64())], names=[*[batch.schema.names[i] for i in kept], "part"])
+                made = []
+
+    schema = T.StructType([*[T.StructField(f.name, f.dataType) for f in rows.schema], T.StructField("part", T.LongType())])
+    return ordered.mapInArrow(cut, schema)
+
+
+def write_lake(rows: DataFrame, path: str, files: int | None = None, most_rows: int = 0, most_bytes: int | None = None) -> dict:
+    """Canonical files: one row for each id (the smallest signature), ranges of (created_at, id), sorted in each; with a manifest beside them.
+
+    With ``most_bytes``, each range is cut into files of that size (before
+    compression), a folder for each part. An empty input is refused.
+    """
     spark = rows.sparkSession
     if rows.isEmpty():
         raise ValueError("nothing to write")
@@ -85,8 +132,12 @@ def write_lake(rows: DataFrame, path: str, files: int | None = None, most_rows:
     if store.exists("_manifest.json"):
         raise FileExistsError(f"{path} is published")
     n = files or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ordered = one_per_id(rows).repartitionByRange(n, "created_at", "id").sortWithinPartitions("created_at", "id")
+    if most_bytes:
+        ordered = sized_parts(one_per_id(rows), most_bytes, n).sortWithinPartitions("part", "created_at", "id")
+    else:
+        ordered = one_per_id(rows).repartitionByRange(n, "created_at", "id").sortWithinPartitions("created_at", "id")
     writer = ordered.write.mode("overwrite").option("compression", "zstd").option("maxRecordsPerFile", most_rows)
+    writer = writer.partitionBy("part") if most_bytes else writer
     writer.option("parquet.bloom.filter.enabled#id", "true").parquet(f"{path}/data")
     back = spark.read.parquet(f"{path}/data")
     facts = back.agg(F.count("*").alias("rows"), F.min("created_at").cast("string").alias("min_created_at"), F.max("created_at").cast("string").alias("max_created_at"), F.bit_xor(F.xxhash64("id")).alias("ids")).first().asDict()

@@ -81,6 +81,12 @@ def by_period(events: DataFrame, grain: str, limit: int) -> DataFrame:
     return out.orderBy(F.desc("p")).limit(limit).select(tm.shown(F.col("p")).alias("period"), "count", "unique_pubkeys")
 
 
+def kind_activity(events: DataFrame, grain: str) -> DataFrame:
+    """Of all kinds: kind, p (start of the period), count, unique_pubkeys; files are sorted by kind, so a reader of one kind skips the rest."""
+    out = events.groupBy("kind", tm.bucket("created_at", grain).alias("p")).agg(F.count("*").alias("count"), F.count_distinct("pubkey").alias("unique_pubkeys"))
+    return out.sortWithinPartitions("kind", "p")
+
+
 def within(events: DataFrame, as_of: int | None = None, days: int | None = None, since: int | None = None, until: int | None = None, kind: int | None = None) -> DataFrame:
     """Half-open window: since counts, until doesn't, days replaces both; as_of, where given, cuts off the future."""
     at, conditions = F.col("created_at"), []

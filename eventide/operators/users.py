@@ -31,6 +31,13 @@ def active_users(stats: DataFrame, grain: str, first: str | None = None, last: s
     ).select(tm.shown(F.col("p")).alias("period"), "active_users", "has_profile", "has_follows", "has_both", "total_events")
 
 
+def periods(stats: DataFrame, grain: str) -> DataFrame:
+    """Events and distinct users of each period, from (day, user) rows: period, count, unique_pubkeys."""
+    per_user = stats.groupBy(tm.of_date(F.col("date"), grain).alias("p"), "pubkey").agg(F.sum("event_count").alias("n"))
+    out = per_user.groupBy("p").agg(F.sum("n").cast("bigint").alias("count"), F.count("*").alias("unique_pubkeys"))
+    return out.select(tm.shown(F.col("p")).alias("period"), "count", "unique_pubkeys")
+
+
 def latest_active_users(stats: DataFrame, last: str) -> DataFrame:
     """The latest day, week and month, a row each."""
     rows = None

@@ -9,6 +9,7 @@ from eventide.functions import tags as tg
 from eventide.functions import time as tm
 from eventide.operators import engagement as en
 from eventide.operators import rollups as ro
+from eventide.operators import serving as sv
 from eventide.operators import users as us
 from eventide.operators import zaps as za
 from eventide.plans.mapping import AS_OF, AS_OF_DAY, EV, SO, events, social, table
@@ -37,6 +38,26 @@ def _stats(spark, sf):
     return us.daily_user_stats(events(spark, sf), HOT)
 
 
+def _served(name, build, files=None):
+    """The product of that name over the events, from its serving table."""
+
+    def read(spark, sf):
+        return sv.product(spark, name, [f"{sf}/events.parquet"], lambda: build(spark, sf), files)
+
+    return read
+
+
+served_stats = _served("daily_user_stats", _stats)
+served_seen = _served("first_seen", lambda spark, sf: us.first_seen(events(spark, sf), HOT))
+served_kinds = _served("kinds_stats", lambda spark, sf: ro.kinds(events(spark, sf)), 1)
+served_kind_days = {g: _served(f"kind_activity_{g}", lambda spark, sf, g=g: ro.kind_activity(events(spark, sf), g)) for g in ("day", "week", "month")}
+# Made from the tables above, so the events are read once for each of those.
+served_periods = {g: _served(f"periods_{g}", lambda spark, sf, g=g: us.periods(served_stats(spark, sf), g), 1) for g in ("day", "week", "month")}
+served_active = {g: _served(f"active_users_{g}", lambda spark, sf, g=g: us.active_users(served_stats(spark, sf), g, last=AS_OF_DAY), 1) for g in ("day", "week", "month")}
+served_new = {g: _served(f"new_users_{g}", lambda spark, sf, g=g: us.new_users(served_seen(spark, sf), AS_OF, g), 1) for g in ("day", "week", "month")}
+served_cohorts = {g: _served(f"cohorts_{g}", lambda spark, sf, g=g: us.cohorts(served_stats(spark, sf), served_seen(spark, sf), g), 1) for g in ("day", "week", "month")}
+
+
 STATS = f"""WITH {EV}, flags AS (SELECT pubkey, bool_or(kind = 0) AS has_profile, bool_or(kind = 3) AS has_follows FROM ev GROUP BY 1),
 stats AS (SELECT day AS date, pubkey, count(*) AS event_count FROM ev WHERE kind NOT IN (44, 45) GROUP BY 1, 2)"""
 SEEN = f"WITH {EV}, seen AS (SELECT pubkey, min(created_at) AS first_seen FROM ev WHERE kind NOT IN (44, 45) GROUP BY 1)"
@@ -85,7 +106,7 @@ def q02_events_total(spark, sf):
 
 @query(SEEN + " SELECT count(*) AS total_pubkeys FROM seen")
 def q03_pubkeys_total(spark, sf):
-    return us.first_seen(events(spark, sf), HOT).agg(F.count("*").alias("total_pubkeys"))
+    return served_seen(spark, sf).agg(F.count("*").alias("total_pubkeys"))
 
 
 @query(f"WITH {EV} SELECT count(DISTINCT kind) AS total_kinds FROM ev WHERE created_at >= {MONTH_AGO}")
@@ -116,30 +137,28 @@ def _add_periods():
         query(f"WITH {EV} SELECT strftime({start}, '%Y-%m-%d') AS period, count(*) AS count, count(DISTINCT pubkey) AS unique_pubkeys FROM ev WHERE kind = 7 AND created_at <= {AS} AND created_at >= {AS_OF - 20 * DAY} GROUP BY 1 ORDER BY 1 DESC LIMIT {most}")(raw)
 
         def summed(spark, sf, grain=grain, most=most):
-            per_user = _stats(spark, sf).groupBy(tm.of_date(F.col("date"), grain).alias("p"), "pubkey").agg(F.sum("event_count").alias("n"))
-            out = per_user.groupBy("p").agg(F.sum("n").cast("bigint").alias("count"), F.count("*").alias("unique_pubkeys"))
-            return out.orderBy(F.desc("p")).limit(most).select(tm.shown(F.col("p")).alias("period"), "count", "unique_pubkeys")
+            return served_periods[grain](spark, sf).orderBy(F.desc("period")).limit(most)
 
         summed.__name__ = f"q07_events_by_{grain}_from_daily_stats"
         on_date = start.replace("day)", "date)") if grain != "day" else "date"
         query(STATS + f" SELECT strftime({on_date}, '%Y-%m-%d') AS period, CAST(sum(event_count) AS BIGINT) AS count, count(DISTINCT pubkey) AS unique_pubkeys FROM stats GROUP BY 1 ORDER BY 1 DESC LIMIT {most}")(summed)
 
         def active(spark, sf, grain=grain):
-            return us.active_users(_stats(spark, sf), grain, last=AS_OF_DAY)
+            return served_active[grain](spark, sf)
 
         active.__name__ = {"day": "q10_active_daily", "week": "q11_active_weekly", "month": "q12_active_monthly"}[grain]
         query(STATS + f""" SELECT strftime({on_date}, '%Y-%m-%d') AS period, count(DISTINCT pubkey) AS active_users, count(DISTINCT pubkey) FILTER (has_profile) AS has_profile, count(DISTINCT pubkey) FILTER (has_follows) AS has_follows,
 count(DISTINCT pubkey) FILTER (has_profile AND has_follows) AS has_both, CAST(sum(event_count) AS BIGINT) AS total_events FROM stats JOIN flags USING (pubkey) WHERE date <= DATE '{AS_OF_DAY}' GROUP BY 1""")(active)
 
         def new(spark, sf, grain=grain):
-            return us.new_users(us.first_seen(events(spark, sf), HOT), AS_OF, grain)
+            return served_new[grain](spark, sf)
 
         new.__name__ = f"q13_new_users_by_{grain}"
         on_seen = start.replace("day", "day", 1) if grain == "day" else start.replace("day)", "d)")
         query(SEEN + f", x AS (SELECT CAST(to_timestamp(first_seen) AT TIME ZONE 'UTC' AS DATE) AS d FROM seen WHERE first_seen BETWEEN {GENESIS} AND {AS}) SELECT strftime({'d' if grain == 'day' else on_seen}, '%Y-%m-%d') AS period, count(*) AS new_users FROM x GROUP BY 1")(new)
 
         def zapped(spark, sf, grain=grain, most=most):
-            return za.by_period(amounts.zaps(social(spark, sf, since=MONTH_AGO)), AS_OF, grain, 30, most)
+            return za.by_period(amounts.zaps(social(spark, sf, since=MONTH_AGO, types=("purchase",))), AS_OF, grain, 30, most)
 
         zapped.__name__ = f"q16_zaps_by_{grain}"
         query(ZAPS + f" SELECT strftime({start}, '%Y-%m-%d') AS period, count(*) AS zap_count, CAST(sum(amount_msats) // 1000 AS BIGINT) AS total_sats, count(DISTINCT zapper_pubkey) AS unique_zappers, avg(amount_msats) / 1000 AS avg_sats FROM z WHERE amount_msats > 0 AND created_at >= {MONTH_AGO} GROUP BY 1 ORDER BY 1 DESC LIMIT {most}")(zapped)
@@ -171,7 +190,8 @@ count(DISTINCT pubkey) FILTER (has_profile AND has_follows) AS has_both, count(*
     for g, s in (("day", "day"), ("week", "date_trunc('week', day)"), ("month", "date_trunc('month', day)"))
 ))
 def q09_active_latest(spark, sf):
-    return us.latest_active_users(_stats(spark, sf), AS_OF_DAY)
+    rows = [served_active[g](spark, sf).orderBy(F.desc("period")).limit(1).select(F.lit(g).alias("grain"), "*") for g in ("day", "week", "month")]
+    return rows[0].unionByName(rows[1]).unionByName(rows[2])
 
 
 RETENTION = SEEN + """, s AS (SELECT pubkey, CAST(to_timestamp(first_seen) AT TIME ZONE 'UTC' AS DATE) AS since FROM seen),
@@ -179,20 +199,30 @@ c AS (SELECT strftime(date_trunc('{0}', since), '%Y-%m-%d') AS cohort, strftime(
 FROM ev JOIN s USING (pubkey) WHERE kind NOT IN (44, 45) AND since <= day GROUP BY 1, 2)"""
 
 
-@query(RETENTION.format("week") + " SELECT * FROM c")
-def m14_cohorts_weekly(spark, sf):
-    return us.cohorts(_stats(spark, sf), us.first_seen(events(spark, sf), HOT), "week")
+def _add_retention():
+    for grain, most in (("day", 30), ("week", 12), ("month", 12)):
+        name = {"day": "daily", "week": "weekly", "month": "monthly"}[grain]
+
+        def cohorts(spark, sf, grain=grain):
+            return us.cohorts(_stats(spark, sf), us.first_seen(events(spark, sf), HOT), grain)
+
+        cohorts.__name__ = f"m14_cohorts_{name}"
+        query(RETENTION.format(grain) + " SELECT * FROM c")(cohorts)
+
+        def retention(spark, sf, grain=grain, most=most):
+            """One row for each period, so that both engines' rows compare; retention() itself gives arrays."""
+            table_ = served_cohorts[grain](spark, sf)
+            rows = us.retention(table_, limit=most)
+            ordered = table_.groupBy("cohort").agg(F.array_sort(F.collect_list("activity_period")).alias("periods"))
+            zipped = rows.join(ordered, "cohort").select("cohort", "cohort_size", F.explode(F.arrays_zip("periods", "retention", "retention_pct")).alias("x"))
+            return zipped.select("cohort", "cohort_size", F.col("x.periods").alias("activity_period"), F.col("x.retention").alias("active_count"), F.col("x.retention_pct").alias("pct"))
+
+        retention.__name__ = f"q14_retention_{name}"
+        query(RETENTION.format(grain) + f""", o AS (SELECT cohort, coalesce(max(active_count) FILTER (activity_period = cohort), 0) AS cohort_size FROM c GROUP BY 1 ORDER BY 1 LIMIT {most})
+SELECT cohort, cohort_size, activity_period, active_count, CASE WHEN cohort_size > 0 THEN active_count * 100.0::DOUBLE / cohort_size ELSE 0.0 END AS pct FROM c JOIN o USING (cohort)""")(retention)
 
 
-@query(RETENTION.format("week") + """, o AS (SELECT cohort, coalesce(max(active_count) FILTER (activity_period = cohort), 0) AS cohort_size FROM c GROUP BY 1 ORDER BY 1 LIMIT 12)
-SELECT cohort, cohort_size, activity_period, active_count, CASE WHEN cohort_size > 0 THEN active_count * 100.0::DOUBLE / cohort_size ELSE 0.0 END AS pct FROM c JOIN o USING (cohort)""")
-def q14_retention_weekly(spark, sf):
-    """One row for each period, so that both engines' rows compare; retention() itself gives arrays."""
-    table_ = us.cohorts(_stats(spark, sf), us.first_seen(events(spark, sf), HOT), "week")
-    rows = us.retention(table_, limit=12)
-    ordered = table_.groupBy("cohort").agg(F.array_sort(F.collect_list("activity_period")).alias("periods"))
-    zipped = rows.join(ordered, "cohort").select("cohort", "cohort_size", F.explode(F.arrays_zip("periods", "retention", "retention_pct")).alias("x"))
-    return zipped.select("cohort", "cohort_size", F.col("x.periods").alias("activity_period"), F.col("x.retention").alias("active_count"), F.col("x.retention_pct").alias("pct"))
+_add_retention()
 
 
 @query("""WITH s AS (SELECT o_custkey, CAST(min(o_orderdate) AS DATE) AS since FROM orders GROUP BY 1)
@@ -214,12 +244,12 @@ def q15_hourly(spark, sf):
 
 @query(ZAPS + f" SELECT count(*) AS total_zaps, CAST(sum(amount_msats) // 1000 AS BIGINT) AS total_sats, count(DISTINCT zapper_pubkey) AS unique_zappers, count(DISTINCT recipient_pubkey) AS unique_recipients, avg(amount_msats) / 1000 AS avg_sats, median(amount_msats) / 1000 AS median_sats FROM z WHERE amount_msats > 0 AND created_at >= {MONTH_AGO}")
 def q16_zaps_totals(spark, sf):
-    return za.totals(amounts.zaps(social(spark, sf, since=MONTH_AGO)), AS_OF)
+    return za.totals(amounts.zaps(social(spark, sf, since=MONTH_AGO, types=("purchase",))), AS_OF)
 
 
 @query(ZAPS + " SELECT event_id, zapper_pubkey, created_at, amount_msats, recipient_pubkey, '' AS sender_pubkey FROM z")
 def m15_zap_amounts(spark, sf):
-    return amounts.zaps(social(spark, sf))
+    return amounts.zaps(social(spark, sf, types=("purchase",)))
 
 
 _HISTOGRAM = "CASE " + " ".join(f"WHEN amount_msats <= {b}000 THEN {i}" for i, b in enumerate(za.BOUNDS)) + f" ELSE {len(za.BOUNDS)} END"
@@ -229,7 +259,7 @@ _HISTOGRAM = "CASE " + " ".join(f"WHEN amount_msats <= {b}000 THEN {i}" for i, b
 SELECT {za.NAMES}[i + 1] AS bucket, CAST({[1] + [x + 1 for x in za.BOUNDS]}[i + 1] AS BIGINT) AS min_sats, CAST({[*za.BOUNDS, za.OPEN_END]}[i + 1] AS BIGINT) AS max_sats, c AS count, CAST(m // 1000 AS BIGINT) AS total_sats,
 round(c * 100.0::DOUBLE / sum(c) OVER (), 2) AS pct_count, round(m * 100.0::DOUBLE / sum(m) OVER (), 2) AS pct_sats FROM b""")
 def q17_zap_histogram(spark, sf):
-    return za.histogram(amounts.zaps(social(spark, sf, since=MONTH_AGO)), AS_OF)
+    return za.histogram(amounts.zaps(social(spark, sf, since=MONTH_AGO, types=("purchase",))), AS_OF)
 
 
 @query(f"""WITH {SO}, c AS (SELECT count(*) FILTER (kind = 1) AS n, count(*) FILTER (kind = 1 AND e IS NOT NULL) AS r, count(*) FILTER (kind = 7) AS x FROM so WHERE created_at >= {MONTH_AGO})
@@ -251,7 +281,17 @@ def q20_publishers(spark, sf):
 
 @query(f"WITH {EV} SELECT kind, count(*) AS event_count, count(DISTINCT pubkey) AS unique_pubkeys, min(created_at) AS first_seen, max(created_at) AS last_seen FROM ev GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT 50")
 def q22_kinds(spark, sf):
-    return ro.kinds(events(spark, sf)).orderBy(F.desc("event_count"), "kind").limit(50)
+    return served_kinds(spark, sf).orderBy(F.desc("event_count"), "kind").limit(50)
+
+
+@query(f"WITH {EV} SELECT kind, count(*) AS event_count, count(DISTINCT pubkey) AS unique_pubkeys, min(created_at) AS first_seen, max(created_at) AS last_seen FROM ev GROUP BY 1 ORDER BY 1 LIMIT 50")
+def q22_kinds_by_kind(spark, sf):
+    return served_kinds(spark, sf).orderBy("kind").limit(50)
+
+
+@query(f"WITH {EV} SELECT count(*) AS events_7d, count(*) / 168.0::DOUBLE AS events_per_hour FROM ev WHERE created_at >= {WEEK_AGO} AND kind = 7")
+def q08_throughput_of_kind(spark, sf):
+    return ro.throughput(events(spark, sf, since=WEEK_AGO), AS_OF, kind=7)
 
 
 @query(f"WITH {EV} SELECT kind, count(*) AS event_count, count(DISTINCT pubkey) AS unique_pubkeys, min(created_at) AS first_seen, max(created_at) AS last_seen FROM ev GROUP BY 1")
@@ -267,7 +307,22 @@ def q23_kind_detail(spark, sf):
 
 @query(f"WITH {EV} SELECT strftime(date_trunc('week', day), '%Y-%m-%d') AS period, count(*) AS count, count(DISTINCT pubkey) AS unique_pubkeys FROM ev WHERE kind = 3 GROUP BY 1 ORDER BY 1 DESC LIMIT 52")
 def q24_kind_activity(spark, sf):
-    return ro.by_period(ro.within(events(spark, sf), kind=3), "week", 52)
+    return _activity(spark, sf, "week", 52)
+
+
+def _activity(spark, sf, grain, most):
+    own = served_kind_days[grain](spark, sf).where("kind = 3").orderBy(F.desc("p")).limit(most)
+    return own.select(tm.shown(F.col("p")).alias("period"), "count", "unique_pubkeys")
+
+
+@query(f"WITH {EV} SELECT strftime(day, '%Y-%m-%d') AS period, count(*) AS count, count(DISTINCT pubkey) AS unique_pubkeys FROM ev WHERE kind = 3 GROUP BY 1 ORDER BY 1 DESC LIMIT 30")
+def q24_kind_activity_by_day(spark, sf):
+    return _activity(spark, sf, "day", 30)
+
+
+@query(f"WITH {EV} SELECT strftime(date_trunc('month', day), '%Y-%m-%d') AS period, count(*) AS count, count(DISTINCT pubkey) AS unique_pubkeys FROM ev WHERE kind = 3 GROUP BY 1 ORDER BY 1 DESC LIMIT 12")
+def q24_kind_activity_by_month(spark, sf):
+    return _activity(spark, sf, "month", 12)
 
 
 # Users.

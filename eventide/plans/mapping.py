@@ -56,7 +56,8 @@ def events(spark: SparkSession, sf_dir: str, since: int | None = None, until: in
     )
 
 
-def social(spark: SparkSession, sf_dir: str, since: int | None = None, until: int | None = None) -> DataFrame:
+def social(spark: SparkSession, sf_dir: str, since: int | None = None, until: int | None = None, types: tuple[str, ...] = ()) -> DataFrame:
+    """``types``: of these event types only, on the raw column."""
     t, i = F.col("event_type"), F.col("event_id")
     kind = F.when(t == "view", 1).when(t == "click", 7).when(t == "purchase", 9735).when(t == "signup", 0).otherwise(6)
     unit = F.get(F.array(*[F.lit(u) for u in ("m", "u", "n", "p", "")]), (i % 5).cast("int"))
@@ -65,4 +66,6 @@ def social(spark: SparkSession, sf_dir: str, since: int | None = None, until: in
         F.when(i % 3 == 0, F.array(F.lit("e"), (i % 211).cast("string"))), F.array(F.lit("t"), t), F.array(F.lit("p"), (F.col("user_id") % 50).cast("string")),
         F.when(t == "purchase", F.array(F.lit("bolt11"), invoice)),
     ))
-    return _raw(spark, sf_dir, since, until).select(i.alias("id"), F.col("user_id").alias("pubkey"), F.expr(_SECONDS).alias("created_at"), kind.alias("kind"), tags.alias("tags"), F.col("props").alias("content"))
+    raw = _raw(spark, sf_dir, since, until)
+    raw = raw.where(t.isin(*types)) if types else raw
+    return raw.select(i.alias("id"), F.col("user_id").alias("pubkey"), F.expr(_SECONDS).alias("created_at"), kind.alias("kind"), tags.alias("tags"), F.col("props").alias("content"))

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from eventide.functions import text as tx
 from eventide.operators import relays as re
+from eventide.operators import serving as sv
 from eventide.plans.mapping import AS_OF, table
 from eventide.schema import DAY, HOUR, WEEK
 
@@ -108,7 +109,7 @@ r AS (SELECT u1 AS u, marker FROM newest UNION ALL SELECT u2, '' FROM newest), n
 SELECT relay_url, count(*) AS user_count, count(*) FILTER (marker IN ('', 'read')) AS read_count, count(*) FILTER (marker IN ('', 'write')) AS write_count FROM n
 WHERE relay_url LIKE 'wss://%' AND length(relay_url) > 6 AND NOT regexp_matches(relay_url, '[ \\n\\r\\t,]') AND relay_url NOT LIKE '%.local%' AND relay_url NOT LIKE '%localhost%' AND relay_url NOT LIKE '%http%' GROUP BY 1 HAVING count(*) >= 2""")
 def m12_relay_distribution(spark, sf):
-    return re.distribution(_lists(spark, sf), 2)
+    return _distribution(spark, sf).where("user_count >= 2")
 
 
 def _lists(spark, sf):
@@ -123,7 +124,12 @@ def _lists(spark, sf):
 r AS (SELECT u1 AS u FROM newest UNION ALL SELECT u2 FROM newest), n AS (SELECT regexp_replace(regexp_replace(lower(trim(u, ' ')), '/+$', ''), ':443$', '') AS relay_url FROM r)
 SELECT relay_url, count(*) AS user_count FROM n WHERE relay_url LIKE 'wss://%' AND relay_url NOT LIKE '%http%' GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT 25""")
 def q21_relay_top(spark, sf):
-    return re.distribution(_lists(spark, sf), 1).orderBy(F.desc("user_count"), "relay_url").limit(25).select("relay_url", "user_count")
+    return _distribution(spark, sf).orderBy(F.desc("user_count"), "relay_url").limit(25).select("relay_url", "user_count")
+
+
+def _distribution(spark, sf):
+    """Of all relays, from the serving table."""
+    return sv.product(spark, "relay_distribution", [f"{sf}/pages.parquet"], lambda: re.distribution(_lists(spark, sf), 1))
 
 
 CATALOG = f"""catalog AS (SELECT concat('wss://relay', CAST(ps AS VARCHAR), '.example') AS relay_id, 'url' AS relay_id_kind, m AS monitor_pubkey, CASE WHEN q % 3 = 0 THEN '1,11' ELSE '1,77,11' END AS supported_nips, CASE WHEN q % 29 = 0 THEN 'auth,payment' ELSE 'auth' END AS requirements,

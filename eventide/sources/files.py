@@ -3,8 +3,12 @@
 from __future__ import annotations
 
 import gzip
+import io
+import re
+import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
+from typing import IO
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -116,49 +120,127 @@ def decode_event(data: bytes) -> dict:
 
 
 def encode_event(e: dict) -> bytes:
-    def number(n: int) -> bytes:
-        n &= (1 << 64) - 1
-        out = b""
-        while n > 127:
-            out, n = out + bytes([n & 127 | 128]), n >> 7
-        return out + bytes([n])
-
-    text = lambda k, b: number(k << 3 | 2) + number(len(b)) + b
+    text = lambda k, b: _number(k << 3 | 2) + _number(len(b)) + b
     out = b"".join(text(k, e[n].encode()) for k, n in ((1, "id"), (2, "pubkey")) if e[n])
-    out += number(3 << 3) + number(e["created_at"]) + number(4 << 3) + number(e["kind"])
+    out += _number(3 << 3) + _number(e["created_at"]) + _number(4 << 3) + _number(e["kind"])
     out += b"".join(text(5, b"".join(text(1, v.encode()) for v in t)) for t in e["tags"])
     return out + b"".join(text(k, e[n].encode()) for k, n in ((6, "content"), (7, "sig")) if e[n])
 
 
-def frames(data: bytes, prefix: str, most: int) -> Iterator[tuple[int, bytes | None, str]]:
-    """(offset, payload, status) of each frame; what is cut off or too large ends the file with a row of its own."""
+class _Cursor:
+    """Reads a packed note; what goes over its end is an error."""
+
+    def __init__(self, data: bytes):
+        self.data, self.at = data, 0
+
+    def number(self) -> int:
+        value, self.at = varint(self.data, self.at)
+        if value >> 64:
+            raise ValueError("a number over 64 bits")
+        return value
+
+    def take(self, size: int) -> bytes:
+        if self.at + size > len(self.data):
+            raise IndexError("a field goes over the end")
+        self.at += size
+        return self.data[self.at - size : self.at]
+
+    def count(self) -> int:
+        n = self.number()
+        if n > len(self.data) - self.at:
+            raise IndexError("more items than bytes")
+        return n
+
+    def element(self) -> str:
+        size = self.number()
+        raw = self.take(size >> 1)
+        return raw.hex() if size & 1 else raw.decode()
+
+
+def decode_note(data: bytes) -> dict:
+    """A packed note, version 1.
+
+    Numbers are varints: the version; id, public key and signature, raw; time
+    and kind; the content behind its size; the number of tags, of each the
+    number of its elements, each behind twice its size, plus one where it is
+    raw bytes that stand for hexadecimal text. Nothing may follow.
+    """
+    c = _Cursor(data)
+    if (version := c.number()) != 1:
+        raise ValueError(f"version {version}")
+    out = {"id": c.take(32).hex(), "pubkey": c.take(32).hex(), "sig": c.take(64).hex(), "created_at": c.number(), "kind": c.number()}
+    if out["kind"] > 0xFFFF:
+        raise ValueError("kind over 65535")
+    if out["created_at"] >> 63:
+        out["created_at"] -= 1 << 64
+    out["content"] = c.take(c.number()).decode()
+    out["tags"] = [[c.element() for _ in range(c.count())] for _ in range(c.count())]
+    if c.at != len(data):
+        raise ValueError("bytes behind the end")
+    return out
+
+
+def _number(n: int) -> bytes:
+    n &= (1 << 64) - 1
+    out = b""
+    while n > 127:
+        out, n = out + bytes([n & 127 | 128]), n >> 7
+    return out + bytes([n])
+
+
+def encode_note(e: dict) -> bytes:
+    """The inverse of decode_note; elements that are lower-case hexadecimal of whole bytes are packed raw."""
+    raw = lambda v: bytes.fromhex(v) if v and len(v) % 2 == 0 and re.fullmatch("[0-9a-f]+", v) else None
+    element = lambda v: _number(len(r) * 2 + 1) + r if (r := raw(v)) is not None else _number(len(v.encode()) * 2) + v.encode()
+    out = _number(1) + bytes.fromhex(e["id"]) + bytes.fromhex(e["pubkey"]) + bytes.fromhex(e["sig"]) + _number(e["created_at"]) + _number(e["kind"])
+    out += _number(len(e["content"].encode())) + e["content"].encode() + _number(len(e["tags"]))
+    return out + b"".join(_number(len(t)) + b"".join(map(element, t)) for t in e["tags"])
+
+
+def frames(stream: IO[bytes], prefix: str, most: int) -> Iterator[tuple[int, bytes | None, str]]:
+    """(offset, payload, status) of each frame, read one at a time; what is cut off or too large ends the file with a row of its own."""
     at = 0
-    while at < len(data):
-        start = at
+    while True:
+        start, head = at, b""
         try:
+            while len(head) < (4 if prefix == "u32" else 10):
+                b = stream.read(1)
+                head += b
+                if not b or prefix == "varint" and b[0] < 128:
+                    break
+            if not head:
+                return
             if prefix == "varint":
-                size, at = varint(data, at)
+                size, _ = varint(head, 0)
+            elif len(head) < 4:
+                raise IndexError
             else:
-                if at + 4 > len(data):
-                    raise IndexError
-                size, at = int.from_bytes(data[at : at + 4], "little"), at + 4
-        except (IndexError, ValueError):
-            yield start, data[start:], "truncated"
+                size = int.from_bytes(head, "little")
+        except (IndexError, ValueError, EOFError, zlib.error):
+            yield start, head, "truncated"
             return
         if size > most:
             yield start, None, "oversize"
             return
-        if at + size > len(data):
-            yield start, data[start:], "truncated"
+        try:
+            payload = stream.read(size)
+        except (EOFError, zlib.error):
+            payload = b""
+        if len(payload) < size:
+            yield start, head + payload, "truncated"
             return
-        yield start, data[at : at + size], "ok"
-        at += size
+        yield start, payload, "ok"
+        at += len(head) + size
 
 
 _FRAME = T.StructType([T.StructField("path", T.StringType()), T.StructField("offset", T.LongType()), *[f for f in _JSON if f.name != "_bad"], T.StructField("payload", T.BinaryType()), T.StructField("frame", T.StringType())])
 
 
-def _framed(prefix: str, most: int):
+#: Ways to read a message.
+MESSAGES = {"protobuf": decode_event, "note": decode_note}
+
+
+def _framed(prefix: str, most: int, message: str):
     texts = pa.list_(pa.list_(pa.string()))
     kinds = {"offset": pa.int64(), "created_at": pa.int64(), "kind": pa.int32(), "tags": texts, "payload": pa.binary()}
     schema = pa.schema([(n, kinds.get(n, pa.string())) for n in _FRAME.names])
@@ -166,13 +248,15 @@ def _framed(prefix: str, most: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for files in batches:
             for path, content in zip(files.column(0).to_pylist(), files.column(1).to_pylist(), strict=True):
-                data = gzip.decompress(content) if content[:2] == b"\x1f\x8b" else content
+                # Packed content is unpacked as it is read, never whole.
+                stream = io.BytesIO(content)
+                stream = io.BufferedReader(gzip.GzipFile(fileobj=stream)) if content[:2] == b"\x1f\x8b" else stream
                 rows = []
-                for offset, payload, status in frames(data, prefix, most):
+                for offset, payload, status in frames(stream, prefix, most):
                     row = {"path": path, "offset": offset, "frame": status}
                     if status == "ok":
                         try:
-                            row |= decode_event(payload)
+                            row |= MESSAGES[message](payload)
                         except (ValueError, IndexError, UnicodeDecodeError):
                             row["frame"] = "invalid_message"
                     if row["frame"] != "ok":
@@ -187,20 +271,20 @@ def _framed(prefix: str, most: int):
     return run
 
 
-def _messages(spark: SparkSession, paths: list[str], prefix: str, most: int, signatures: bool) -> Source:
-    rows = spark.read.format("binaryFile").load(paths).select("path", "content").mapInArrow(_framed(prefix, most), _FRAME)
+def _messages(spark: SparkSession, paths: list[str], prefix: str, most: int, signatures: bool, message: str) -> Source:
+    rows = spark.read.format("binaryFile").load(paths).select("path", "content").mapInArrow(_framed(prefix, most, message), _FRAME)
     checked = validate.check(rows, signatures)
     return Source(checked.withColumn("status", F.when(F.col("frame") != "ok", F.col("frame")).otherwise(F.col("status"))).drop("frame"))
 
 
 def protobuf(spark: SparkSession, folder: str, limit: int | None = None, most: int = 16 << 20, signatures: bool = False) -> Source:
     """Length-delimited protobuf events, gzipped or plain."""
-    return _messages(spark, list_files(spark, folder, (".pb", ".gz"), limit), "varint", most, signatures)
+    return _messages(spark, list_files(spark, folder, (".pb", ".gz"), limit), "varint", most, signatures, "protobuf")
 
 
-def segments(spark: SparkSession, folder: str, limit: int | None = None, most: int = 16 << 20, signatures: bool = False, salvage: bool = False) -> Source:
-    """Framed segments (a 32-bit size before each message). Without salvage a segment that is cut off is refused; with it the whole frames before the cut count."""
-    out = _messages(spark, list_files(spark, folder, (".seg", ".gz", ".notepack"), limit), "u32", most, signatures)
+def segments(spark: SparkSession, folder: str, limit: int | None = None, most: int = 16 << 20, signatures: bool = False, salvage: bool = False, message: str = "note") -> Source:
+    """Framed segments (a 32-bit size before each message), gzipped or plain, of packed notes or protobuf messages. Without salvage a segment that is cut off is refused; with it the whole frames before the cut count."""
+    out = _messages(spark, list_files(spark, folder, (".seg", ".gz", ".notepack"), limit), "u32", most, signatures, message)
     if not salvage:
         broken = [r["path"] for r in out.rows.where("status IN ('truncated', 'oversize')").select("path").distinct().limit(5).collect()]
         if broken:
@@ -208,13 +292,17 @@ def segments(spark: SparkSession, folder: str, limit: int | None = None, most: i
     return out
 
 
+def _lake(spark: SparkSession, paths: tuple[str, ...]) -> DataFrame:
+    return spark.read.schema(EVENT).option("mergeSchema", "false").parquet(*paths)
+
+
 def lake(spark: SparkSession, *paths: str) -> DataFrame:
     """Rows of canonical Parquet files; nothing is inferred or merged, created_at may be stored unsigned."""
-    return spark.read.schema(EVENT).option("mergeSchema", "false").parquet(*paths)
+    return _lake(spark, paths).select(*EVENT.names)
 
 
 def lake_with_files(spark: SparkSession, *paths: str) -> DataFrame:
-    return lake(spark, *paths).select("*", F.col("_metadata.file_path").alias("file"))
+    return _lake(spark, paths).select(*EVENT.names, F.col("_metadata.file_path").alias("file"))
 
 
 def lake_rows(events: DataFrame) -> DataFrame:
