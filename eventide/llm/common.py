@@ -108,6 +108,28 @@ def spare(df: DataFrame, *names: str) -> list[str]:
     return out
 
 
+#: Keys that are salted, and parts that each of them is dealt into. All others have less than a HOT-th of all rows.
+HOT, SALTS = 1000, 64
+
+
+def salted_join(rows: DataFrame, by: DataFrame, key: str, how: str, spread: list[str], counts: DataFrame | None = None) -> DataFrame:
+    """rows joined with ``by``, which has a row for each key, where some keys have very many rows.
+
+    ``counts`` (or ``by``, whose ``n`` is dropped) has key and ``n``, the key's
+    number of rows. The HOT most frequent keys are known to all tasks; their
+    rows are dealt into parts by the ``spread`` columns, and their row of
+    ``by`` is given to each part.
+    """
+    counted = by if counts is None else counts
+    flag, salt = spare(rows, "hot", "salt")
+    # HOT rows, whatever the table.
+    hot = counted.orderBy(F.desc("n"), key).limit(HOT).select(key, F.lit(True).alias(flag))
+    part = F.when(F.col(flag), F.pmod(F.xxhash64(*spread), F.lit(SALTS)).cast("int")).otherwise(0)
+    parts = F.when(F.col(flag), F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0)))
+    dealt = lambda df, made: df.join(F.broadcast(hot), key, "left").withColumn(salt, made).drop(flag)
+    return dealt(rows, part).join(dealt(by.drop("n") if counts is None else by, F.explode(parts)), [key, salt], how).drop(salt)
+
+
 def let(value: Column, body) -> Column:
     """body(value) with value evaluated once; a plain reference inside a lambda is evaluated for each element."""
     return F.get(F.transform(F.array(value), body), F.lit(0))

@@ -10,8 +10,8 @@ side: each is joined with the first place of the same lines behind the same
 fingerprint. Overlapping matches are maximal runs, and every run is deleted
 where it occurs later.
 
-The ``HOT`` most frequent fingerprints, and windows, are known to all tasks,
-and their rows are salted: no line, however common, meets in one task.
+The most frequent fingerprints, and windows, are known to all tasks, and
+their rows are salted: no line, however common, meets in one task.
 
 Order: doc_id (null first), then the row's text hash, then the line number.
 
@@ -33,13 +33,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from eventide.llm.common import let, load, row_key, spare, text_or_empty
+from eventide.llm.common import let, load, row_key, salted_join, spare, text_or_empty
 
 #: Lines a repeated run has at least.
 WINDOW = 3
+#: Columns that tell windows apart.
+PLACE = ["doc_id", "_rid", "i"]
 WORD = r"[^\x20\x09-\x0D]+"
-#: Keys that are salted, and parts that each of them is dealt into. All others have less than a HOT-th of all rows.
-HOT, SALTS = 1000, 64
 
 
 def _windows(docs: DataFrame, window: int, words: int | None = None) -> DataFrame:
@@ -63,26 +63,16 @@ def _windows(docs: DataFrame, window: int, words: int | None = None) -> DataFram
     return lines.select("doc_id", "_rid", F.explode(found).alias("w")).select("doc_id", "_rid", "w.*")
 
 
-def _joined(rows: DataFrame, by: DataFrame, key: str, how: str) -> DataFrame:
-    """rows joined with ``by``, a row for each key and its number ``n`` of rows; the most frequent keys are dealt into parts."""
-    # HOT rows, whatever the table.
-    hot = by.orderBy(F.desc("n"), key).limit(HOT).select(key, F.lit(True).alias("hot"))
-    salt = F.when(F.col("hot"), F.pmod(F.xxhash64("doc_id", "_rid", "i"), F.lit(SALTS)).cast("int")).otherwise(0)
-    parts = F.when(F.col("hot"), F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0)))
-    salted = lambda df, made: df.join(F.broadcast(hot), key, "left").withColumn("salt", made).drop("hot")
-    return salted(rows, salt).join(salted(by.drop("n"), F.explode(parts)), [key, "salt"], how).drop("salt")
-
-
 def later_windows(docs: DataFrame, window: int = WINDOW, words: int | None = None) -> DataFrame:
     """doc_id, _rid and i of every window whose lines also start at an earlier place."""
     windows = _windows(docs.select("doc_id", "text"), window, words)
     place = F.xxhash64("doc_id", "_rid", "p")
     # Fingerprints are counted before the shuffle; a hot one leaves each task as a single row.
     repeated = windows.groupBy("fp").agg(F.min(place).alias("a"), F.max(place).alias("b"), F.count("*").alias("n")).where("a <> b").select("fp", "n")
-    matched = _joined(windows, repeated, "fp", "left_semi")
+    matched = salted_join(windows, repeated, "fp", "left_semi", PLACE)
     here = F.struct("doc_id", "_rid", "i")
     first = matched.groupBy("key").agg(F.min(here).alias("first"), F.max(here).alias("last"), F.count("*").alias("n")).where("first < last").select("key", "first", "n")
-    return _joined(matched, first, "key", "inner").where(here > F.col("first")).select("doc_id", "_rid", "i")
+    return salted_join(matched, first, "key", "inner", PLACE).where(here > F.col("first")).select("doc_id", "_rid", "i")
 
 
 def _kept(lines: Column, gone: Column) -> Column:

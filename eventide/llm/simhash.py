@@ -37,7 +37,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from eventide.llm.common import load, remove_path, row_key, shared_path, spare
+from eventide.llm.common import load, remove_path, row_key, salted_join, shared_path, spare
 
 SHINGLE, SEED, RADIUS = 3, 42, 2
 #: Fingerprints in a shard from which it is dealt anew.
@@ -193,13 +193,14 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     rows = docs.select(F.col("doc_id").cast("long").alias("key"), row_key().alias("rid"), F.col("text").cast("string").alias("text"))
     rows.mapInArrow(_fingerprints, "key long, rid long, print long").write.parquet(path)
     prints = spark.read.schema("key long, rid long, print long").parquet(path)
-    distinct = prints.groupBy("print").agg(F.min("key").alias("low"))
+    distinct = prints.groupBy("print").agg(F.min("key").alias("low"), F.count("*").alias("n"))
     labels = components(links(distinct.select("print")))
     # Labels by fingerprint, then the lowest doc_id of each label, then back.
-    named = distinct.join(labels, F.col("print") == F.col("node"), "left").select("print", "low", F.coalesce("component", "print").alias("component"))
+    named = distinct.join(labels, F.col("print") == F.col("node"), "left").select("print", "low", "n", F.coalesce("component", "print").alias("component"))
     lowest = named.groupBy("component").agg(F.min("low").alias("component_id"))
-    by_print = named.join(lowest, "component").select("print", "component", "component_id")
-    return prints.join(by_print, "print").select(
+    by_print = named.join(lowest, "component").select("print", "component", "component_id", "n")
+    # A print may be that of very many copies.
+    return salted_join(prints, by_print, "print", "inner", ["key", "rid"]).select(
         F.col("key").alias("doc_id"), F.col("rid").alias("_rid"), F.lpad(F.lower(F.hex("print")), 16, "0").alias("fingerprint"), "component_id", F.col("component").alias("_component")
     )
 
