@@ -4,8 +4,10 @@ import pytest
 from pyspark.sql import functions as F
 
 from eventide.functions import time as tm
+from eventide.operators import checkpoint as ck
 from eventide.operators import lifecycle as li
 from eventide.operators import rollups as ro
+from eventide.operators import serving as sv
 from eventide.operators import users as us
 from eventide.schema import DAY, GENESIS, WEEK
 
@@ -118,3 +120,43 @@ def test_filters_reach_the_scan(spark, tmp_path):
     spark.createDataFrame([], EVENT).write.parquet(str(tmp_path / "l"))
     plan = warehouse(lake(spark, str(tmp_path / "l"))).select("kind").where("kind = 1")._jdf.queryExecution().executedPlan().toString()
     assert "LessThanOrEqual(created_at" in plan and "EqualTo(kind,1)" in plan and "content" not in plan.split("ReadSchema")[1]
+
+
+def test_kept_builds_advance_by_deltas(spark, two_objects, tmp_path):
+    """Only new ids are inserted, a repeat changes nothing, a dry run leaves all as it is."""
+    base, first, second = "file://" + str(tmp_path / "kept"), *two_objects
+    ck.start(spark, base, "s1", first, AS_OF)
+    dry = ck.advance(spark, base, "s2", "s1", second, AS_OF, dry_run=True)
+    assert ck.state(spark, base)["snapshot_id"] == "s1" and ck.read(spark, base).canonical.count() == 4
+    done = ck.advance(spark, base, "s2", "s1", second, AS_OF)
+    assert dry == done == ck.Summary(3, 3, 0, 1, 2) and len(ck.state(spark, base)["parts"]) == 2
+    whole, kept = li.build(first.unionByName(second)), ck.read(spark, base)
+    for name in ("daily", "daily_kind", "kinds"):
+        assert sorted(map(tuple, getattr(kept, name).collect())) == sorted(map(tuple, getattr(whole, name).collect()))
+    assert ck.overview(spark, base).collect() == ro.overview(whole.canonical, AS_OF).collect()
+    again = ck.advance(spark, base, "s2", "s1", second, AS_OF)
+    assert again.already_applied and again.inserted_events == 0 and ck.read(spark, base).canonical.count() == 6
+    with pytest.raises(ValueError, match="as_of"):
+        ck.advance(spark, base, "s2", "s1", second, AS_OF + 1)
+    with pytest.raises(ValueError, match="begins at"):
+        ck.advance(spark, base, "s4", "s3", second, AS_OF)
+    with pytest.raises(ValueError, match="conflicting"):
+        ck.advance(spark, base, "s3", "s2", events(spark, [("dup", "a", AS_OF - 10, 9)]), AS_OF)
+    with pytest.raises(FileExistsError):
+        ck.start(spark, base, "s1", first, AS_OF)
+    with pytest.raises(FileNotFoundError):
+        ck.advance(spark, base + "-none", "s2", "s1", second, AS_OF)
+
+
+def test_serving_tables_follow_their_sources(spark, tmp_path):
+    source, built = str(tmp_path / "events.parquet"), []
+    spark.range(3).write.parquet(source)
+
+    def build():
+        built.append(1)
+        return spark.read.parquet(source).agg(F.count("*").alias("n"))
+
+    read = lambda: sv.product(spark, "n", [source], build, 1).first().n
+    assert (read(), read(), len(built)) == (3, 3, 1)
+    spark.range(2).write.mode("append").parquet(source)
+    assert (read(), read(), len(built)) == (5, 5, 2)
