@@ -9,7 +9,7 @@ too few characters or words aren't judged: too short to tell.
 The references are made from all documents that have a lang: class counts, and
 the ``COMMON`` most frequent words of each, whatever their length, all other
 words being one more bin. A text without any common word has all its weight in
-that bin; ``FAR_WORDS`` is below the distance that gives.
+that bin; texts as far from all languages as that is from the nearest are too far.
 
 Base rules: fewer than 50 words, or over half of the words in repeated 3-word
 windows, fail at once.
@@ -42,8 +42,8 @@ COMMON = 60
 HELD, ROWS = 300_000, 256
 #: Least characters and words for a histogram to be judged.
 LEAST_CHARS, LEAST_WORDS = 300, 100
-#: Distances above which a document is rejected.
-FAR_CHARS, FAR_WORDS = 0.26, 0.5
+#: Distance of the character classes above which a document is rejected.
+FAR_CHARS = 0.26
 SYMBOLS = "#*$%&|<>"
 
 # Classes of bytes: lower case, upper case, digits, blanks, line ends, sentence marks, other ASCII, letters beyond ASCII (their first byte).
@@ -161,6 +161,11 @@ def judge(docs: DataFrame, made: tuple) -> DataFrame:
     """docs with the counts of the base rules, base_failed, kept and both distances (null: not judged)."""
     docs = docs.drop(*[n for n, _ in _OWN])
     langs, chars, common, words_ref = made
+    far_words = np.inf
+    if langs and common:
+        no_common_word = np.zeros((1, len(common) + 1))
+        no_common_word[0, -1] = 1
+        far_words = float(js_distance(no_common_word, words_ref).min()) - 1e-9
 
     def run(batches):
         place = {w: i for i, w in enumerate(common)}
@@ -183,7 +188,7 @@ def judge(docs: DataFrame, made: tuple) -> DataFrame:
                         d[a : a + ROWS] = js_distance(h[a : a + ROWS], ref).min(axis=1)
             long_enough = [h_chars.sum(axis=1) >= LEAST_CHARS, h_words.sum(axis=1) >= LEAST_WORDS]
             d_chars, d_words = (np.where(ok, d, np.nan) for ok, d in zip(long_enough, far, strict=True))
-            kept = [not r[5] and not (a > FAR_CHARS) and not (b > FAR_WORDS) for r, a, b in zip(rows, d_chars, d_words, strict=True)]
+            kept = [not r[5] and not (a > FAR_CHARS) and not (b >= far_words) for r, a, b in zip(rows, d_chars, d_words, strict=True)]
             made_columns = [[r[i] for r in rows] for i in range(6)] + [kept] + [[None if np.isnan(x) else float(x) for x in d] for d in (d_chars, d_words)]
             extra = [pa.array(c, kind) for c, (_, kind) in zip(made_columns, _OWN, strict=True)]
             yield pa.RecordBatch.from_arrays([*batch.columns, *extra], names=[*batch.schema.names, *[n for n, _ in _OWN]])

@@ -513,10 +513,26 @@ def test_quality_references_and_distance(spark):
     assert langs == ["en"] and ref.sum() == sum(c.values()) and {w: int(n) for w, n in zip(common, ref[0], strict=False)} == c
     rows = {r.doc_id: r for r in quality.judge(df, (langs, chars, common, ref)).collect()}
     assert not rows[99].kept and rows[99].chars_distance > quality.FAR_CHARS and all(rows[i].words_distance < 0.2 for i in range(30))
+    # Ordinary letters and spacing, but no common word of the language.
+    odd = spark.createDataFrame([(1, " ".join(r.choice(["teh", "fo", "nda", "hosue", "gradne", "rievr"]) + r.choice("abcdefgh") for _ in range(300)) + "."), (2, " ".join(prose[0].split()[:60]))], "doc_id long, text string")
+    made = {x.doc_id: x for x in quality.judge(odd, (langs, chars, common, ref)).collect()}
+    assert not made[1].base_failed and not made[1].kept and made[1].chars_distance < quality.FAR_CHARS and made[2].words_distance is None
     p, q = np.array([[1.0, 0]]), np.array([[0.0, 1], [1, 0]])
     assert quality.js_distance(p, q).round(9).tolist() == [[1.0, 0.0]]
 
 
+def test_quality_query_on_the_small_tables(spark):
+    """The verdicts against labels, and the base columns against a brute-force version."""
+    folder = "/root/testdata/sf0.01"
+    rows = quality.op8_quality(spark, folder).collect()
+    texts = {r.doc_id: r.text for r in spark.read.parquet(f"{folder}/documents.parquet").select("doc_id", "text").collect()}
+    assert all((r.n_words, r.word_chars, r.n_symbols, r.n_dup_lines, r.n_repeat_words) == base_brute(texts[r.doc_id]) for r in rows) and len(rows) == len(texts)
+    labels = {r.doc_id: r.quality for r in spark.read.parquet(f"{folder}/labels.parquet").collect()}
+    judged = [r for r in rows if r.doc_id in labels and not r.base_failed and r.n_words >= quality.LEAST_WORDS]
+    good, bad = [r.kept for r in judged if labels[r.doc_id]], [r.kept for r in judged if not labels[r.doc_id]]
+    assert sum(good) >= 0.99 * len(good) and sum(bad) <= 0.2 * len(bad) and len(bad) > 5
+
+
 # Learned operators.
 
 
