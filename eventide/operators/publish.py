@@ -34,6 +34,10 @@ class Store:
     def exists(self, name: str) -> bool:
         return self.fs.exists(self._path(name))
 
+    def names(self, name: str) -> list[str]:
+        """What a folder holds; a folder that isn't there holds nothing."""
+        return [s.getPath().getName() for s in self.fs.listStatus(self._path(name))] if self.exists(name) else []
+
     def read(self, name: str) -> bytes:
         stream = self.fs.open(self._path(name))
         try:

@@ -7,6 +7,9 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from eventide.operators import rollups
+from eventide.operators.publish import Store, sized_parts
+from eventide.operators.validate import one_per_id
+from eventide.schema import DAY
 from eventide.sources.files import parse_lines
 
 
@@ -47,6 +50,45 @@ def segments(stream: DataFrame, out: str, checkpoint: str) -> StreamingQuery:
     return stream.writeStream.foreachBatch(seal).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
+#: Days of a batch up to which only these days' ids are looked at.
+DAYS = 1000
+
+
+def archive(stream: DataFrame, out: str, checkpoint: str, most_bytes: int = 256 << 20) -> StreamingQuery:
+    """Sealed segments of new events: each id once, however late it comes again, in files cut by size.
+
+    A batch first claims its new ids (pending), then seals its segments, then
+    marks the ids as archived. Marks lie on disk by day: an id has one time, so
+    a batch looks at its own days only, and no state grows in the stream. A
+    batch that runs again finds the marks of earlier batches only and writes its
+    own files anew, so nothing is sealed twice and nothing is lost.
+    """
+
+    def seal(batch: DataFrame, number: int) -> None:
+        spark = batch.sparkSession
+        store = Store(spark, out)
+        day = F.floor(F.col("created_at") / DAY).cast("long").alias("day")
+        own = one_per_id(batch)
+        if store.exists("archived"):
+            seen = spark.read.schema("id string, batch long, day long").parquet(f"{out}/archived").where(F.col("batch") < number)
+            days = [r["day"] for r in own.select(day).distinct().limit(DAYS + 1).collect()]
+            seen = seen.where(F.col("day").isin(days)) if len(days) <= DAYS else seen
+            own = own.join(seen.select("id"), "id", "left_anti").select(batch.columns)
+        own.write.mode("overwrite").parquet(f"{out}/pending/batch={number}")
+        claimed = spark.read.schema(batch.schema).parquet(f"{out}/pending/batch={number}")
+        sized_parts(claimed, most_bytes, 1).sortWithinPartitions("part", "created_at", "id").write.mode("overwrite").partitionBy("part").parquet(f"{out}/segments/batch={number}")
+        claimed.select("id", day).write.mode("overwrite").partitionBy("day").parquet(f"{out}/archived/batch={number}")
+        store.delete(f"pending/batch={number}")
+
+    return stream.writeStream.foreachBatch(seal).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+
+
+def pending(spark: SparkSession, out: str) -> list[int]:
+    """Batches that were claimed but not archived: the stream's next run does them again."""
+    store = Store(spark, out)
+    return sorted(int(name.partition("=")[2]) for name in store.names("pending"))
+
+
 def products(stream: DataFrame, out: str, checkpoint: str) -> StreamingQuery:
     """Daily counts by kind of each batch, kept apart by batch number; reading adds them up, so late events count on their own day."""
 

@@ -275,3 +275,22 @@ def test_sketches_are_near(spark):
     whole = sk.estimated(sk.merged(sk.states(e, F.col("day")))).first()
     assert abs(whole.distinct_items - 5000) < 250 and whole.event_count == 20_000
     assert abs(sk.approximate(e, F.lit(1)).first().distinct_items - 5000) < 500
+
+
+def test_archive_takes_each_id_once(spark, tmp_path):
+    """Repeats in and across batches, a batch that runs again, files by size."""
+    src, out = tmp_path / "in", str(tmp_path / "out")
+    src.mkdir()
+    write(src / "1.jsonl", event("a", at=90_000), event("a", at=90_000), event("b", at=90_001))
+    stream = lambda: ingest.events(ingest.lines(spark, str(src), 1))
+    run = lambda cp: ingest.archive(stream(), out, str(tmp_path / cp), most_bytes=400).awaitTermination(120)
+    run("c")
+    write(src / "2.jsonl", event("b", at=90_001), event("late", at=10), *[event("x" * 50 + str(i), at=200_000 + i) for i in range(5)])
+    run("c")
+    kept = spark.read.parquet(out + "/segments")
+    assert kept.count() == 8 == kept.select("id").distinct().count() and kept.where("batch = 1").select("part").distinct().count() > 2
+    assert ingest.pending(spark, out) == [] and spark.read.parquet(out + "/archived").count() == 8
+    # Both batches run again from a lost checkpoint.
+    run("other")
+    kept = spark.read.parquet(out + "/segments")
+    assert kept.count() == 8 == kept.select("id").distinct().count()
