@@ -170,26 +170,23 @@ def judge(docs: DataFrame, made: tuple) -> DataFrame:
     def run(batches):
         place = {w: i for i, w in enumerate(common)}
         for batch in batches:
-            texts = [t or "" for t in batch.column("text").to_pylist()]
-            rows, h_chars, h_words = [], np.zeros((len(texts), CLASSES)), np.zeros((len(texts), len(common) + 1), np.int32)
-            for i, text in enumerate(texts):
-                raw = text.encode("utf-8", "surrogatepass")
-                cut = raw.split()
-                h_chars[i] = classes(raw)
-                # Words without a place fall into the last bin.
-                h_words[i] = np.bincount(np.fromiter(map(place.get, cut, repeat(len(common))), np.int64, len(cut)), minlength=len(common) + 1)
-                n, again = len(cut), repeat_words(cut)
-                length = len(b"".join(cut).decode("utf-8", "surrogatepass"))
-                rows.append((n, length, sum(map(text.count, SYMBOLS)), duplicate_lines(text), again, n < 50 or 100 * again > 50 * n))
-            far = [np.full(len(texts), np.nan), np.full(len(texts), np.nan)]
-            if langs:
-                for a in range(0, len(texts), ROWS):
-                    for d, h, ref in ((far[0], h_chars, chars), (far[1], h_words, words_ref)):
-                        d[a : a + ROWS] = js_distance(h[a : a + ROWS], ref).min(axis=1)
-            long_enough = [h_chars.sum(axis=1) >= LEAST_CHARS, h_words.sum(axis=1) >= LEAST_WORDS]
-            d_chars, d_words = (np.where(ok, d, np.nan) for ok, d in zip(long_enough, far, strict=True))
+            texts, rows, d_chars, d_words = [t or "" for t in batch.column("text").to_pylist()], [], [], []
+            for a in range(0, len(texts), ROWS):
+                own = texts[a : a + ROWS]
+                h_chars, h_words = np.zeros((len(own), CLASSES)), np.zeros((len(own), len(common) + 1))
+                for i, text in enumerate(own):
+                    raw = text.encode("utf-8", "surrogatepass")
+                    cut = raw.split()
+                    h_chars[i] = classes(raw)
+                    # Words without a place fall into the last bin.
+                    h_words[i] = np.bincount(np.fromiter(map(place.get, cut, repeat(len(common))), np.int64, len(cut)), minlength=len(common) + 1)
+                    n, again = len(cut), repeat_words(cut)
+                    length = len(b"".join(cut).decode("utf-8", "surrogatepass"))
+                    rows.append((n, length, sum(map(text.count, SYMBOLS)), duplicate_lines(text), again, n < 50 or 100 * again > 50 * n))
+                for out, h, ref, least in ((d_chars, h_chars, chars, LEAST_CHARS), (d_words, h_words, words_ref, LEAST_WORDS)):
+                    out += np.where(h.sum(axis=1) >= least, js_distance(h, ref).min(axis=1) if langs else np.nan, np.nan).tolist()
             kept = [not r[5] and not (a > FAR_CHARS) and not (b >= far_words) for r, a, b in zip(rows, d_chars, d_words, strict=True)]
-            made_columns = [[r[i] for r in rows] for i in range(6)] + [kept] + [[None if np.isnan(x) else float(x) for x in d] for d in (d_chars, d_words)]
+            made_columns = [[r[i] for r in rows] for i in range(6)] + [kept] + [[None if np.isnan(x) else x for x in d] for d in (d_chars, d_words)]
             extra = [pa.array(c, kind) for c, (_, kind) in zip(made_columns, _OWN, strict=True)]
             yield pa.RecordBatch.from_arrays([*batch.columns, *extra], names=[*batch.schema.names, *[n for n, _ in _OWN]])
 
