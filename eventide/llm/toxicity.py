@@ -7,7 +7,7 @@ hidden in U are corrected for, and the estimate of the clean part can't go
 below 0. A logistic curve over the labelled training rows turns its output
 into a score.
 
-A feature's value is its share of the document's words in percent, 1 at most:
+A feature's value is its share of the document's words in percent, ``MOST`` at most:
 what a clean text holds once by chance weighs little in it. Features are all
 words and stems whose documents differ between P and U by ``STRENGTH``
 standard errors, counted by presence or by repeated use; their number has no cap.
@@ -51,6 +51,8 @@ PRIOR = 0.1
 BITS, THRESHOLD = 20, 0.7
 #: Standard errors by which a feature's documents differ, and toxic documents that have it, both at least.
 STRENGTH, LEAST = 3.5, 3
+#: Percent of the words from which a feature's value grows no more.
+MOST = 2.0
 #: Uses of a word, and share of the words, from which it counts as used repeatedly.
 OFTEN, OFTEN_SHARE = 2, 0.004
 #: Bytes of a word's beginning that count as its stem: inflected forms share them.
@@ -80,7 +82,7 @@ def _summed(hashed: np.ndarray, uses: np.ndarray) -> tuple[np.ndarray, np.ndarra
 
 
 def _value(uses: np.ndarray, n: int) -> np.ndarray:
-    return np.minimum(100 * uses / max(n, 1), 1.0)
+    return np.minimum(100 * uses / max(n, 1), MOST)
 
 
 @dataclass
@@ -127,7 +129,7 @@ class Rows:
         return np.bincount(self.features, weights=self.values * np.repeat(g, self.sizes), minlength=k)
 
 
-def nn_pu(p: Rows, u: Rows, prior: float, start: np.ndarray, rounds: int = 400, rate: float = 0.05, decay: float = 1e-4) -> tuple[np.ndarray, float]:
+def nn_pu(p: Rows, u: Rows, prior: float, start: np.ndarray, rounds: int = 400, rate: float = 0.05, decay: float = 3e-5) -> tuple[np.ndarray, float]:
     """Weights and bias that lower the non-negative PU risk of the logistic loss over the rows of P and U; start: first weights."""
     k, n_p, n_u = len(start), max(1, len(p.sizes)), max(1, len(u.sizes))
     w, m, v = np.append(start, np.log(prior / (1 - prior))), np.zeros(k + 1), np.zeros(k + 1)
