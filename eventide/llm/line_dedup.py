@@ -66,10 +66,12 @@ def _windows(docs: DataFrame, window: int, words: int | None = None) -> DataFram
 def later_windows(docs: DataFrame, window: int = WINDOW, words: int | None = None) -> DataFrame:
     """doc_id, _rid and i of every window whose lines also start at an earlier place."""
     windows = _windows(docs.select("doc_id", "text"), window, words)
-    place = F.xxhash64("doc_id", "_rid", "p")
-    # Fingerprints are counted before the shuffle; a hot one leaves each task as a single row.
-    repeated = windows.groupBy("fp").agg(F.min(place).alias("a"), F.max(place).alias("b"), F.count("*").alias("n")).where("a <> b").select("fp", "n")
-    matched = salted_join(windows, repeated, "fp", "left_semi", PLACE)
+    matched = windows
+    if window > 1:  # a window of one line is its own fingerprint
+        place = F.xxhash64("doc_id", "_rid", "p")
+        # Fingerprints are counted before the shuffle; a hot one leaves each task as a single row.
+        repeated = windows.groupBy("fp").agg(F.min(place).alias("a"), F.max(place).alias("b"), F.count("*").alias("n")).where("a <> b").select("fp", "n")
+        matched = salted_join(windows, repeated, "fp", "left_semi", PLACE)
     here = F.struct("doc_id", "_rid", "i")
     first = matched.groupBy("key").agg(F.min(here).alias("first"), F.max(here).alias("last"), F.count("*").alias("n")).where("first < last").select("key", "first", "n")
     return salted_join(matched, first, "key", "inner", PLACE).where(here > F.col("first")).select("doc_id", "_rid", "i")
