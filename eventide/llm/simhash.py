@@ -108,6 +108,67 @@ class BKTree:
         return new
 
 
+class BKForest:
+    """BK-trees of many groups at once, as arrays: the same trees as :class:`BKTree` makes of each group's distinct prints, lowest first."""
+
+    #: More than any distance; (query, node) that a walk holds at once, but for a single query.
+    EDGES, WALK = 128, 1 << 18
+
+    def __init__(self, group: np.ndarray, prints: np.ndarray):
+        """A print for each position, and the number of its group."""
+        order = np.lexsort((prints, group))
+        g, v = group[order], prints[order]
+        new = np.ones(len(order), bool)
+        new[1:] = (g[1:] != g[:-1]) | (v[1:] != v[:-1])
+        self.node, self.members, self.starts = np.empty(len(order), np.int64), order, np.append(np.flatnonzero(new), len(order))
+        self.node[order] = np.cumsum(new) - 1
+        self.values, g = v[new], g[new]
+        first = np.ones(len(g), bool)
+        first[1:] = g[1:] != g[:-1]
+        self.root = np.flatnonzero(first)[np.cumsum(first) - 1]
+        self.size = np.bincount(group)[group] if len(group) else group
+        # All that wait at a node go down together: the first along each edge is its child, the others wait there.
+        at, wait, keys, children = self.root.copy(), np.flatnonzero(~first), [np.empty(0, np.int64)], [np.empty(0, np.int64)]
+        while len(wait):
+            d = np.bitwise_count(self.values[wait] ^ self.values[at[wait]]).astype(np.int64)
+            key, one, back = np.unique(at[wait] * self.EDGES + d, return_index=True, return_inverse=True)
+            keys.append(key)
+            children.append(wait[one])
+            at[wait] = wait[one][back]
+            wait = np.delete(wait, one)
+        keys, children = np.concatenate(keys), np.concatenate(children)
+        order = np.argsort(keys)
+        self.keys, self.children = keys[order], children[order]
+
+    def _walk(self, asked: np.ndarray, radius: int) -> tuple[np.ndarray, np.ndarray]:
+        q, node, found = asked, self.root[self.node[asked]], []
+        while len(q):
+            d = np.bitwise_count(self.values[self.node[q]] ^ self.values[node]).astype(np.int64)
+            found.append((q[d <= radius], node[d <= radius]))
+            low = np.searchsorted(self.keys, node * self.EDGES + np.maximum(d - radius, 0))
+            high = np.searchsorted(self.keys, node * self.EDGES + np.minimum(d + radius, self.EDGES - 1), side="right")
+            q, node = np.repeat(q, high - low), self.children[spread(low, high)]
+        q, node = (np.concatenate(x) for x in zip(*found, strict=True))
+        low, high = self.starts[node], self.starts[node + 1]
+        return np.repeat(q, high - low), self.members[spread(low, high)]
+
+    def near(self, asked: np.ndarray, radius: int) -> Iterator[tuple[int, np.ndarray]]:
+        """For each of the ascending positions asked, those of its group within the radius, itself included."""
+        ends = np.cumsum(self.size[asked])
+        for part in np.split(asked, np.flatnonzero(np.diff(ends // self.WALK)) + 1):
+            q, hits = self._walk(part, radius) if len(part) else (part, part)
+            order = np.lexsort((hits, q))
+            q, hits = q[order], hits[order]
+            for at, low, high in zip(part.tolist(), np.searchsorted(q, part).tolist(), np.searchsorted(q, part, side="right").tolist(), strict=True):
+                yield at, hits[low:high]
+
+
+def spread(low: np.ndarray, high: np.ndarray) -> np.ndarray:
+    """The integers of all ranges, one range after another."""
+    n = high - low
+    return np.repeat(low - (np.cumsum(n) - n), n) + np.arange(n.sum())
+
+
 def spanning_links(prints: list[int], radius: int = RADIUS) -> list[tuple[int, int]]:
     """(print, lowest print of its component) for distinct signed prints that are linked, without the lowest ones."""
     tree, parent = BKTree(), []

@@ -1,12 +1,15 @@
 """The pipeline's near-copy stage against a brute-force version."""
 
 import random
+from fractions import Fraction
 
 import corpus_pipeline
+import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from eventide.llm import near_copies
+from eventide.llm import near_copies, simhash
 
 
 def shingles(text, k=5):
@@ -85,3 +88,55 @@ def test_large_group_of_near_copies(spark):
     rows = [(i, " ".join(edited(r, base, 1))) for i in range(150)] + [(200, " ".join(edited(r, base, 30)))]
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     assert {r.doc_id for r in near_copies.keep_first_copy(docs, 5, 0.8).collect()} == kept_brute(rows) == {0, 200}
+
+
+def test_forest_is_trees():
+    """Array trees find what the plain BK-tree and brute force find, equal prints and lone groups included."""
+    r = random.Random(5)
+    group, prints = [], []
+    for g, n in enumerate((1, 2, 40, 300, 1, 7)):
+        base = r.getrandbits(64)
+        own = [base ^ sum(1 << b for b in r.sample(range(64), r.randrange(30))) for _ in range(n)]
+        group += [g] * (n + n // 3)
+        prints += own + own[: n // 3]
+    value = np.array(prints, np.uint64)
+    for radius in (0, 2, 16, 64):
+        asked = np.array([i for i in range(len(prints)) if i % 3 < 2])
+        got = {at: hits.tolist() for at, hits in simhash.BKForest(np.array(group), value).near(asked, radius)}
+        assert got == {i: [j for j in range(len(prints)) if group[j] == group[i] and (prints[i] ^ prints[j]).bit_count() <= radius] for i in asked.tolist()}
+        trees = {}
+        for g, p in sorted(set(zip(group, prints, strict=True))):
+            trees.setdefault(g, simhash.BKTree()).add(p)
+        assert all({prints[j] for j in got[i]} == {trees[group[i]].values[k] for k in trees[group[i]].near(prints[i], radius)} for i in got)
+    assert list(simhash.BKForest(np.empty(0, np.int64), np.empty(0, np.uint64)).near(np.empty(0, np.int64), 2)) == []
+
+
+def test_search_is_by_trees(rows, monkeypatch):
+    """Pairs within the radius come from BK-trees over SimHash, the rest beyond it from the scan; both together are whole."""
+    sets = {near_copies.set_key(s): s for _, t in rows if len(s := near_copies.shingle_set(t, 5))}
+    keys = list(sets)
+    prints = {k: simhash.simhash(sets[k]) for k in keys}
+    size, bits = [len(sets[k]) for k in keys], [near_copies.parity_bits(sets[k]) for k in keys]
+    cell = [[0], [0], [0], [keys], [size], [[prints[k] for k in keys]], [keys], [bits], [[0] * len(keys)]]
+    batch = pa.RecordBatch.from_arrays([pa.array(c) for c in cell], names=list("hpqwnslbt"))
+
+    def found():
+        met = [x for out in near_copies._across(Fraction(4, 5), False)([batch]) for x in out.to_pylist()]
+        return {(x["a"], x["b"]): ((prints[x["a"]] ^ prints[x["b"]]) & (2**64 - 1)).bit_count() for x in met}
+
+    every = {(a, b) for a in keys for b in keys if a > b and 5 * (n := len(np.intersect1d(sets[a], sets[b]))) >= 4 * (len(sets[a]) + len(sets[b]) - n)}
+    whole = found()
+    assert every <= whole.keys() and sum(whole[p] <= near_copies.RADIUS for p in every) > 10
+    # Without the trees only what is beyond the radius is left.
+    monkeypatch.setattr(simhash.BKForest, "near", lambda self, asked, radius: ((at, np.array([at])) for at in asked.tolist()))
+    assert found() == {p: d for p, d in whole.items() if d > near_copies.RADIUS}
+
+
+def test_nearest_links_are_within_the_radius(rows):
+    sets = {near_copies.set_key(s): s for _, t in rows if len(s := near_copies.shingle_set(t, 5))}
+    keys = list(sets)
+    prints = {k: simhash.simhash(sets[k]) for k in keys}
+    group = [[7], [keys], [[len(sets[k]) for k in keys]], [[prints[k] for k in keys]]]
+    batch = pa.RecordBatch.from_arrays([pa.array(c) for c in group], names=list("hwns"))
+    met = [x for out in near_copies._nearest(Fraction(4, 5))([batch]) for x in out.to_pylist()]
+    assert met and all(x["a"] > x["b"] and ((prints[x["a"]] ^ prints[x["b"]]) & (2**64 - 1)).bit_count() <= near_copies.RADIUS for x in met)
