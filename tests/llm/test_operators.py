@@ -5,6 +5,7 @@ import hashlib
 import random
 import zlib
 from collections import Counter
+from types import SimpleNamespace
 
 import numpy as np
 import public_tokenizers as pt
@@ -187,6 +188,35 @@ def test_tables_keep_to_their_bounds(monkeypatch):
     assert max(len(x) for x in (a.table, b.pieces, b.stretches)) < 60
 
 
+def test_new_pieces_go_through_the_model_together():
+    """One call of the library for STEP new pieces, none for known ones; texts of all kinds, with every contraction."""
+    from tokenizers import Tokenizer
+
+    r = random.Random(8)
+    tok, own = Tokenizer.from_file(WORD_BPE), word_bpe.WordBPE(WORD_BPE)
+    calls, model = [], own.model
+    own.model = SimpleNamespace(encode_batch_fast=lambda texts, **k: calls.append(len(texts)) or model.encode_batch_fast(texts, **k))
+    words = ["".join(r.choice("abcdefghé") for _ in range(9)) for _ in range(word_bpe.STEP + 900)]
+    for _ in range(3):
+        assert [np.frombuffer(x, "<u4").tolist() for x in own.encode_batch([" ".join(words)])] == [tok.encode(" ".join(words), add_special_tokens=False).ids]
+    # Pieces stay from the second time on that they are new.
+    assert calls == [1] * 4 and sorted(own.table.values()) == list(range(len(own.table))) and own.table.codes == len(own.table)
+    texts = ["".join(r.choice(["'", "s", "t", "m", "d", "re", "ve", "ll", "L", "É", "7", "\xb2", "!", "*", " ", "\n", "\x1f", "\xa0", "\xb5", "\xff", "<", "|", "\u0301", "\u212a", "\u1e9e", "</w>", "\x00"][: r.choice([20, 27])]) for _ in range(r.randrange(25))) for _ in range(4000)]
+    own.table.most = 20_000
+    for a in range(0, len(texts), 400):
+        assert [np.frombuffer(x, "<u4").tolist() for x in own.encode_batch(texts[a : a + 400])] == [e.ids for e in tok.encode_batch(texts[a : a + 400], add_special_tokens=False)]
+
+
+def test_texts_cut_together_give_the_pieces_of_each():
+    r = random.Random(9)
+    alphabet = ["'", "s", "t", "m", "d", "re", "ve", "ll", "l", "v", "É", "7", "\xb2", "!", "*", " ", "\n", "\x85", "\xa0", "\xb5", "\xd7", "\xff", "\x00"]
+    for _ in range(1500):
+        texts = ["".join(r.choice(alphabet) for _ in range(r.randrange(20))) for _ in range(r.randrange(5))]
+        pieces, counts = word_bpe.cut_plain(texts)
+        want = [word_bpe._PIECE.findall(t.lower()) for t in texts]
+        assert pieces == [x for p in want for x in p] and counts.tolist() == [len(p) for p in want], texts
+
+
 def test_long_pieces_equal_the_library():
     import tiktoken
 
