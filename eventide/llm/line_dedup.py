@@ -43,28 +43,37 @@ WORD = r"[^\x20\x09-\x0D]+"
 
 
 def _windows(docs: DataFrame, window: int, words: int | None = None) -> DataFrame:
-    """A row for every window (with ``words``, of that many words): its place, its fingerprint with the fingerprint's place, and its line hashes."""
+    """A row for every window (with ``words``, also for shorter ones of that many words): its place, its fingerprint with the fingerprint's place, and its line hashes."""
     split = F.split(text_or_empty(), "\n")
+    least = window if words is None else 1
     counts = [] if words is None else [F.transform(split, lambda x: F.regexp_count(x, F.lit(WORD))).alias("_n")]
-    lines = docs.select("doc_id", row_key().alias("_rid"), F.transform(split, lambda x: F.xxhash64(x)).alias("_lh"), *counts).where(F.size("_lh") >= window)
+    lines = docs.select("doc_id", row_key().alias("_rid"), F.transform(split, lambda x: F.xxhash64(x)).alias("_lh"), *counts).where(F.size("_lh") >= least)
 
-    def at(i):
-        part = F.slice(F.col("_lh"), i + 1, window)
-        low = F.array_min(part)
-        return F.struct(i.alias("i"), low.alias("fp"), (i + F.array_position(part, low).cast("int")).alias("p"), part.alias("key"))
+    def of(k: int) -> Column:
+        """The windows of k lines."""
 
-    def wordy(i):
-        # A window both of whose ends can go needs no row: without the end, the rest is such a window too.
-        n, last = F.aggregate(F.slice("_n", i + 1, window), F.lit(0), lambda a, x: a + x), i + (window - 1)
-        return (n >= words) & ((n - F.get("_n", i) < words) | (n - F.get("_n", last) < words))
+        def at(i):
+            part = F.slice(F.col("_lh"), i + 1, k)
+            low = F.array_min(part)
+            # Windows of different lengths don't meet, so their fingerprints differ as well.
+            return F.struct(i.alias("i"), (low if k == window else F.xxhash64(low, F.lit(k))).alias("fp"), (i + F.array_position(part, low).cast("int")).alias("p"), part.alias("key"))
 
-    at_all = F.sequence(F.lit(0), F.size("_lh") - window)
-    found = F.transform(at_all if words is None else F.filter(at_all, wordy), at)
+        def wordy(i):
+            # A window both of whose ends can go needs no row: without the end, the rest is such a window too.
+            n, last = F.aggregate(F.slice("_n", i + 1, k), F.lit(0), lambda a, x: a + x), i + (k - 1)
+            return (n >= words) & ((n - F.get("_n", i) < words) | (n - F.get("_n", last) < words))
+
+        places = F.sequence(F.lit(0), F.size("_lh") - k)
+        if k > least:
+            places = F.when(F.size("_lh") >= k, places).otherwise(F.array().cast("array<int>"))
+        return F.transform(places if k == window else F.filter(places, wordy), at)
+
+    found = F.concat(*map(of, range(least, window + 1))) if least < window else of(window)
     return lines.select("doc_id", "_rid", F.explode(found).alias("w")).select("doc_id", "_rid", "w.*")
 
 
 def later_windows(docs: DataFrame, window: int = WINDOW, words: int | None = None) -> DataFrame:
-    """doc_id, _rid and i of every window whose lines also start at an earlier place."""
+    """doc_id, _rid, i and number of lines k of every window whose lines also start at an earlier place."""
     windows = _windows(docs.select("doc_id", "text"), window, words)
     matched = windows
     if window > 1:  # a window of one line is its own fingerprint
@@ -74,7 +83,7 @@ def later_windows(docs: DataFrame, window: int = WINDOW, words: int | None = Non
         matched = salted_join(windows, repeated, "fp", "left_semi", PLACE)
     here = F.struct("doc_id", "_rid", "i")
     first = matched.groupBy("key").agg(F.min(here).alias("first"), F.max(here).alias("last"), F.count("*").alias("n")).where("first < last").select("key", "first", "n")
-    return salted_join(matched, first, "key", "inner", PLACE).where(here > F.col("first")).select("doc_id", "_rid", "i")
+    return salted_join(matched, first, "key", "inner", PLACE).where(here > F.col("first")).select("doc_id", "_rid", "i", F.size("key").alias("k"))
 
 
 def _kept(lines: Column, gone: Column) -> Column:
@@ -85,10 +94,8 @@ def _kept(lines: Column, gone: Column) -> Column:
 def dedup_lines(docs: DataFrame, window: int = WINDOW, words: int | None = None) -> DataFrame:
     """docs with the repeated runs of lines removed from text, plus n_lines and n_removed; with ``words``, shorter runs of that many words also go."""
     docs = docs.drop("n_lines", "n_removed")
-    at = F.col("i")
-    later = later_windows(docs, window).select("doc_id", "_rid", F.sequence(at, at + window - 1).alias("run"))
-    for k in range(1, window if words is not None else 1):
-        later = later.unionByName(later_windows(docs, k, words).select("doc_id", "_rid", F.sequence(at, at + k - 1).alias("run")))
+    # Windows of all lengths go through one plan: the driver pays for a plan, not for rows.
+    later = later_windows(docs, window, words).select("doc_id", "_rid", F.sequence(F.col("i"), F.col("i") + F.col("k") - 1).alias("run"))
     rid, gone, hit_id, hit_rid = spare(docs, "rid", "gone", "hit_id", "hit_rid")
     hits = later.groupBy("doc_id", "_rid").agg(F.array_distinct(F.flatten(F.collect_list("run"))).alias(gone)).withColumnsRenamed({"doc_id": hit_id, "_rid": hit_rid})
     own = docs.withColumn(rid, row_key())
