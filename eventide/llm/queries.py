@@ -1,7 +1,8 @@
 """The queries of this subpackage, and DuckDB SQL for those that SQL can express."""
 
-from eventide.llm import line_dedup, substring_dedup
+from eventide.llm import collocations, line_dedup, substring_dedup
 from eventide.llm.byte_bpe import op10_byte_bpe
+from eventide.llm.collocations import op11_collocations
 from eventide.llm.fingerprints import op7_fingerprints
 from eventide.llm.language_id import op6_language_id
 from eventide.llm.line_dedup import op1_line_dedup
@@ -14,7 +15,7 @@ from eventide.llm.toxicity import op4_toxicity
 
 QUERIES = {
     f.__name__: f
-    for f in (op1_line_dedup, op2_substring_dedup, op3_token_output, op4_toxicity, op5_packing, op6_language_id, op7_fingerprints, op8_quality, op9_simhash, op10_byte_bpe)
+    for f in (op1_line_dedup, op2_substring_dedup, op3_token_output, op4_toxicity, op5_packing, op6_language_id, op7_fingerprints, op8_quality, op9_simhash, op10_byte_bpe, op11_collocations)
 }
 
-SQL = {"op1_line_dedup": line_dedup.SQL, "op2_substring_dedup": substring_dedup.SQL}
+SQL = {"op1_line_dedup": line_dedup.SQL, "op2_substring_dedup": substring_dedup.SQL, "op11_collocations": collocations.SQL}
