@@ -7,11 +7,14 @@ Decimal, held against its one-word extensions by an anti-join and ranked by a
 window. A longer phrase that holds a candidate is never more frequent than the
 one-word extension between the two, so extensions are enough for any length.
 
-Most n-grams of a corpus are rare, and none of these decides anything. So
-n-grams of two words or more are counted twice: first as 64-bit hashes, then,
-as strings, those whose hash was found ``least`` times. These hashes set bits
-of a filter of fixed size; a filter that fills up lets rare n-grams pass,
-which the second count drops. Results are the same whatever passes.
+Most n-grams of a corpus are rare, and none of these decides anything: what is
+asked for are candidates and their parts, all found ``least`` times. So n-grams
+are first counted as 64-bit hashes, words, then pairs, then longer ones, each
+only where both n-grams inside it that are one word shorter were found often
+enough. The hashes found ``least`` times set bits of a filter of fixed size for
+each length, and the n-grams that pass are exploded as strings and counted. A
+filter that fills up lets rare n-grams pass, which the count of strings drops:
+results are the same whatever passes.
 
 * A null text counts as an empty one; a null lang is ``und``. Texts without a
   word add nothing; an empty table gives an empty result.
@@ -26,6 +29,7 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 import xxhash
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -34,7 +38,9 @@ from eventide.llm.common import load, mix64, salted_join, shared_path
 #: Words of a phrase, least count of a candidate, percent of its count at which a longer one takes its place, phrases of a language.
 MAX_N, LEAST, SHARE, TOP = 3, 10, 50, 2000
 #: Bytes of text at once, hashes that a task sums before they go out, bits of the filter (a power of two).
-STRETCH, HELD, BITS = 2 << 20, 4 << 20, 1 << 26
+STRETCH, HELD, BITS = 2 << 20, 2 << 20, 1 << 26
+#: Texts that are joined at once.
+TEXTS = 2000
 #: Parts of a language that are ranked by themselves first.
 PARTS = 64
 
@@ -94,42 +100,48 @@ class Grams:
 def grams(batches, max_n: int):
     """lang and Grams of each stretch of the texts of a language in a batch."""
     for batch in batches:
-        by_lang: dict[str, list[bytes]] = {}
-        for lang, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-            if text:
-                by_lang.setdefault(lang, []).append(text.translate(_PLAIN))
-        for lang, texts in by_lang.items():
-            before: list[bytes] = []
-            for part in stretches(b"\n".join(texts), STRETCH):
-                words = before + [w for w in part.replace(b"\n", b" \n ").split(b" ") if w]
-                yield lang, Grams(words, len(before), lang, max_n)
-                before = words[len(words) - max_n + 1 :] if len(words) >= max_n else words
+        for a in range(0, batch.num_rows, TEXTS):
+            part = batch.slice(a, TEXTS)
+            by_lang: dict[str, list[bytes]] = {}
+            for lang, text in zip(part.column(0).to_pylist(), part.column(1).to_pylist(), strict=True):
+                if text:
+                    by_lang.setdefault(lang, []).append(text.translate(_PLAIN))
+            for lang, texts in by_lang.items():
+                before: list[bytes] = []
+                for data in stretches(b"\n".join(texts), STRETCH):
+                    words = before + [w for w in data.replace(b"\n", b" \n ").split(b" ") if w]
+                    yield lang, Grams(words, len(before), lang, max_n)
+                    before = words[len(words) - max_n + 1 :] if len(words) >= max_n else words
 
 
 def texts_of(docs: DataFrame) -> DataFrame:
     return docs.select(F.coalesce(F.col("lang").cast("string"), F.lit("und")).alias("lang"), F.col("text").cast("string").cast("binary").alias("text"))
 
 
-def _bits(h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    return h & np.uint64(BITS - 1), h >> np.uint64(32) & np.uint64(BITS - 1)
+def _passes(bits: np.ndarray, h: np.ndarray) -> np.ndarray:
+    return np.logical_and.reduce([bits[b >> np.uint64(6)] >> (b & np.uint64(63)) & np.uint64(1) > 0 for b in (h & np.uint64(BITS - 1), h >> np.uint64(32) & np.uint64(BITS - 1))])
 
 
-def frequent_bits(texts: DataFrame, max_n: int, least: int) -> np.ndarray:
-    """A filter with the bits of all hashes of 2..max_n-grams that are found ``least`` times."""
+def frequent_bits(texts: DataFrame, size: int, shorter: Broadcast | None, least: int) -> np.ndarray:
+    """A filter with the bits of all hashes of ``size``-grams that are found ``least`` times; ``shorter``: the filter of those one word shorter."""
 
     def hashed(batches):
         held, n_held = [], 0
 
         def out():
             h, n = np.unique(np.concatenate(held), return_counts=True)
-            for a in range(0, len(h), 1 << 18):
-                yield pa.RecordBatch.from_arrays([pa.array(h[a : a + (1 << 18)].view(np.int64)), pa.array(n[a : a + (1 << 18)])], names=["h", "n"])
+            for a in range(0, len(h), 1 << 17):
+                yield pa.RecordBatch.from_arrays([pa.array(h[a : a + (1 << 17)].view(np.int64)), pa.array(n[a : a + (1 << 17)])], names=["h", "n"])
 
-        for _, own in grams(batches, max_n):
+        for _, own in grams(batches, size):
+            good = None
             for n, at, h, new in own:
-                if n > 1:
-                    held.append(h[at[new]])
-                    n_held += len(held[-1])
+                if n == size:
+                    at = at[new & good[at] & good[at + 1]] if n > 1 else at[new]
+                    held.append(h[at])
+                    n_held += len(at)
+                elif n == size - 1:
+                    good = _passes(shorter.value, h)
             if n_held > HELD:
                 yield from out()
                 held, n_held = [], 0
@@ -147,23 +159,20 @@ def frequent_bits(texts: DataFrame, max_n: int, least: int) -> np.ndarray:
 
 def counts(docs: DataFrame, max_n: int, least: int) -> DataFrame:
     """lang, phrase, words and f of all phrases found ``least`` times; the phrase is null for a language's number of words."""
-    texts, spark = texts_of(docs), docs.sparkSession
-    held = spark.sparkContext.broadcast(frequent_bits(texts, max_n, least))
+    texts, context, filters = texts_of(docs), docs.sparkSession.sparkContext, []
+    for n in range(1, max_n + 1):
+        filters.append(context.broadcast(frequent_bits(texts, n, filters[-1] if filters else None, least)))
 
     def exploded(batches):
-        bits = held.value
-
-        def passes(n: int, h: np.ndarray) -> np.ndarray:
-            return np.logical_and.reduce([bits[b >> np.uint64(6)] >> (b & np.uint64(63)) & np.uint64(1) > 0 for b in _bits(h)]) if n > 1 else np.ones(len(h), bool)
+        bits = [f.value for f in filters]
 
         def rows(lang: str, n: int, phrases: list, f) -> pa.RecordBatch:
             return pa.RecordBatch.from_arrays([pa.array([lang] * len(phrases), pa.string()), pa.array(phrases, pa.binary()), pa.array([n] * len(phrases), pa.int32()), pa.array(f, pa.int64())], names=["lang", "phrase", "words", "f"])
 
         for lang, own in grams(batches, max_n):
-            for n, phrases, f in own.counted(passes):
+            yield rows(lang, 0, [None], [int(own.whole[own.skip :].sum())])
+            for n, phrases, f in own.counted(lambda n, h: _passes(bits[n - 1], h)):
                 yield rows(lang, n, phrases, f)
-                if n == 1:
-                    yield rows(lang, 0, [None], [int(f.sum())])
 
     rows = texts.mapInArrow(exploded, "lang string, phrase binary, words int, f long").groupBy("lang", "phrase", "words").agg(F.sum("f").alias("f"))
     return rows.where((F.col("f") >= least) | F.col("phrase").isNull()).withColumn("phrase", F.col("phrase").cast("string"))
