@@ -53,9 +53,13 @@ def apply_delta(base: Products, added: DataFrame) -> Products:
     if wrong:
         raise ValueError(f"conflicting events: {[r['id'] for r in wrong]}")
     fresh = delta.join(base.canonical.select("id"), "id", "left_anti").select("id", "created_at", "kind")
-    return Products(
-        base.canonical.select("id", "created_at", "kind").unionByName(fresh), ro.additive(base.daily, ro.daily(fresh)), ro.additive(base.daily_kind, ro.daily_kind(fresh)), ro.additive(base.kinds, ro.kind_all_time(fresh)), base.physical + added.count()
-    )
+    return advanced(base, fresh, added.count())
+
+
+def advanced(base: Products, fresh: DataFrame, physical: int) -> Products:
+    """Products with events that are new to them, of so many physical rows."""
+    canonical = base.canonical.select("id", "created_at", "kind").unionByName(fresh)
+    return Products(canonical, ro.additive(base.daily, ro.daily(fresh)), ro.additive(base.daily_kind, ro.daily_kind(fresh)), ro.additive(base.kinds, ro.kind_all_time(fresh)), base.physical + physical)
 
 
 def check(products: Products) -> dict[str, int]:

@@ -3,9 +3,12 @@
 from __future__ import annotations
 
 import json
-from collections.abc import Iterable, Iterator
+import time
+import uuid
+from collections.abc import Callable, Iterable, Iterator
 
 import pyarrow as pa
+from py4j.protocol import Py4JJavaError
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -63,9 +66,40 @@ class Store:
         options[0] = self.jvm.org.apache.hadoop.fs.Options.Rename.OVERWRITE
         self.jvm.org.apache.hadoop.fs.FileContext.getFileContext(self._path("").toUri(), self.conf).rename(self._path(beside), self._path(name), options)
 
-    def rename(self, a: str, b: str) -> None:
-        if not self.fs.rename(self._path(a), self._path(b)):
-            raise OSError(f"can't rename {a} to {b}")
+    def create(self, name: str, data: bytes) -> bool:
+        """Make a file that isn't there yet, whole; False if another writer was first, whatever the moment.
+
+        The file is written beside and then given its name by a step that the
+        file system does at once and for one writer only: a link on a local
+        disk, a rename that doesn't replace on a cluster's file system.
+        Object stores have no such step and are refused.
+        """
+        scheme = self.fs.getUri().getScheme()
+        if scheme not in ("file", "hdfs", "viewfs"):
+            raise NotImplementedError(f"{scheme}: no step that makes a file once only")
+        beside = f"{name}.{uuid.uuid4().hex}.tmp"
+        stream = self.fs.create(self._path(beside), False)
+        try:
+            stream.write(data)
+        finally:
+            stream.close()
+        try:
+            if scheme == "file":
+                local = lambda n: self.jvm.java.nio.file.Paths.get(self._path(n).toUri().getPath(), self.spark.sparkContext._gateway.new_array(self.jvm.java.lang.String, 0))
+                self.jvm.java.nio.file.Files.createLink(local(name), local(beside))
+            else:
+                none = self.spark.sparkContext._gateway.new_array(self.jvm.org.apache.hadoop.fs.Options.Rename, 0)
+                self.jvm.org.apache.hadoop.fs.FileContext.getFileContext(self._path("").toUri(), self.conf).rename(self._path(beside), self._path(name), none)
+        except Py4JJavaError as e:
+            if "AlreadyExists" not in e.java_exception.getClass().getName():
+                raise
+            return False
+        finally:
+            self.delete(beside)
+        return True
+
+    def modified(self, name: str) -> float:
+        return self.fs.getFileStatus(self._path(name)).getModificationTime() / 1000
 
     def delete(self, name: str) -> None:
         self.fs.delete(self._path(name), True)
@@ -160,41 +194,103 @@ def run_id(snapshot_id: str, query_version: str, as_of: int) -> str:
     return digest([snapshot_id, query_version, as_of])[:32]
 
 
-def publish(spark: SparkSession, base: str, run: str, products: dict[str, DataFrame], evidence: dict, expected_current: str | None) -> bool:
-    """Write a run's products and turn the pointer to it; False if it was current already.
+class Stale(ValueError):
+    """What a run was based on is no longer current."""
+
+
+class Held(RuntimeError):
+    """Another writer holds the lease."""
 
-    The pointer must still name the expected run, else the run is stale and
-    refused. Readers only follow the pointer, so they see all products of a
-    run or all of the one before. Products are written beside and renamed.
+
+def pointer(spark: SparkSession, base: str) -> dict | None:
+    """The newest turn of the pointer: version, run_id, folder, previous, fence."""
+    store = Store(spark, base)
+    turns = sorted(n for n in store.names("pointer") if n.endswith(".json"))
+    return json.loads(store.read(f"pointer/{turns[-1]}")) if turns else None
+
+
+def history(spark: SparkSession, base: str) -> list[dict]:
+    """All turns of the pointer, oldest first."""
+    store = Store(spark, base)
+    return [json.loads(store.read(f"pointer/{n}")) for n in sorted(store.names("pointer")) if n.endswith(".json")]
+
+
+def run_folder(run: str) -> str:
+    """A folder of a writer's own for a run: writers of the same run don't meet."""
+    return f"runs/{run}-{uuid.uuid4().hex[:12]}"
+
+
+def publish(spark: SparkSession, base: str, run: str, products: dict[str, DataFrame], evidence: dict, expected_current: str | None, folder: str | None = None, lease=None, again: bool = False) -> bool:
+    """Write a run's products and turn the pointer to them; False if the run is current already.
+
+    ``expected_current`` names the run that the work was based on. Each turn of
+    the pointer is a numbered file that can be made once only, and a run is
+    published by making the one behind that of the run it was based on. So of
+    several writers that begin at the same run one is taken, and the others are
+    refused (Stale), whenever they come; nothing of theirs is seen. Readers
+    follow the newest turn, to all products of a run or all of the one before.
+
+    With a ``lease`` the writer must hold it to the end, and is refused if the
+    pointer was turned under a higher fencing number. A run that was current
+    before is refused too, but ``again``: for products whose sources go back.
     """
     store = Store(spark, base)
-    now = current(spark, base)
-    if now == run:
+    now = pointer(spark, base)
+    if now and now["run_id"] == run:
         return False
-    if now != expected_current:
-        raise ValueError(f"stale: current is {now}, expected {expected_current}")
-    counts = {}
+    _based(now, expected_current)
+    if not again and any(turn["run_id"] == run for turn in history(spark, base)):
+        raise Stale(f"stale: {run} was current before {now['run_id']}")
+    folder, counts = folder or run_folder(run), {}
     for name, df in products.items():
-        df.write.mode("overwrite").parquet(f"{store.base}/runs/{run}.tmp/{name}")
-        counts[name] = spark.read.parquet(f"{store.base}/runs/{run}.tmp/{name}").count()
-    store.write(f"runs/{run}.tmp/evidence.json", canonical_json(evidence | {"rows": counts, "run_id": run}), replace=True)
-    if store.exists(f"runs/{run}"):
-        store.delete(f"runs/{run}")  # left by a publication that ended before the pointer was turned
-    store.rename(f"runs/{run}.tmp", f"runs/{run}")
-    store.write("current_run.json", canonical_json({"run_id": run}), replace=True)
-    return True
+        df.write.mode("overwrite").parquet(f"{store.base}/{folder}/{name}")
+        counts[name] = spark.read.parquet(f"{store.base}/{folder}/{name}").count()
+    store.write(f"{folder}/evidence.json", canonical_json(evidence | {"rows": counts, "run_id": run}), replace=True)
+    fence = 0
+    if lease is not None:
+        if not lease.held():
+            raise Held(f"the lease of {lease.owner} was lost while {run} was written")
+        fence = lease.fence
+    if now and fence < now["fence"]:
+        raise Held(f"the pointer was turned under fencing number {now['fence']}, this writer has {fence}")
+    version = now["version"] + 1 if now else 1
+    turn = {"version": version, "run_id": run, "folder": folder, "previous": expected_current, "fence": fence}
+    if store.create(f"pointer/{version:012d}.json", canonical_json(turn)):
+        return True
+    now = pointer(spark, base)
+    if now["run_id"] == run:
+        return False  # another writer has published the same
+    _based(now, expected_current)
+    raise Stale(f"stale: {expected_current} was published again meanwhile")
+
+
+def _based(now: dict | None, expected: str | None) -> None:
+    if (now["run_id"] if now else None) != expected:
+        raise Stale(f"stale: current is {now['run_id'] if now else None}, expected {expected}")
+
+
+def sweep(spark: SparkSession, base: str, older_than: float, needed: Iterable[str] = (), clock: Callable[[], float] = time.time) -> list[str]:
+    """Delete run folders that no turn of the pointer names and that are older than so many seconds: left by writers that failed or were refused."""
+    store, named = Store(spark, base), {t["folder"] for t in history(spark, base)} | set(needed)
+    gone = []
+    for name in store.names("runs"):
+        folder = f"runs/{name}"
+        if folder not in named and clock() - store.modified(folder) > older_than:
+            store.delete(folder)
+            gone.append(folder)
+    return gone
 
 
 def current(spark: SparkSession, base: str) -> str | None:
-    store = Store(spark, base)
-    return json.loads(store.read("current_run.json"))["run_id"] if store.exists("current_run.json") else None
+    now = pointer(spark, base)
+    return now["run_id"] if now else None
 
 
 def read_current(spark: SparkSession, base: str, product: str) -> DataFrame:
-    run = current(spark, base)
-    if run is None:
+    now = pointer(spark, base)
+    if now is None:
         raise FileNotFoundError("no run is published")
-    return spark.read.parquet(f"{base.rstrip('/')}/runs/{run}/{product}").withColumn("run_id", F.lit(run))
+    return spark.read.parquet(f"{base.rstrip('/')}/{now['folder']}/{product}").withColumn("run_id", F.lit(now["run_id"]))
 
 
 def ledger(applied: DataFrame | None, objects: DataFrame, run: str) -> DataFrame:

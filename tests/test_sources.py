@@ -164,8 +164,9 @@ def test_publish(spark, tmp_path):
     assert pu.publish(spark, base, "r2", {"p": spark.range(5)}, {}, "r1") and pu.read_current(spark, base, "p").count() == 5 and pu.read_current(spark, base, "p").first().run_id == "r2"
     assert pu.run_id("s", "v", 1) == pu.run_id("s", "v", 1) != pu.run_id("s", "v", 2)
     store = pu.Store(spark, base)
+    store.write("x.json", b"one")
     with pytest.raises(FileExistsError):
-        store.write("current_run.json", b"other")
+        store.write("x.json", b"other")
 
 
 def test_work_unit_goes_on(spark, tmp_path, monkeypatch):
