@@ -44,17 +44,17 @@ TEXTS = 2000
 #: Parts of a language that are ranked by themselves first.
 PARTS = 64
 
-#: A-Z to lower case, ends of pieces to line feeds, tabs to blanks.
-_PLAIN = bytes.maketrans(bytes(range(65, 91)) + b".,;:!?\x0b\x0c\r\t", bytes(range(97, 123)) + b"\n" * 9 + b" ")
+#: A-Z to lower case, ends of pieces to full stops (which no word holds), tabs to blanks.
+_PLAIN = bytes.maketrans(bytes(range(65, 91)) + b",;:!?\n\x0b\x0c\r\t", bytes(range(97, 123)) + b"." * 9 + b" ")
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 
 
 def stretches(data: bytes, most: int):
-    """data in parts of about ``most`` bytes that end before a blank or a line feed."""
+    """data in parts of about ``most`` bytes that end before a blank or a full stop."""
     a = 0
     while a < len(data):
         b = a + most
-        b = min((x for x in (data.find(b" ", b), data.find(b"\n", b)) if x >= 0), default=len(data)) if b < len(data) else len(data)
+        b = min((x for x in (data.find(b" ", b), data.find(b".", b)) if x >= 0), default=len(data)) if b < len(data) else len(data)
         yield data[a:b]
         a = b
 
@@ -67,34 +67,38 @@ class Grams:
         place = {w: i for i, w in enumerate(dict.fromkeys(words))}
         self.distinct = len(place)
         self.ids = np.fromiter(map(place.__getitem__, words), np.int64, len(words))
-        self.whole = self.ids != place.get(b"\n", -1)
+        self.whole = self.ids != place.get(b".", -1)
         seed = xxhash.xxh64_intdigest(lang.encode("utf-8", "surrogatepass"))
-        self.hashes = np.fromiter((xxhash.xxh64_intdigest(w, seed) for w in place), np.uint64, len(place))[self.ids]
+        self.word_hashes = np.fromiter((xxhash.xxh64_intdigest(w, seed) for w in place), np.uint64, len(place))
 
     def __iter__(self):
         """n, first positions, hashes by position, and which positions are new, for each n."""
-        ok, h = self.whole, self.hashes
+        ok = self.whole
+        h = hashes = self.word_hashes[self.ids]
         for n in range(1, self.max_n + 1):
             if n > 1:
                 ok = ok[:-1] & self.whole[n - 1 :]
-                h = mix64(h[:-1] * _ODD + self.hashes[n - 1 :])
+                h = mix64(h[:-1] * _ODD + hashes[n - 1 :])
             at = np.flatnonzero(ok)
             yield n, at, h, at + n > self.skip
 
     def counted(self, passes):
-        """n, the phrases (as bytes) whose hash passes, and how often each is new here."""
-        codes = self.ids
+        """n, the phrases (as bytes) whose hash passes, and how often each is new here. A phrase passes only if the one without its last word does."""
+        codes, good = self.ids, None
         for n, at, h, new in self:
             if n > 1:
+                at, new = at[good[at]], new[good[at]]
                 codes = codes[:-1] * self.distinct + self.ids[n - 1 :]
+            ok = passes(n, h[at])
+            at, new = at[ok], new[ok]
             if not len(at):
                 return
             _, first, code = np.unique(codes[at], return_index=True, return_inverse=True)
             count = np.bincount(code[new], minlength=len(first))
-            codes = np.zeros(len(codes), np.int64)
-            codes[at] = code
-            good = np.flatnonzero((count > 0) & passes(n, h[at[first]]))
-            yield n, [b" ".join(self.words[i : i + n]) for i in at[first[good]].tolist()], count[good]
+            codes, good = np.zeros(len(codes), np.int64), np.zeros(len(codes), bool)
+            codes[at], good[at] = code, True
+            own = np.flatnonzero(count > 0)
+            yield n, [b" ".join(self.words[i : i + n]) for i in at[first[own]].tolist()], count[own]
 
 
 def grams(batches, max_n: int):
@@ -108,8 +112,8 @@ def grams(batches, max_n: int):
                     by_lang.setdefault(lang, []).append(text.translate(_PLAIN))
             for lang, texts in by_lang.items():
                 before: list[bytes] = []
-                for data in stretches(b"\n".join(texts), STRETCH):
-                    words = before + [w for w in data.replace(b"\n", b" \n ").split(b" ") if w]
+                for data in stretches(b".".join(texts), STRETCH):
+                    words = before + data.replace(b".", b" . ").split()
                     yield lang, Grams(words, len(before), lang, max_n)
                     before = words[len(words) - max_n + 1 :] if len(words) >= max_n else words
 
@@ -134,12 +138,15 @@ def frequent_bits(texts: DataFrame, size: int, shorter: Broadcast | None, least:
                 yield pa.RecordBatch.from_arrays([pa.array(h[a : a + (1 << 17)].view(np.int64)), pa.array(n[a : a + (1 << 17)])], names=["h", "n"])
 
         for _, own in grams(batches, size):
+            if size == 1:
+                n = np.bincount(own.ids[own.skip :][own.whole[own.skip :]], minlength=own.distinct)
+                yield pa.RecordBatch.from_arrays([pa.array(own.word_hashes[n > 0].view(np.int64)), pa.array(n[n > 0])], names=["h", "n"])
+                continue
             good = None
             for n, at, h, new in own:
                 if n == size:
-                    at = at[new & good[at] & good[at + 1]] if n > 1 else at[new]
-                    held.append(h[at])
-                    n_held += len(at)
+                    held.append(h[at[new & good[at] & good[at + 1]]])
+                    n_held += len(held[-1])
                 elif n == size - 1:
                     good = _passes(shorter.value, h)
             if n_held > HELD:
@@ -189,8 +196,9 @@ def scored(known: DataFrame) -> DataFrame:
     cuts = known.where("words > 1").select("lang", "phrase", "words", F.col("f").alias("a"), cut.alias("c"))
     cuts = cuts.select("lang", "phrase", "words", "a", "c.k", F.struct("lang", F.col("c.first").alias("phrase")).alias("left"), F.struct("lang", F.col("c.rest").alias("phrase")).alias("right"))
     for side, name in (("left", "l"), ("right", "r")):
-        by = known.select(F.struct("lang", "phrase").alias(side), F.col("f").alias(name))
-        cuts = salted_join(cuts, by, side, "inner", ["phrase", "k"], counts=cuts.groupBy(side).agg(F.count("*").alias("n")))
+        # A part is in at most a ``least``-th as many candidates as it is found: the most frequent are those that may be hot.
+        by = known.select(F.struct("lang", "phrase").alias(side), F.col("f").alias(name), F.col("f").alias("n"))
+        cuts = salted_join(cuts, by, side, "inner", ["phrase", "k"])
     whole = lambda name, digits: F.col(name).cast(f"decimal({digits},0)")
     cuts = cuts.withColumn("above", F.lit(1_000_000).cast("decimal(7,0)") * whole("a", 15) * whole("a", 15)).withColumn("below", whole("l", 18) * whole("r", 18))
     lowest = F.min(F.struct(F.expr("above div below").alias("score"), "k", "l", "r"))

@@ -64,14 +64,14 @@ def test_cut_everywhere(small):
         f = Counter()
         texts = [(t or "").encode().translate(c._PLAIN) for o, t in rows if o == lang]
         before = []
-        for part in c.stretches(b"\n".join(texts), c.STRETCH):
-            words = before + [w for w in part.replace(b"\n", b" \n ").split(b" ") if w]
+        for part in c.stretches(b".".join(texts), c.STRETCH):
+            words = before + part.replace(b".", b" . ").split()
             for _, phrases, n in c.Grams(words, len(before), lang, 3).counted(lambda n, h: np.ones(len(h), bool)):
                 f.update(dict(zip(phrases, n.tolist(), strict=True)))
             before = words[len(words) - 2 :] if len(words) >= 2 else words
         want = Counter()
         for t in texts:
-            for piece in t.split(b"\n"):
+            for piece in t.split(b"."):
                 w = [x for x in piece.split(b" ") if x]
                 want.update(b" ".join(w[i : i + k]) for k in (1, 2, 3) for i in range(len(w) - k + 1))
         assert f == want
