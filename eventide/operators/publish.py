@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import hashlib
 import json
 import time
 import uuid
 from collections.abc import Callable, Iterable, Iterator
 
+import pandas as pd
 import pyarrow as pa
+import pyarrow.fs as pafs
 from py4j.protocol import Py4JJavaError
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -302,12 +305,35 @@ def ledger(applied: DataFrame | None, objects: DataFrame, run: str) -> DataFrame
     return both.select("object_key", F.coalesce("first_run", "run").alias("first_run"), F.coalesce("run", "last_run").alias("last_run"), F.col("run").isNotNull().alias("active"))
 
 
-def work_unit(spark: SparkSession, base: str, source_key: str, sha256: str, source) -> dict:
+class SourceChanged(ValueError):
+    """A source isn't the one that its SHA-256 names."""
+
+
+def source_sha256(spark: SparkSession, path: str) -> str:
+    """The SHA-256 of a file, read in stretches by one task."""
+
+    def summed(frames):
+        for frame in frames:
+            for at in frame["path"]:
+                fs, name = pafs.FileSystem.from_uri(at)
+                own = hashlib.sha256()
+                with fs.open_input_stream(name) as f:
+                    while data := f.read(8 << 20):
+                        own.update(data)
+                yield pd.DataFrame({"sha256": [own.hexdigest()]})
+
+    return spark.createDataFrame([(path,)], "path string").mapInPandas(summed, "sha256 string").first()[0]
+
+
+def work_unit(spark: SparkSession, base: str, source_key: str, sha256: str, source, most_bytes: int | None = None, source_path: str | None = None) -> dict:
     """Bring one source to the lake; a run that ended early goes on from its recorded state.
 
     The unit's id is the source's SHA-256, so the same source gives the same
-    unit. Rejects are written first, then the events; both become visible
-    with the unit's state, which is written last.
+    unit. With ``source_path`` (a URI) the file's own sum is taken before and
+    after it is read, and a source that isn't what it is said to be, or changes
+    meanwhile, fails (SourceChanged). ``most_bytes`` cuts the unit's files by
+    size. Rejects are written first, then the events; both become visible with
+    the unit's state, which is written last.
     """
     store, unit = Store(spark, base), sha256
     name = f"units/{unit}.json"
@@ -317,19 +343,25 @@ def work_unit(spark: SparkSession, base: str, source_key: str, sha256: str, sour
         state.update(more, state=moved(state["state"], s))
         store.write(name, canonical_json(state), replace=True)
 
+    def unchanged() -> None:
+        if source_path and (found := source_sha256(spark, source_path)) != sha256:
+            raise SourceChanged(f"{source_key} has SHA-256 {found}, not {sha256}")
+
     if state["state"] == "source_committed":
         return state
     out = f"{store.base}/objects/{unit}"
     try:
         if state["state"] in ("pending", "failed", "writing"):
             to("writing")
+            unchanged()
             for part in ("data", "rejects"):
                 store.delete(f"objects/{unit}/{part}")
             store.delete(f"objects/{unit}/_manifest.json")
             rejected = quarantine(source, f"{out}/rejects")
             from eventide.sources.files import lake_rows
 
-            manifest = write_lake(lake_rows(source.events), out)
+            manifest = write_lake(lake_rows(source.events), out, most_bytes=most_bytes)
+            unchanged()
             to("validated", rejected=rejected, manifest=manifest)
         for step in ("uploading", "uploaded", "published", "source_committed"):
             if state["state"] != step:

@@ -14,6 +14,7 @@ from eventide.operators import users as us
 from eventide.operators import zaps as za
 from eventide.plans.mapping import AS_OF, AS_OF_DAY, EV, SO, events, social, table
 from eventide.schema import DAY, GENESIS
+from eventide.sources import files as fi
 
 QUERIES: dict = {}
 SQL: dict[str, str] = {}
@@ -104,6 +105,12 @@ def q02_events_total(spark, sf):
     return table(spark, sf, "events").agg(F.count_distinct("event_id").alias("total_events"))
 
 
+@query("SELECT count(*) AS rows, min(event_id) AS min_event_id, max(event_id) AS max_event_id FROM events")
+def s14_footer_count(spark, sf):
+    """The number of rows by metadata alone; q02 counts ids exactly."""
+    return fi.footer_facts(spark, f"{sf}/events.parquet", bounds=("event_id",))
+
+
 @query(SEEN + " SELECT count(*) AS total_pubkeys FROM seen")
 def q03_pubkeys_total(spark, sf):
     return served_seen(spark, sf).agg(F.count("*").alias("total_pubkeys"))

@@ -9,12 +9,16 @@ from eventide.functions import text as tx
 from eventide.functions import time as tm
 from eventide.operators import engagement as en
 from eventide.operators import lifecycle as li
+from eventide.operators import reconcile as rc
 from eventide.operators import rollups as ro
 from eventide.operators import sketches as sk
 from eventide.operators import users as us
 from eventide.operators.relays import insert_missing, replace_rows
 from eventide.plans.mapping import AS_OF, EV, SO, events, social, table
 from eventide.schema import DAY
+from eventide.session import shared
+from eventide.sources import canonical as ca
+from eventide.sources import files as fi
 
 QUERIES: dict = {}
 SQL: dict[str, str] = {}
@@ -41,6 +45,21 @@ def _delta(spark, sf):
     return events(spark, sf).where((F.col("created_at") >= CUT) | (F.col("id") % 17 == 0) | (F.col("id") % 13 == 0))
 
 
+@query(f"WITH {EV} SELECT strftime(day, '%Y-%m-%d') AS day, count(*) AS events, min(created_at) AS first, max(created_at) AS last, count(DISTINCT kind) AS kinds FROM ev GROUP BY 1")
+def k01_canonical_files(spark, sf):
+    """The archive as canonical files, each row twice on the way in; written by the tasks, held to the format's rules, and read back."""
+    hexed = lambda c: F.sha2(F.col(c).cast("string"), 256)
+    own = events(spark, sf).select(hexed("id").alias("id"), hexed("pubkey").alias("pubkey"), "created_at", "kind", F.array(F.array(F.lit("t"), "event_type")).alias("tags"), "content", F.repeat(hexed("id"), 2).alias("sig"))
+    rows, path = fi.lake_rows(own), shared(spark, "canonical")
+    ca.write_canonical(rows.unionAll(rows), path, most_bytes=4 << 20)
+    faults = ca.verify(spark, path).limit(5).collect()
+    if faults:
+        raise ValueError(f"files break the rules: {faults}")
+    at = F.col("created_at").cast("bigint")
+    back = ca.read_canonical(spark, path).groupBy(tm.shown(tm.day(at)).alias("day"))
+    return back.agg(F.count("*").alias("events"), F.min(at).alias("first"), F.max(at).alias("last"), F.count_distinct("kind").alias("kinds"))
+
+
 @query(f"WITH {EV} SELECT id, created_at, kind FROM ev")
 def l01_canonical_dedupe(spark, sf):
     own = events(spark, sf)
@@ -153,6 +172,14 @@ def w09_sync_missing(spark, sf):
     return li.sync_missing(own.where("id % 4 <> 0"), own, AS_OF, 14 * DAY)
 
 
+@query(f"WITH {EV} SELECT id, created_at FROM ev WHERE created_at >= {AS_OF - 14 * DAY} AND (id % 97 = 0 OR (created_at // 3600) % 50 = 0)")
+def w09_reconcile(spark, sf):
+    """What we lack of a peer's window, single ids and whole hours, found by fingerprints of ranges."""
+    own = events(spark, sf, since=AS_OF - 14 * DAY)
+    lost = (F.col("id") % 97 == 0) | (F.floor(F.col("created_at") / 3600) % 50 == 0)
+    return rc.reconcile(own.where(~lost), own, shared(spark, "reconcile")).missing
+
+
 @query(f"WITH {EV} SELECT id, created_at FROM ev WHERE created_at >= {AS_OF - 14 * DAY} AND id % 4 <> 0")
 def w09_sync_prune(spark, sf):
     own = events(spark, sf).select("id", "created_at")

@@ -305,6 +305,25 @@ def lake_with_files(spark: SparkSession, *paths: str) -> DataFrame:
     return _lake(spark, paths).select(*EVENT.names, F.col("_metadata.file_path").alias("file"))
 
 
+def footer_facts(spark: SparkSession, *paths: str, bounds: tuple[str, ...] = ()) -> DataFrame:
+    """One row: rows, and min_ and max_ of the bounds, from the footers of Parquet files; no row group is read.
+
+    The aggregate is pushed into the scan by the second reader, which a session
+    of its own turns on. Bounds are of numbers or dates, whose statistics a
+    footer has exactly; ValueError if Spark would read rows for what is asked.
+    Rows count as they are stored: an id that stands twice counts twice.
+    """
+    own = spark.newSession()
+    own.conf.set("spark.sql.sources.useV1SourceList", "")
+    own.conf.set("spark.sql.parquet.aggregatePushdown", "true")
+    wanted = [F.count("*").alias("rows")] + [f(c).alias(f"{name}_{c}") for c in bounds for name, f in (("min", F.min), ("max", F.max))]
+    out = own.read.parquet(*paths).agg(*wanted)
+    plan = out._jdf.queryExecution().optimizedPlan().toString() + out._jdf.queryExecution().executedPlan().toString()
+    if "PushedAggregation: [COUNT(*)" not in plan:
+        raise ValueError(f"the footers don't hold this: {bounds}")
+    return out
+
+
 def lake_rows(events: DataFrame) -> DataFrame:
     """Hexadecimal events as rows of the lake."""
     out = events.select(F.unhex("id").alias("id"), F.unhex("pubkey").alias("pubkey"), F.col("created_at").cast("decimal(20,0)").alias("created_at"), F.col("kind").cast("int").alias("kind"), "tags", "content", F.unhex("sig").alias("sig"))

@@ -76,7 +76,7 @@ def archive(stream: DataFrame, out: str, checkpoint: str, most_bytes: int = 256
             own = own.join(seen.select("id"), "id", "left_anti").select(batch.columns)
         own.write.mode("overwrite").parquet(f"{out}/pending/batch={number}")
         claimed = spark.read.schema(batch.schema).parquet(f"{out}/pending/batch={number}")
-        sized_parts(claimed, most_bytes, 1).sortWithinPartitions("part", "created_at", "id").write.mode("overwrite").partitionBy("part").parquet(f"{out}/segments/batch={number}")
+        sized_parts(claimed, most_bytes).sortWithinPartitions("part", "created_at", "id").write.mode("overwrite").partitionBy("part").parquet(f"{out}/segments/batch={number}")
         claimed.select("id", day).write.mode("overwrite").partitionBy("day").parquet(f"{out}/archived/batch={number}")
         store.delete(f"pending/batch={number}")
 

@@ -175,7 +175,7 @@ def test_work_unit_goes_on(spark, tmp_path, monkeypatch):
     write(src / "a.jsonl", event("a"), event("b"), "{bad")
     source, base = fi.jsonl(spark, str(src)), str(tmp_path / "lake")
     real = pu.write_lake
-    monkeypatch.setattr(pu, "write_lake", lambda *a: (_ for _ in ()).throw(OSError("lost")))
+    monkeypatch.setattr(pu, "write_lake", lambda *a, **b: (_ for _ in ()).throw(OSError("lost")))
     with pytest.raises(OSError):
         pu.work_unit(spark, base, "a", "f" * 64, source)
     assert json.loads(pu.Store(spark, base).read(f"units/{'f' * 64}.json"))["state"] == "failed"
@@ -184,6 +184,22 @@ def test_work_unit_goes_on(spark, tmp_path, monkeypatch):
     assert (done["state"], done["rejected"], done["manifest"]["rows"]) == ("source_committed", 1, 2) and pu.work_unit(spark, base, "a", "f" * 64, source) == done
 
 
+def test_work_units_by_size_and_sum(spark, tmp_path):
+    """A unit's files keep to the size; a source that isn't the one it is said to be fails."""
+    src, base = tmp_path / "in", str(tmp_path / "lake")
+    src.mkdir()
+    write(src / "a.jsonl", *[event(str(i), at=1000 + i) for i in range(30)])
+    path, source = "file://" + str(src / "a.jsonl"), fi.jsonl(spark, str(src))
+    true = hashlib.sha256((src / "a.jsonl").read_bytes()).hexdigest()
+    assert pu.source_sha256(spark, path) == true
+    with pytest.raises(pu.SourceChanged):
+        pu.work_unit(spark, base, "a", "0" * 64, source, source_path=path)
+    assert json.loads(pu.Store(spark, base).read(f"units/{'0' * 64}.json"))["state"] == "failed" and not pu.Store(spark, base).exists(f"objects/{'0' * 64}/data")
+    done = pu.work_unit(spark, base, "a", true, source, most_bytes=1000, source_path=path)
+    kept = fi.lake_with_files(spark, f"{base}/objects/{true}/data")
+    assert done["state"] == "source_committed" and kept.count() == 30 and kept.select("file").distinct().count() > 5
+
+
 def obj(key, sha="s", low="10", high="20", **more):
     return ca.CatalogObject(key, "u", 0, more.get("size", 10), sha, "w", more.get("rows", 5), low, high)
 
