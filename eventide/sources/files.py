@@ -11,6 +11,7 @@ from dataclasses import dataclass
 from typing import IO
 
 import pyarrow as pa
+import pyarrow.fs as pafs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -247,13 +248,15 @@ def _framed(prefix: str, most: int, message: str):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for files in batches:
-            for path, content in zip(files.column(0).to_pylist(), files.column(1).to_pylist(), strict=True):
+            # Where a stretch of a file comes, its first byte stands beside it.
+            begins = files.column(2).to_pylist() if files.num_columns > 2 else [0] * files.num_rows
+            for path, content, begin in zip(files.column(0).to_pylist(), files.column(1).to_pylist(), begins, strict=True):
                 # Packed content is unpacked as it is read, never whole.
                 stream = io.BytesIO(content)
                 stream = io.BufferedReader(gzip.GzipFile(fileobj=stream)) if content[:2] == b"\x1f\x8b" else stream
                 rows = []
                 for offset, payload, status in frames(stream, prefix, most):
-                    row = {"path": path, "offset": offset, "frame": status}
+                    row = {"path": path, "offset": begin + offset, "frame": status}
                     if status == "ok":
                         try:
                             row |= MESSAGES[message](payload)
@@ -272,7 +275,10 @@ def _framed(prefix: str, most: int, message: str):
 
 
 def _messages(spark: SparkSession, paths: list[str], prefix: str, most: int, signatures: bool, message: str) -> Source:
-    rows = spark.read.format("binaryFile").load(paths).select("path", "content").mapInArrow(_framed(prefix, most, message), _FRAME)
+    return _checked(spark.read.format("binaryFile").load(paths).select("path", "content").mapInArrow(_framed(prefix, most, message), _FRAME), signatures)
+
+
+def _checked(rows: DataFrame, signatures: bool) -> Source:
     checked = validate.check(rows, signatures)
     return Source(checked.withColumn("status", F.when(F.col("frame") != "ok", F.col("frame")).otherwise(F.col("status"))).drop("frame"))
 
@@ -285,13 +291,70 @@ def protobuf(spark: SparkSession, folder: str, limit: int | None = None, most: i
 def segments(spark: SparkSession, folder: str, limit: int | None = None, most: int = 16 << 20, signatures: bool = False, salvage: bool = False, message: str = "note") -> Source:
     """Framed segments (a 32-bit size before each message), gzipped or plain, of packed notes or protobuf messages. Without salvage a segment that is cut off is refused; with it the whole frames before the cut count."""
     out = _messages(spark, list_files(spark, folder, (".seg", ".gz", ".notepack"), limit), "u32", most, signatures, message)
-    if not salvage:
-        broken = [r["path"] for r in out.rows.where("status IN ('truncated', 'oversize')").select("path").distinct().limit(5).collect()]
-        if broken:
-            raise ValueError(f"segments are cut off: {broken}")
+    return out if salvage else _whole(out)
+
+
+def _whole(out: Source) -> Source:
+    """The source; ValueError if one of its segments is cut off."""
+    broken = [r["path"] for r in out.rows.where("status IN ('truncated', 'oversize')").select("path").distinct().limit(5).collect()]
+    if broken:
+        raise ValueError(f"segments are cut off: {broken}")
     return out
 
 
+def frame_index(spark: SparkSession, folder: str, every: int = 8 << 20, most: int = 16 << 20, limit: int | None = None) -> DataFrame:
+    """Where plain segments can be cut: path, size, first and last (byte) of stretches of whole frames of about ``every`` bytes.
+
+    A task goes through a file's frame sizes and skips what is between; the
+    last stretch goes to the end of the file, with whatever is cut off there.
+    Gzipped segments can't be cut and are one stretch. To be kept beside the
+    segments; a file of another size than it had then is refused.
+    """
+    paths = list_files(spark, folder, (".seg", ".gz", ".notepack"), limit)
+
+    def walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for path in batch.column(0).to_pylist():
+                fs, at = pafs.FileSystem.from_uri(path)
+                with fs.open_input_file(at) as f:
+                    size, cuts = f.size(), [0]
+                    packed = f.read(2) == b"\x1f\x8b"
+                    place = size if packed else 0
+                    while place + 4 <= size:
+                        f.seek(place)
+                        n = int.from_bytes(f.read(4), "little")
+                        if n > most or place + 4 + n > size:
+                            break
+                        place += 4 + n
+                        if place - cuts[-1] >= every and place < size:
+                            cuts.append(place)
+                ends = [*cuts[1:], size]
+                yield pa.RecordBatch.from_arrays([pa.array([path] * len(cuts)), pa.array([size] * len(cuts), pa.int64()), pa.array(cuts, pa.int64()), pa.array(ends, pa.int64())], names=["path", "size", "first", "last"])
+
+    files = spark.createDataFrame([(p,) for p in paths], "path string").repartition(max(1, len(paths)), "path")
+    return files.mapInArrow(walk, "path string, size long, first long, last long")
+
+
+def indexed_segments(index: DataFrame, most: int = 16 << 20, signatures: bool = False, salvage: bool = False, message: str = "note", tasks: int | None = None) -> Source:
+    """Segments by their index, each stretch read by itself: the same rows, rejects and offsets as :func:`segments` has, in as many tasks as there are stretches, or ``tasks``."""
+    n = tasks or max(1, min(index.count(), 100_000))
+    decode = _framed("u32", most, message)
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for path, size, first, last in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                fs, at = pafs.FileSystem.from_uri(path)
+                with fs.open_input_file(at) as f:
+                    if f.size() != size:
+                        raise ValueError(f"{path} has {f.size()} bytes, {size} when it was indexed")
+                    f.seek(first)
+                    yield pa.RecordBatch.from_arrays([pa.array([path]), pa.array([f.read(last - first)], pa.large_binary()), pa.array([first])], names=["path", "content", "first"])
+
+    dealt = index.select("path", "size", "first", "last").repartition(n, "path", "first")
+    out = _checked(dealt.mapInArrow(lambda batches: decode(read(batches)), _FRAME), signatures)
+    return out if salvage else _whole(out)
+
+
 def _lake(spark: SparkSession, paths: tuple[str, ...]) -> DataFrame:
     return spark.read.schema(EVENT).option("mergeSchema", "false").parquet(*paths)
 
