@@ -92,6 +92,44 @@ def compare_summary(compared: DataFrame) -> DataFrame:
     return compared.agg(F.count("*").alias("keys"), n("equal"), n("different"), n("only_left"), n("only_right"))
 
 
+def compare_scalars(left: DataFrame, right: DataFrame) -> DataFrame:
+    """Two rows of numbers by name: name, both values, their difference and a class; a name on one side only has null on the other."""
+
+    def named(df: DataFrame, value: str) -> DataFrame:
+        each = [F.struct(F.lit(c).alias("name"), F.col(c).cast("decimal(38,6)").alias(value)) for c in df.columns]
+        return df.limit(1).select(F.explode(F.array(*each)).alias("x")).select("x.*")
+
+    both = compare_series(named(left, "v"), named(right, "v"), ["name"], "v")
+    return both.select("name", "left_value", "right_value", (F.col("right_value") - F.col("left_value")).alias("difference"), "class")
+
+
+def residual(missing: DataFrame, versions: DataFrame, live_since: int) -> DataFrame:
+    """Each missing id with what the other store knows of it, and a class.
+
+    versions: id, created_at, kind, indexed_at and source of every stored
+    version. The newest version's fields count, and when the first came:
+    before_live if that was before both stores were fed alike (a divergence of
+    old), after_live if not (an omission since), unknown if no version is known.
+    """
+    newest = lambda c: F.max_by(c, F.struct("indexed_at", "created_at", "kind")).alias(c)
+    own = versions.join(missing.select("id").distinct(), "id", "left_semi").groupBy("id").agg(newest("created_at"), newest("kind"), newest("source"), F.min("indexed_at").alias("first_indexed_at"), F.max("indexed_at").alias("last_indexed_at"), F.count("*").alias("versions"))
+    kind = F.when(F.col("versions").isNull(), "unknown").when(F.col("first_indexed_at") < live_since, "before_live").otherwise("after_live")
+    return missing.select("id").distinct().join(own, "id", "left").withColumn("class", kind)
+
+
+def residual_summary(classed: DataFrame) -> DataFrame:
+    """By class: ids, their share in percent, stored versions, and the time between event and first index, the middle one and the longest."""
+    late = F.col("first_indexed_at") - F.col("created_at")
+    own = classed.groupBy("class").agg(F.count("*").alias("ids"), F.coalesce(F.sum("versions"), F.lit(0)).cast("bigint").alias("versions"), F.expr("percentile_disc(0.5) WITHIN GROUP (ORDER BY first_indexed_at - created_at)").alias("late_p50"), F.max(late).alias("late_max"))
+    # One row of totals.
+    return own.join(F.broadcast(own.agg(F.sum("ids").alias("all")))).withColumn("percent", F.col("ids") * 100.0 / F.col("all")).drop("all")
+
+
+def attribution(classed: DataFrame, by: str) -> DataFrame:
+    """How many of the ids fall on each value of a column, by class."""
+    return classed.groupBy("class", F.col(by).cast("string").alias("value")).agg(F.count("*").alias("ids"))
+
+
 def examples(compared: DataFrame, n: int = 20) -> DataFrame:
     """The first differences by key."""
     keys = [c for c in compared.columns if c not in ("left_value", "right_value", "class")]

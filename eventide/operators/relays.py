@@ -70,6 +70,21 @@ def listing(relays: DataFrame, scored: DataFrame, hourly: DataFrame, as_of: int,
     return ranked.offset(offset).limit(limits(limit, 100, 1000))
 
 
+def listing_with_total(relays: DataFrame, scored: DataFrame, hourly: DataFrame, as_of: int, status: str | None = None, tier: str | None = None, **page) -> DataFrame:
+    """The page, and beside each row how many relays the filters leave in all; a page behind the end is empty."""
+    own = relays
+    for name, value in (("status", status), ("tier", tier)):
+        own = own if value is None else own.where(F.col(name) == value)
+    # One row.
+    return listing(relays, scored, hourly, as_of, status, tier, **page).join(F.broadcast(own.agg(F.count("*").alias("total"))))
+
+
+def catalog_gauges(catalog: DataFrame, nip: str = "77") -> DataFrame:
+    """One row: relays in the catalog, those with a URL that have the feature, and monitors."""
+    able = (F.col("relay_id_kind") == "url") & tx.delimited_has(F.col("supported_nips"), nip)
+    return catalog.agg(F.count_distinct("relay_id").alias("known"), F.count_distinct(F.when(able, F.col("relay_id"))).alias("reconcilable"), F.count_distinct("monitor_pubkey").alias("monitors"))
+
+
 def throughput(hourly: DataFrame, as_of: int, hours: int = 24) -> DataFrame:
     since = as_of - limits(hours, 24, 168) * HOUR
     own = hourly.where(F.col("hour_start") >= since - since % HOUR)

@@ -11,7 +11,10 @@ from __future__ import annotations
 
 import json
 import tempfile
+import threading
+import time
 from collections.abc import Callable
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
@@ -71,3 +74,62 @@ def product(spark: SparkSession, name: str, paths: list[str], build: Callable[[]
             schema = T.StructType.fromJson(json.loads(Store(spark, base).read(f"{now['folder']}/evidence.json"))["schema"])
             return spark.read.schema(schema).parquet(f"{base}/{now['folder']}/{name}")
     return build()  # sources that change all the time
+
+
+@dataclass(frozen=True)
+class Answer:
+    """Rows of a finished query, a tag that changes with them, and when they were made."""
+
+    rows: tuple
+    etag: str
+    made: float
+
+
+class Answers:
+    """Finished answers by key, kept for so many seconds each; of several that ask at once for one that is missing, one computes it and the others wait.
+
+    For answers as small as a page: a query of over ``MOST_ROWS`` rows is refused
+    rather than gathered. A query that fails is not kept, and the next one tries.
+    """
+
+    MOST_ROWS = 10_000
+
+    def __init__(self, clock: Callable[[], float] = time.monotonic):
+        self.clock, self.lock = clock, threading.Lock()
+        self.held: dict[str, tuple[Answer, float]] = {}
+        self.busy: dict[str, threading.Lock] = {}
+
+    def _fresh(self, key: str) -> Answer | None:
+        found = self.held.get(key)
+        return found[0] if found and self.clock() < found[0].made + found[1] else None
+
+    def get(self, key: str, seconds: float, query: Callable[[], DataFrame]) -> Answer:
+        with self.lock:
+            if (found := self._fresh(key)) is not None:
+                return found
+            own = self.busy.setdefault(key, threading.Lock())
+        with own:
+            # Whoever was first may have made it while this one waited.
+            with self.lock:
+                if (found := self._fresh(key)) is not None:
+                    return found
+            rows = tuple(query().limit(self.MOST_ROWS + 1).collect())
+            if len(rows) > self.MOST_ROWS:
+                raise ValueError(f"{key} has over {self.MOST_ROWS} rows")
+            made = Answer(rows, digest([[str(v) for v in r] for r in rows])[:32], self.clock())
+            with self.lock:
+                self.held[key] = made, seconds
+                self.busy.pop(key, None)
+                # What is over goes, so keys that nobody asks for again don't stay.
+                for k in [k for k, (a, s) in self.held.items() if self.clock() >= a.made + s]:
+                    del self.held[k]
+            return made
+
+    def if_changed(self, key: str, seconds: float, query: Callable[[], DataFrame], etag: str | None) -> Answer | None:
+        """The answer, or None if the one who asks has it already."""
+        found = self.get(key, seconds, query)
+        return None if found.etag == etag else found
+
+    def forget(self, key: str) -> None:
+        with self.lock:
+            self.held.pop(key, None)

@@ -458,3 +458,13 @@ def q32_batch_lookup(spark, sf):
     # The keys are a literal list.
     own = events(spark, sf).where("kind < 50").join(F.broadcast(keys), "pubkey", "left_semi")
     return own.groupBy("pubkey").agg(F.max_by("content", F.struct("created_at", "id")).alias("content"))
+
+
+@query("SELECT c_custkey AS pubkey, c_name AS display_name FROM customer WHERE c_custkey % 3 <> 0 UNION ALL SELECT c_custkey, concat('new ', c_name) FROM customer WHERE c_custkey % 3 = 0 AND c_custkey % 2 = 0")
+def q32_display_names(spark, sf):
+    """Names of all authors from their newest profiles: customers as profiles, every third with a second one, some of these without a name."""
+    c = table(spark, sf, "customer").select(F.col("c_custkey").alias("pubkey"), "c_name", F.lit(0).alias("kind"))
+    first = c.select("pubkey", "kind", (F.col("pubkey") * 2).alias("id"), F.lit(1000).alias("created_at"), F.to_json(F.struct(F.col("c_name").alias("name"))).alias("content"))
+    name = F.when(F.col("pubkey") % 2 == 0, F.concat(F.lit("new "), "c_name"))
+    second = c.where("pubkey % 3 = 0").select("pubkey", "kind", (F.col("pubkey") * 2 + 1).alias("id"), F.lit(2000).alias("created_at"), F.to_json(F.struct(name.alias("display_name"))).alias("content"))
+    return en.display_names(first.unionByName(second))

@@ -7,10 +7,12 @@ from pyspark.sql import functions as F
 from eventide.functions import tags as tg
 from eventide.functions import text as tx
 from eventide.functions import time as tm
+from eventide.operators import compact as co
 from eventide.operators import engagement as en
 from eventide.operators import lifecycle as li
 from eventide.operators import reconcile as rc
 from eventide.operators import rollups as ro
+from eventide.operators import sharded as sh
 from eventide.operators import sketches as sk
 from eventide.operators import users as us
 from eventide.operators.relays import insert_missing, replace_rows
@@ -260,3 +262,61 @@ def a13_sketch_days(spark, sf):
 @query()
 def a03_approximate(spark, sf):
     return sk.approximate(events(spark, sf), F.col("kind"))
+
+
+def _hexed(spark, sf):
+    return events(spark, sf).select(F.sha2(F.col("id").cast("string"), 256).alias("id"), F.col("id").alias("nr"))
+
+
+@query("""SELECT sha256(CAST(event_id AS VARCHAR)) AS id, CASE WHEN event_id % 701 = 0 THEN 'only_right' ELSE 'only_left' END AS side FROM events WHERE (event_id % 701 = 0) <> (event_id % 499 = 0)""")
+def l13_resumed_compare(spark, sf):
+    """Ids of one side only, by a comparison that is stopped after its first round and goes on."""
+    own, work = _hexed(spark, sf), shared(spark, "compare")
+    sides = own.where("nr % 701 <> 0").select("id"), own.where("nr % 499 <> 0").select("id")
+    sh.compare(*sides, work, few=20_000, rounds=1, at_once=8)
+    if not sh.compare(*sides, work, few=20_000):
+        raise ValueError("prefixes are open")
+    return sh.differences(spark, work)
+
+
+@query(f"WITH {EV} SELECT kind % 10 AS digit, count(*) AS events, min(created_at) AS first, max(created_at) AS last FROM ev GROUP BY 1")
+def l05_compaction(spark, sf):
+    """The archive as four additions that overlap, merged by levels, read back."""
+    own, base = events(spark, sf), shared(spark, "levels")
+    hexed = lambda c: F.sha2(F.col(c).cast("string"), 256)
+    rows = fi.lake_rows(own.select(hexed("id").alias("id"), hexed("pubkey").alias("pubkey"), "created_at", "kind", F.array(F.array(F.lit("n"), F.col("id").cast("string"))).alias("tags"), "content", F.repeat(hexed("id"), 2).alias("sig")))
+    nr = F.get(F.get("tags", F.lit(0)), F.lit(1)).cast("bigint")
+    for i in range(4):
+        co.add(spark, base, rows.where((nr % 4 == i) | (nr % 50 == 0)))
+    co.compact(spark, base, fan_in=3, most_per_level=1)
+    at = F.col("created_at").cast("bigint")
+    return co.read(spark, base).groupBy((F.col("kind") % 10).alias("digit")).agg(F.count("*").alias("events"), F.min(at).alias("first"), F.max(at).alias("last"))
+
+
+@query(f"""WITH {EV}, b AS (SELECT * FROM ev WHERE id % 31 <> 0), t AS (SELECT unnest(['events', 'pubkeys', 'kinds', 'latest']) AS name, unnest([(SELECT count(*) FROM ev), (SELECT count(DISTINCT pubkey) FROM ev), (SELECT count(DISTINCT kind) FROM ev), (SELECT max(created_at) FROM ev)]) AS l,
+unnest([(SELECT count(*) FROM b), (SELECT count(DISTINCT pubkey) FROM b), (SELECT count(DISTINCT kind) FROM b), (SELECT max(created_at) FROM b)]) AS r) SELECT name, l AS left_value, r AS right_value, r - l AS difference, CASE WHEN l = r THEN 'equal' ELSE 'different' END AS class FROM t""")
+def l12_scalar_diff(spark, sf):
+    facts = lambda df: df.agg(F.count("*").alias("events"), F.count_distinct("pubkey").alias("pubkeys"), F.count_distinct("kind").alias("kinds"), F.max("created_at").alias("latest"))
+    own = events(spark, sf)
+    out = li.compare_scalars(facts(own), facts(own.where("id % 31 <> 0")))
+    return out.select("name", *[F.col(c).cast("bigint").alias(c) for c in ("left_value", "right_value", "difference")], "class")
+
+
+def _classed(spark, sf):
+    """Events that a copy lacks; two versions are known of every other one, none of some."""
+    own = events(spark, sf)
+    versions = own.where("id % 11 <> 0").select("id", "created_at", "kind", (F.col("created_at") + F.col("id") % 1000).alias("indexed_at"), F.col("event_type").alias("source"))
+    again = versions.where("id % 2 = 0").withColumn("indexed_at", F.col("indexed_at") + 5000).withColumn("source", F.lit("again"))
+    return li.residual(own.where("id % 7 = 0").select("id"), versions.unionByName(again), CUT)
+
+
+@query(f"""WITH {EV}, m AS (SELECT id, created_at + id % 1000 AS first, created_at, id % 11 = 0 AS lost, id % 2 = 0 AS twice FROM ev WHERE id % 7 = 0), c AS (SELECT *, CASE WHEN lost THEN 'unknown' WHEN first < {CUT} THEN 'before_live' ELSE 'after_live' END AS class FROM m)
+SELECT class, count(*) AS ids, CAST(sum(CASE WHEN lost THEN 0 WHEN twice THEN 2 ELSE 1 END) AS BIGINT) AS versions, coalesce(quantile_disc(first - created_at, 0.5) FILTER (NOT lost), -1) AS late_p50, coalesce(max(first - created_at) FILTER (NOT lost), -1) AS late_max, round(count(*) * 100.0::DOUBLE / (SELECT count(*) FROM m), 6) AS percent FROM c GROUP BY 1""")
+def l15_residual(spark, sf):
+    late = {c: F.coalesce(F.col(c).cast("bigint"), F.lit(-1)) for c in ("late_p50", "late_max")}
+    return li.residual_summary(_classed(spark, sf)).withColumns(late | {"percent": F.round(F.col("percent").cast("double"), 6)})
+
+
+@query(f"""WITH {EV}, m AS (SELECT id, CASE WHEN id % 11 = 0 THEN 'unknown' WHEN created_at + id % 1000 < {CUT} THEN 'before_live' ELSE 'after_live' END AS class, CASE WHEN id % 11 = 0 THEN NULL WHEN id % 2 = 0 THEN 'again' ELSE event_type END AS value FROM ev WHERE id % 7 = 0) SELECT class, value, count(*) AS ids FROM m GROUP BY 1, 2""")
+def l15_attribution(spark, sf):
+    return li.attribution(_classed(spark, sf), "source")

@@ -136,16 +136,31 @@ CATALOG = f"""catalog AS (SELECT concat('wss://relay', CAST(ps AS VARCHAR), '.ex
 CASE WHEN q % 5 = 0 THEN NULL ELSE q END AS rtt_open, {AS_OF} - q * 1000 AS observed_at FROM (SELECT l_suppkey AS ps, l_linenumber AS m, CAST(max(l_quantity) AS INT) AS q FROM lineitem GROUP BY 1, 2))"""
 
 
-@query(f"""WITH {CATALOG} SELECT relay_id, min(rtt_open) AS rtt FROM catalog WHERE relay_id_kind = 'url' AND observed_at >= {AS_OF - DAY} GROUP BY 1
-HAVING count(*) FILTER (concat(',', supported_nips, ',') LIKE '%,77,%') >= 2 AND count(*) FILTER (concat(',', requirements, ',') LIKE '%,payment,%') = 0 ORDER BY min(rtt_open) IS NULL, 2, 1 LIMIT 30""")
-def m19_catalog_targets(spark, sf):
+def catalog(spark, sf):
     own = table(spark, sf, "lineitem").groupBy("l_suppkey", "l_linenumber").agg(F.max("l_quantity").cast("int").alias("q"))
     q = F.col("q")
-    catalog = own.select(
+    return own.select(
         F.concat(F.lit("wss://relay"), F.col("l_suppkey").cast("string"), F.lit(".example")).alias("relay_id"), F.lit("url").alias("relay_id_kind"), F.when(q % 3 == 0, "1,11").otherwise("1,77,11").alias("supported_nips"),
-        F.when(q % 29 == 0, "auth,payment").otherwise("auth").alias("requirements"), F.when(q % 5 == 0, F.lit(None)).otherwise(q).alias("rtt_open"), (F.lit(AS_OF) - q * 1000).alias("observed_at"),
+        F.when(q % 29 == 0, "auth,payment").otherwise("auth").alias("requirements"), F.when(q % 5 == 0, F.lit(None)).otherwise(q).alias("rtt_open"), (F.lit(AS_OF) - q * 1000).alias("observed_at"), F.col("l_linenumber").alias("monitor_pubkey"),
     )
-    return re.catalog_targets(catalog, AS_OF, 30, 2, DAY)
+
+@query(f"""{ALL}, h AS (SELECT relay_url, CAST(sum(events_received) AS BIGINT) AS r, CAST(sum(events_novel) AS BIGINT) AS n FROM hourly WHERE hour_start >= {LAST} AND hour_start < {END} GROUP BY 1)
+SELECT url, status, tier, score, coalesce(r, 0) AS events_last_hour, coalesce(n, 0) AS novel_events_last_hour, (SELECT count(*) FROM relays WHERE status = 'active') AS total
+FROM relays LEFT JOIN scores ON url = scores.relay_url LEFT JOIN h ON url = h.relay_url WHERE status = 'active' ORDER BY coalesce(r, 0) DESC, url LIMIT 10 OFFSET 3""")
+def t03_relay_page(spark, sf):
+    """A page of the active relays, the busiest first, with their number in all."""
+    return re.listing_with_total(relays(spark, sf), scored(spark, sf), hourly(spark, sf), AS_OF, status="active", sort_by="events", limit=10, offset=3)
+
+
+@query(f"WITH {CATALOG} SELECT count(DISTINCT relay_id) AS known, count(DISTINCT relay_id) FILTER (relay_id_kind = 'url' AND concat(',', supported_nips, ',') LIKE '%,77,%') AS reconcilable, count(DISTINCT monitor_pubkey) AS monitors FROM catalog")
+def q35_catalog_gauges(spark, sf):
+    return re.catalog_gauges(catalog(spark, sf))
+
+
+@query(f"""WITH {CATALOG} SELECT relay_id, min(rtt_open) AS rtt FROM catalog WHERE relay_id_kind = 'url' AND observed_at >= {AS_OF - DAY} GROUP BY 1
+HAVING count(*) FILTER (concat(',', supported_nips, ',') LIKE '%,77,%') >= 2 AND count(*) FILTER (concat(',', requirements, ',') LIKE '%,payment,%') = 0 ORDER BY min(rtt_open) IS NULL, 2, 1 LIMIT 30""")
+def m19_catalog_targets(spark, sf):
+    return re.catalog_targets(catalog(spark, sf), AS_OF, 30, 2, DAY)
 
 
 @query(f"""WITH {HOURLY} SELECT relay_url, hour_start, CAST(sum(events_received) AS BIGINT) AS events_received, CAST(sum(events_novel) AS BIGINT) AS events_novel FROM (SELECT * FROM hourly UNION ALL SELECT * FROM hourly WHERE hour_start >= {AS_OF - DAY}) GROUP BY 1, 2""")

@@ -135,3 +135,29 @@ def test_first_queries_of_one_product(spark, tmp_path):
     build = lambda: spark.read.parquet(source).selectExpr("count(*) AS n")
     got = at_once(*[lambda: sv.product(spark, "both", [source], build, 1).first().n for _ in range(3)])
     assert got == [7, 7, 7]
+
+
+def test_answers_expire_and_are_made_once(spark):
+    now, asked = [0.0], []
+    answers = sv.Answers(lambda: now[0])
+
+    def query(n=3):
+        asked.append(1)
+        return spark.range(n)
+
+    got = at_once(*[lambda: answers.get("k", 10, query) for _ in range(4)])
+    assert len(asked) == 1 and len({id(x) for x in got}) == 1 and [r.id for r in got[0].rows] == [0, 1, 2]
+    assert answers.if_changed("k", 10, query, got[0].etag) is None and len(asked) == 1
+    now[0] = 10
+    same = answers.get("k", 10, query)
+    assert len(asked) == 2 and same.etag == got[0].etag
+    answers.forget("k")
+    assert answers.if_changed("k", 10, lambda: query(4), same.etag).etag != same.etag
+    with pytest.raises(Exception, match="injected"):
+        answers.get("bad", 10, lambda: spark.sql("SELECT raise_error('injected')"))
+    assert answers.get("bad", 10, query).rows and len(answers.held) == 2
+    with pytest.raises(ValueError, match="rows"):
+        answers.get("long", 10, lambda: query(20_000))
+    now[0] = 99
+    answers.get("k", 10, query)
+    assert set(answers.held) == {"k"}
