@@ -9,7 +9,7 @@ one-word extension between the two, so extensions are enough for any length.
 
 Most n-grams of a corpus are rare, and none of these decides anything: what is
 asked for are candidates and their parts, all found ``least`` times. So n-grams
-are first counted as 64-bit hashes, words, then pairs, then longer ones, each
+are first counted as 40-bit hashes, words, then pairs, then longer ones, each
 only where both n-grams inside it that are one word shorter were found often
 enough. The hashes found ``least`` times set bits of a filter of fixed size for
 each length, and the n-grams that pass are exploded as strings and counted. A
@@ -39,6 +39,8 @@ from eventide.llm.common import load, mix64, salted_join, shared_path
 MAX_N, LEAST, SHARE, TOP = 3, 10, 50, 2000
 #: Bytes of text at once, hashes that a task sums before they go out, bits of the filter (a power of two).
 STRETCH, HELD, BITS = 2 << 20, 2 << 20, 1 << 26
+#: Bits of a hash that are counted, and the bit from which the filter's second place is taken.
+COUNTED, SECOND = 40, 14
 #: Texts that are joined at once.
 TEXTS = 2000
 #: Parts of a language that are ranked by themselves first.
@@ -123,7 +125,13 @@ def texts_of(docs: DataFrame) -> DataFrame:
 
 
 def _passes(bits: np.ndarray, h: np.ndarray) -> np.ndarray:
-    return np.logical_and.reduce([bits[b >> np.uint64(6)] >> (b & np.uint64(63)) & np.uint64(1) > 0 for b in (h & np.uint64(BITS - 1), h >> np.uint64(32) & np.uint64(BITS - 1))])
+    own = _counted_as(h)
+    return np.logical_and.reduce([bits[b >> np.uint64(6)] >> (b & np.uint64(63)) & np.uint64(1) > 0 for b in (own & np.uint64(BITS - 1), own >> np.uint64(SECOND) & np.uint64(BITS - 1))])
+
+
+def _counted_as(h: np.ndarray) -> np.ndarray:
+    """What goes through the shuffle for a hash: fewer bits, of which most rows consist."""
+    return h >> np.uint64(64 - COUNTED)
 
 
 def frequent_bits(texts: DataFrame, size: int, shorter: Broadcast | None, least: int) -> np.ndarray:
@@ -140,12 +148,12 @@ def frequent_bits(texts: DataFrame, size: int, shorter: Broadcast | None, least:
         for _, own in grams(batches, size):
             if size == 1:
                 n = np.bincount(own.ids[own.skip :][own.whole[own.skip :]], minlength=own.distinct)
-                yield pa.RecordBatch.from_arrays([pa.array(own.word_hashes[n > 0].view(np.int64)), pa.array(n[n > 0])], names=["h", "n"])
+                yield pa.RecordBatch.from_arrays([pa.array(_counted_as(own.word_hashes[n > 0]).view(np.int64)), pa.array(n[n > 0])], names=["h", "n"])
                 continue
             good = None
             for n, at, h, new in own:
                 if n == size:
-                    held.append(h[at[new & good[at] & good[at + 1]]])
+                    held.append(_counted_as(h[at[new & good[at] & good[at + 1]]]))
                     n_held += len(held[-1])
                 elif n == size - 1:
                     good = _passes(shorter.value, h)
@@ -156,7 +164,7 @@ def frequent_bits(texts: DataFrame, size: int, shorter: Broadcast | None, least:
             yield from out()
 
     often = texts.mapInArrow(hashed, "h long, n long").groupBy("h").agg(F.sum("n").alias("n")).where(F.col("n") >= least)
-    places = F.array(F.col("h").bitwiseAND(BITS - 1), F.shiftrightunsigned("h", 32).bitwiseAND(BITS - 1))
+    places = F.array(F.col("h").bitwiseAND(BITS - 1), F.shiftrightunsigned("h", SECOND).bitwiseAND(BITS - 1))
     words = often.select(F.explode(places).alias("b")).groupBy(F.shiftright("b", 6).alias("word")).agg(F.expr("bit_or(shiftleft(1L, cast(b & 63 AS int)))").alias("bits"))
     # A row for each 64 bits of the filter at most, whatever the corpus.
     found, out = words.toArrow(), np.zeros(BITS // 64, np.uint64)
