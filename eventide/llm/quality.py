@@ -37,7 +37,8 @@ from pyspark.sql import types as T
 
 from eventide.llm.common import load
 
-COMMON = 60
+#: Common words of a language, and parts of its words that are ranked by themselves.
+COMMON, PARTS = 60, 64
 #: Different words that a task counts before they go out, and documents whose distances are taken at once.
 HELD, ROWS = 300_000, 256
 #: Least characters and words for a histogram to be judged.
@@ -136,8 +137,10 @@ def references(docs: DataFrame) -> tuple[list[str], np.ndarray, list[bytes], np.
 
     texts = docs.select(F.col("lang").cast("string").alias("lang"), F.col("text").cast("string").alias("text")).where("lang IS NOT NULL AND text IS NOT NULL")
     sums = texts.mapInArrow(count, "lang string, kind string, word binary, n long").groupBy("lang", "kind", "word").agg(F.sum("n").alias("n"))
-    nth = F.row_number().over(Window.partitionBy("lang", "kind").orderBy(F.desc("n"), "word"))
-    rows = sums.withColumn("nth", nth).where(F.col("nth") <= COMMON).collect()
+    most = lambda df, *by: df.withColumn("nth", F.row_number().over(Window.partitionBy(*by).orderBy(F.desc("n"), "word"))).where(F.col("nth") <= COMMON)
+    # Of each of a language's parts first, so that what is left to rank doesn't grow with the tasks.
+    parts = most(sums.withColumn("part", F.pmod(F.xxhash64("word"), F.lit(PARTS))), "lang", "kind", "part")
+    rows = most(parts, "lang", "kind").collect()
     langs = sorted({r["lang"] for r in rows})
     at = {x: i for i, x in enumerate(langs)}
     common = sorted({bytes(r["word"]) for r in rows if r["kind"] == "w"})
