@@ -38,8 +38,6 @@ from eventide.llm.common import crc_mod, load
 
 #: Documents of a language; up to 1000 of them Spark takes from each task before it shuffles.
 PER_LANG, SWITCH, BITS, KEPT = 1000, 12.0, 16, 100_000
-#: Parts that the ids of a language are dealt into before its lowest are taken.
-PARTS = 256
 #: Words of a document that are labelled one after the other; stretches of longer ones go side by side.
 STRETCH = 1024
 #: Least share of a language's training words in a script for it to be a candidate.
@@ -219,12 +217,28 @@ class Model:
         return out
 
 
+def lowest(usable: DataFrame, most: int) -> DataFrame:
+    """The ``most`` rows of each language with the lowest hashes of doc_id.
+
+    A language's count says below which hash about twice as many lie, so a
+    frequent language leaves no more rows to be ranked than a rare one. Should
+    too few lie there in any language, all rows are ranked.
+    """
+    h = F.xxhash64("doc_id")
+    # A row for each language, as the model has.
+    n = usable.groupBy("lang").agg(F.count("*").alias("n"))
+    at = h.cast("double") / 2.0**64 + 0.5
+    near = usable.join(F.broadcast(n), "lang").where(at <= F.least(F.lit(1.0), F.lit(2.0 * most) / F.col("n")))
+    short = near.groupBy("lang").agg(F.count("*").alias("near"), F.first("n").alias("n")).join(n.select("lang"), "lang", "right").where(F.coalesce("near", F.lit(0)) < F.least("n", F.lit(most)))
+    rows = near.drop("n") if short.isEmpty() else usable
+    nth = F.row_number().over(Window.partitionBy("lang").orderBy(h, "doc_id"))
+    return rows.withColumn("nth", nth).where(F.col("nth") <= most).drop("nth")
+
+
 def train(docs: DataFrame) -> Model:
     """Fit on the bounded sample; the driver gets counts for each language only."""
     usable = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("lang").cast("string").alias("lang")).where("doc_id IS NOT NULL AND lang IS NOT NULL").where(crc_mod(4) != 2)
-    # The lowest of a language are among the lowest of its parts, so no task gets all of a frequent language.
-    lowest = lambda df, *by: df.withColumn("nth", F.row_number().over(Window.partitionBy("lang", *by).orderBy(F.xxhash64("doc_id"), "doc_id"))).where(F.col("nth") <= PER_LANG).drop("nth")
-    sample = lowest(lowest(usable.withColumn("part", F.pmod(F.hash("doc_id"), F.lit(PARTS))), "part").drop("part"))
+    sample = lowest(usable, PER_LANG)
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("lang").alias("own"), F.col("text").cast("string").alias("text"))
     # A bounded number of ids for each language; the texts are gathered in few partitions, so few counts go to the driver.
     chosen = texts.join(F.broadcast(sample), "doc_id").where("lang = own").select("lang", "text").repartition(8)

@@ -678,3 +678,15 @@ def test_pipeline_stages(spark, corpus, tmp_path):
     rows = corpus_pipeline.run(spark, str(tmp_path)).collect()
     whole = spark.read.parquet(str(tmp_path / "packing"))
     assert len(rows) == whole.count() and {r.doc_id for r in rows} == {r.doc_id for r in whole.collect()}
+
+
+def test_lowest_ids_of_a_language(spark):
+    """The training ids by a threshold are those of a whole ranking, for frequent and rare languages."""
+    from eventide.llm import language_id
+
+    usable = spark.range(5000).select(F.col("id").alias("doc_id"), F.when(F.col("id") % 50 == 0, "b").otherwise("a").alias("lang"))
+    hashed = [tuple(r) for r in usable.select("lang", F.xxhash64("doc_id"), "doc_id").collect()]
+    for most in (3, 90, 1000, 50_000):
+        want = {(x, d) for x in "ab" for _, _, d in sorted(r for r in hashed if r[0] == x)[:most]}
+        assert {(r.lang, r.doc_id) for r in language_id.lowest(usable, most).collect()} == want
+    assert language_id.lowest(usable.limit(0), 5).collect() == []
