@@ -28,6 +28,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, Window
@@ -42,7 +43,7 @@ STRETCH, HELD, BITS = 2 << 20, 2 << 20, 1 << 26
 #: Bits of a hash that are counted, and the bit from which the filter's second place is taken.
 COUNTED, SECOND = 40, 14
 #: Texts that are joined at once.
-TEXTS = 2000
+TEXTS = 4000
 #: Parts of a language that are ranked by themselves first.
 PARTS = 64
 
@@ -65,9 +66,9 @@ class Grams:
     """The n-grams of a stretch. ``words`` begins with ``skip`` words of the stretch before it; n-grams of these alone were counted there."""
 
     def __init__(self, words: list[bytes], skip: int, lang: str, max_n: int):
-        self.words, self.skip, self.max_n = words, skip, max_n
+        self.skip, self.max_n = skip, max_n
         place = {w: i for i, w in enumerate(dict.fromkeys(words))}
-        self.distinct = len(place)
+        self.distinct, self.dictionary = len(place), pa.array(list(place), pa.binary())
         self.ids = np.fromiter(map(place.__getitem__, words), np.int64, len(words))
         self.whole = self.ids != place.get(b".", -1)
         seed = xxhash.xxh64_intdigest(lang.encode("utf-8", "surrogatepass"))
@@ -85,7 +86,7 @@ class Grams:
             yield n, at, h, at + n > self.skip
 
     def counted(self, passes):
-        """n, the phrases (as bytes) whose hash passes, and how often each is new here. A phrase passes only if the one without its last word does."""
+        """n, the phrases (binary) whose hash passes, and how often each is new here. A phrase passes only if the one without its last word does."""
         codes, good = self.ids, None
         for n, at, h, new in self:
             if n > 1:
@@ -100,7 +101,8 @@ class Grams:
             codes, good = np.zeros(len(codes), np.int64), np.zeros(len(codes), bool)
             codes[at], good[at] = code, True
             own = np.flatnonzero(count > 0)
-            yield n, [b" ".join(self.words[i : i + n]) for i in at[first[own]].tolist()], count[own]
+            each = [self.dictionary.take(pa.array(self.ids[at[first[own]] + i])) for i in range(n)]
+            yield n, each[0] if n == 1 else pc.binary_join_element_wise(*each, pa.scalar(b" ", pa.binary())), count[own]
 
 
 def grams(batches, max_n: int):
@@ -181,11 +183,12 @@ def counts(docs: DataFrame, max_n: int, least: int) -> DataFrame:
     def exploded(batches):
         bits = [f.value for f in filters]
 
-        def rows(lang: str, n: int, phrases: list, f) -> pa.RecordBatch:
-            return pa.RecordBatch.from_arrays([pa.array([lang] * len(phrases), pa.string()), pa.array(phrases, pa.binary()), pa.array([n] * len(phrases), pa.int32()), pa.array(f, pa.int64())], names=["lang", "phrase", "words", "f"])
+        def rows(lang: str, n: int, phrases: pa.Array, f) -> pa.RecordBatch:
+            same = [pa.repeat(pa.scalar(v, kind), len(phrases)) for v, kind in ((lang, pa.string()), (n, pa.int32()))]
+            return pa.RecordBatch.from_arrays([same[0], phrases, same[1], pa.array(f, pa.int64())], names=["lang", "phrase", "words", "f"])
 
         for lang, own in grams(batches, max_n):
-            yield rows(lang, 0, [None], [int(own.whole[own.skip :].sum())])
+            yield rows(lang, 0, pa.array([None], pa.binary()), [int(own.whole[own.skip :].sum())])
             for n, phrases, f in own.counted(lambda n, h: _passes(bits[n - 1], h)):
                 yield rows(lang, n, phrases, f)
 

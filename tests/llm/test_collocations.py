@@ -67,7 +67,7 @@ def test_cut_everywhere(small):
         for part in c.stretches(b".".join(texts), c.STRETCH):
             words = before + part.replace(b".", b" . ").split()
             for _, phrases, n in c.Grams(words, len(before), lang, 3).counted(lambda n, h: np.ones(len(h), bool)):
-                f.update(dict(zip(phrases, n.tolist(), strict=True)))
+                f.update(dict(zip(phrases.to_pylist(), n.tolist(), strict=True)))
             before = words[len(words) - 2 :] if len(words) >= 2 else words
         want = Counter()
         for t in texts:
