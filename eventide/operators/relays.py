@@ -12,6 +12,7 @@ from eventide.functions import time as tm
 from eventide.operators.engagement import latest
 from eventide.operators.rollups import choice, limits
 from eventide.schema import DAY, HOUR, RELAY_LIST, WEEK
+from eventide.session import shared
 
 # Fixed values of scoring.
 NOVEL_WEIGHT, UPTIME_WEIGHT, NOVEL_CAP, SEED_FLOOR = 0.7, 0.3, 2.0, 0.5
@@ -100,22 +101,34 @@ def gauges(relays: DataFrame, scored: DataFrame, hourly: DataFrame, as_of: int)
     return counts.join(F.broadcast(hour)).join(F.broadcast(scored.agg(F.coalesce(F.avg("score"), F.lit(0.0)).alias("avg_score"))))
 
 
-def swaps(relays: DataFrame, scored: DataFrame, connected: DataFrame, share: float = 0.05, better_by: float = 0.1, candidates: int = 100) -> DataFrame:
+def _numbered(rows: DataFrame, *order) -> DataFrame:
+    """rows and n, their number from 1 in an order; dealt by ranges, of which each is numbered from where those before it end."""
+    spark, path = rows.sparkSession, shared(rows.sparkSession, "numbered")
+    rows.repartitionByRange(int(spark.conf.get("spark.sql.shuffle.partitions")), *order).withColumn("part", F.spark_partition_id()).write.parquet(path)
+    ranges = spark.read.parquet(path)
+    # A row for each range.
+    before = ranges.groupBy("part").agg(F.count("*").alias("rows")).select("part", (F.sum("rows").over(Window.orderBy("part")) - F.col("rows")).alias("before"))
+    own = ranges.withColumn("nth", F.row_number().over(Window.partitionBy("part").orderBy(*order)))
+    return own.join(F.broadcast(before), "part").withColumn("n", F.col("before") + F.col("nth")).drop("part", "before", "nth")
+
+
+def swaps(relays: DataFrame, scored: DataFrame, connected: DataFrame, share: float = 0.05, better_by: float = 0.1, candidates: int | None = 100) -> DataFrame:
     """Pairs (disconnect, connect): the n-th worst connected relay that isn't a seed's turn with the n-th best other one, if that is better by enough.
 
-    connected: a frame of urls. At most this share of them, one at least. Both
-    lists are cut to that many before they are numbered.
+    connected: a frame of urls. At most this share of them, one at least, and
+    no more than ``candidates`` (None: the share alone counts).
     """
     n = connected.count()
-    most = min(max(1, -int(-n * share // 1)), candidates)
+    most = max(1, -int(-n * share // 1))
+    most = most if candidates is None else min(most, candidates)
     named = relays.select("url", "tier", "status").join(scored.select(F.col("relay_url").alias("url"), "score"), "url", "left")
+    # Scores are made once, for both lists and their ranges.
+    named.write.parquet(path := shared(relays.sparkSession, "scored"))
+    named = relays.sparkSession.read.parquet(path)
     is_seed = F.col("tier") == "seed"
     ours = connected.select("url").join(named, "url", "left").select("url", F.when(is_seed, F.lit(float("inf"))).otherwise(F.coalesce("score", F.lit(0.0))).alias("low"))
-    worst = ours.orderBy("low", "url").limit(most)
     others = named.where(~F.col("status").isin("blocked", "active", "failing")).join(connected.select("url"), "url", "left_anti").select(F.col("url").alias("connect"), F.coalesce("score", F.lit(0.0)).alias("high"))
-    best = others.orderBy(F.desc("high"), "connect").limit(most)
-    nth = lambda *o: F.row_number().over(Window.orderBy(*o)).alias("n")
-    pairs = worst.select("*", nth("low", "url")).join(best.select("*", nth(F.desc("high"), "connect")), "n")
+    pairs = _numbered(ours, "low", "url").where(F.col("n") <= most).join(_numbered(others, F.desc("high"), "connect"), "n")
     return pairs.where(F.col("high") > F.col("low") + better_by).select(F.col("url").alias("disconnect"), "connect")
 
 
