@@ -41,6 +41,21 @@ def test_comparison_goes_on(spark):
     assert states == {"equal", "refined", "differs"} and max(map(len, sh.finished(spark, work))) == 2
 
 
+def test_comparison_reads_sides_once(spark):
+    """A run of many rounds reads each row of the sides once or, where ranges are drawn from a sample, not once a round."""
+    left, right, work = ids(spark, 0, 2000, (7,)).cache(), ids(spark, 0, 2000, (8,)), shared(spark, "compare")
+    n, read = left.count(), spark.sparkContext.accumulator(0)
+
+    @F.udf("string")
+    def seen(x):
+        read.add(1)
+        return x
+
+    assert sh.compare(left.select(seen("id").alias("id")), right, work, few=300, at_once=2)
+    assert len(sh.finished(spark, work)) == 16 and read.value <= 4 * n
+    assert {r.side for r in sh.differences(spark, work).collect()} == {"only_left", "only_right"}
+
+
 def test_comparison_edges(spark):
     work = shared(spark, "compare")
     none = spark.createDataFrame([], "id string")
