@@ -140,3 +140,53 @@ def test_nearest_links_are_within_the_radius(rows):
     batch = pa.RecordBatch.from_arrays([pa.array(c) for c in group], names=list("hwns"))
     met = [x for out in near_copies._nearest(Fraction(4, 5))([batch]) for x in out.to_pylist()]
     assert met and all(x["a"] > x["b"] and ((prints[x["a"]] ^ prints[x["b"]]) & (2**64 - 1)).bit_count() <= near_copies.RADIUS for x in met)
+
+
+def short_pairs(first):
+    """Pairs of five shingles of which four stay: some are beyond the radius."""
+    r = random.Random(2)
+    return list(enumerate((" ".join(w[:n]) for w in ([f"w{r.randrange(5000)}" for _ in range(9)] for _ in range(100)) for n in (9, 8)), first))
+
+
+def test_trees_choose_what_is_compared(spark, rows, monkeypatch):
+    """One pass compares what the trees name and no other pair; only what its links leave apart gets to the pass beyond the radius."""
+    passes, verified = [], near_copies._verified
+    rows = rows + short_pairs(len(rows))
+
+    def spy(docs, prints, pairs, shingle, bound):
+        out = verified(docs, prints, pairs, shingle, bound)
+        value = {r["whole"]: r["print"] for r in prints.collect()}
+        met = {(r.a, r.b): ((value[r.a] ^ value[r.b]) & (2**64 - 1)).bit_count() for r in pairs.collect()}
+        passes.append((met, {(r.a, r.b) for r in out.collect()}))
+        return out
+
+    monkeypatch.setattr(near_copies, "_verified", spy)
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert {r.doc_id for r in near_copies.keep_first_copy(docs, 5, 0.8).collect()} == kept_brute(rows)
+    (near, links), (far, others) = passes
+    assert len(links) > 10 and all(d <= near_copies.RADIUS for d in near.values())
+    assert others and all(d > near_copies.RADIUS for d in far.values())
+    top = {i: i for pair in [*near, *far] for i in pair}
+    for a, b in links:
+        x, y = top[a], top[b]
+        top = {i: x if t == y else t for i, t in top.items()}
+    assert all(top[a] != top[b] for a, b in far)
+
+
+def test_near_pass_is_the_trees(rows, monkeypatch):
+    """What the trees don't find isn't met, and with all of a cell found more is."""
+    sets = {near_copies.set_key(s): s for _, t in rows + short_pairs(len(rows)) if len(s := near_copies.shingle_set(t, 5))}
+    keys = list(sets)
+    cell = [[0], [0], [0], [keys], [[len(sets[k]) for k in keys]], [[simhash.simhash(sets[k]) for k in keys]], [keys], [[near_copies.parity_bits(sets[k]) for k in keys]], [[0] * len(keys)]]
+    batch = pa.RecordBatch.from_arrays([pa.array(c) for c in cell], names=list("hpqwnslbt"))
+
+    def found(near, far):
+        return {(x["a"], x["b"]) for out in near_copies._across(Fraction(4, 5), False, near, far)([batch]) for x in out.to_pylist()}
+
+    near, far = found(True, False), found(False, True)
+    assert near and far and not near & far and near | far == found(True, True)
+    every = lambda self, asked, radius: ((at, np.arange(len(keys))) for at in asked.tolist())
+    monkeypatch.setattr(simhash.BKForest, "near", every)
+    assert found(True, False) == near | far
+    monkeypatch.setattr(simhash.BKForest, "near", lambda self, asked, radius: ((at, np.array([at])) for at in asked.tolist()))
+    assert found(True, False) == set() and found(False, True) == far
